@@ -13,7 +13,7 @@ from visitlake import schema as S
 from visitlake.functions import timeparts as TP
 from visitlake.functions.agents import parse_user_agent
 from visitlake.functions.ip import ip_to_long, long_to_ip, parse_region
-from visitlake.functions.params import extract_query, last_wins_map, parse_params
+from visitlake.functions.params import add_params, extract_query
 from visitlake.operators import dimensions as D
 from visitlake.operators import hourly as H
 from visitlake.operators import ip_ranges as I
@@ -293,10 +293,8 @@ def etl_events(spark, sf):
 
 @query
 def url_params(spark, sf):
-    params = X.table(spark, sf, "pages").select(
-        "page_id", last_wins_map(parse_params(extract_query(F.col("url")))).alias("params")
-    )
-    return params.select("page_id", F.explode("params").alias("name", "value"))
+    pages = X.table(spark, sf, "pages").select("page_id", extract_query(F.col("url")).alias("query"))
+    return add_params(pages, "query", "params").select("page_id", F.explode("params").alias("name", "value"))
 
 
 @query

@@ -10,17 +10,21 @@ from visitlake.schema import UNKNOWN
 
 
 def ip_to_long(ip: Column) -> Column:
-    """IPv4 text -> number. Octets keep their low 8 bits; from the first unreadable one on they are 0."""
-    octets = F.array_remove(F.split(ip, r"\."), "")
-    parsed, readable = [], F.lit(True)
-    for i in range(4):
-        text = F.get(octets, F.lit(i))
-        number = F.when(readable & (text == trim_controls(text)), text.try_cast("int"))
-        readable = number.isNotNull()
-        parsed.append(F.coalesce(number, F.lit(0)).cast("bigint").bitwiseAND(F.lit(255)))
-    a, b, c, d = parsed
-    value = F.shiftleft(a, 24) + F.shiftleft(b, 16) + F.shiftleft(c, 8) + d
-    return F.when(ip.isNotNull(), value)
+    """IPv4 text -> number. Octets keep their low 8 bits; from the first unreadable one on they are 0.
+
+    Empty octets do not count and missing ones are 0.
+    """
+    zeros = F.array(*[F.lit("0")] * 4)
+    octets = F.slice(F.concat(F.array_remove(F.split(ip, r"\."), ""), zeros), 1, 4)
+
+    def append(number: Column, octet: Column) -> Column:
+        text_ok = number["readable"] & (octet == trim_controls(octet))
+        value = F.when(text_ok, octet.try_cast("int")).cast("bigint")
+        low = F.coalesce(value.bitwiseAND(F.lit(255).cast("bigint")), F.lit(0).cast("bigint"))
+        return F.struct((number["value"] * 256 + low).alias("value"), value.isNotNull().alias("readable"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("value"), F.lit(True).alias("readable"))
+    return F.reduce(octets, start, append)["value"]
 
 
 def long_to_ip(n: Column) -> Column:

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.text import is_blank, trim_controls, url_decode
 from visitlake.schema import LINE_SEPARATOR
 
 
-def split_log_line(line: Column) -> Column:
-    """The three raw fields of a line as an array, or null when there are not exactly three.
+def cut_line(line: Column) -> Column:
+    """All fields of a line, empty ones included."""
+    return F.split(trim_controls(line), re.escape(LINE_SEPARATOR))
 
-    Empty fields at the end do not count, so `ip^Atime^Arequest^A` is a three-field line.
-    """
-    fields = F.split(trim_controls(line), re.escape(LINE_SEPARATOR))
+
+def is_three_fields(fields: Column) -> Column:
+    """Whether a cut line has exactly three fields, not counting empty ones at the end."""
     tail = F.array_join(F.slice(fields, 4, F.greatest(F.size(fields) - 3, F.lit(0))), "")
-    third = F.get(fields, F.lit(2))
-    return F.when((third != "") & (tail == ""), F.slice(fields, 1, 3))
+    return F.coalesce((F.get(fields, F.lit(2)) != "") & (tail == ""), F.lit(False))
 
 
 def parse_server_time(c: Column) -> Column:
@@ -31,39 +31,70 @@ def parse_server_time(c: Column) -> Column:
 
 def extract_query(request: Column) -> Column:
     """What follows the first `?`; null when there is none, it comes last or only blanks follow."""
-    at = F.instr(request, "?")
-    query = F.substring(request, at + 1, F.length(request))
-    return F.when((at > 0) & ~is_blank(query), query)
+    query = F.substring(request, F.instr(request, "?") + 1, F.length(request))
+    return F.when(F.contains(request, F.lit("?")) & ~is_blank(query), query)
 
 
-def parse_params(query: Column) -> Column:
-    """Decoded parameters as an array of (key, value) in order of appearance, repeats included.
+# One parameter: its name up to the first `=` and its value up to the next one. Something other than `=` has
+# to follow the first `=`, so `k`, `k=` and `k==` are no parameters while `k==v` is one with an empty value.
+_PARAMETER = r"(?:^|&)([^&=]*)=(?==*[^&=])([^&=]*)"
+_TOUCHY = r"[\x00-\x20]|%0[123]"
+# Stand-ins for an escaped `&` and `=` while the others are decoded, and the separator of joined texts.
+_AMPERSAND, _EQUALS, _JOINT = "\x02", "\x03", "\x01"
 
-    A pair counts when something follows its first `=`; text after a second `=` is dropped and
-    pairs with malformed escapes are skipped. `=v` keeps an empty key.
-    """
 
-    def pair(p: Column) -> Column:
-        p = F.rtrim(p, F.lit("="))
-        return F.struct(
-            F.when(F.instr(p, "=") > 0, url_decode(trim_controls(F.split_part(p, F.lit("="), F.lit(1))))).alias("key"),
-            url_decode(trim_controls(F.split_part(p, F.lit("="), F.lit(2)))).alias("value"),
+def add_params(df: DataFrame, query_col: str, out_col: str, **first: Column) -> DataFrame:
+    """Adds the map of the decoded parameters of a query string, after the entries `first`.
+
+    The last one of equal names counts, also against `first`. Parameters with malformed escapes and entries
+    without a value are left out. A parameter `=v` has the empty name. A null query gives a null map.
+
+    Nearly all query strings are decoded as a whole and cut up by two passes of one pattern. Escaped
+    separators are set aside meanwhile. Strings with raw control characters or malformed escapes are cut up
+    first and decoded piece by piece.
+    """
+    query = F.col(query_col)
+    escaped = F.contains(query, F.lit("%")) | F.contains(query, F.lit("+"))
+    aside = query
+    for escape, mark in (("%26", _AMPERSAND), ("%3D", _EQUALS), ("%3d", _EQUALS)):
+        aside = F.replace(aside, F.lit(escape), F.lit(mark))
+    whole = F.when(~query.rlike(_TOUCHY), F.when(escaped, url_decode(aside)).otherwise(query))
+    staged = df.withColumns({"_whole": whole, "_aside": F.length(aside) < F.length(query)})
+
+    def restore(texts: Column) -> Column:
+        joined = F.array_join(texts, _JOINT)
+        joined = F.replace(F.replace(joined, F.lit(_AMPERSAND), F.lit("&")), F.lit(_EQUALS), F.lit("="))
+        return F.split(joined, _JOINT)
+
+    def piecewise() -> Column:
+        names, values = (F.transform(_pieces(query, g), lambda t: url_decode(trim_controls(t))) for g in (1, 2))
+        return F.filter(
+            F.zip_with(names, values, lambda n, v: F.struct(n.alias("name"), v.alias("value"))),
+            lambda e: e["name"].isNotNull() & e["value"].isNotNull(),
         )
 
-    pairs = F.transform(F.split(query, "&"), pair)
-    return F.filter(pairs, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
+    at_once = F.col("_whole").isNotNull()
+    staged = staged.withColumns({
+        f"_cut{g}": F.when(at_once, _pieces(F.col("_whole"), g)).otherwise(piecewise()[part])
+        for g, part in ((1, "name"), (2, "value"))
+    })
 
+    def texts(group: int) -> Column:
+        cut = F.col(f"_cut{group}")
+        return F.when(F.col("_aside") & at_once & (F.size(cut) > 0), restore(cut)).otherwise(cut)
 
-def last_wins_map(entries: Column) -> Column:
-    """Map of (key, value) entries in which the last entry of a repeated key counts.
+    # last entry first, so that the first of equal names counts
+    names = [F.when(v.isNotNull(), F.lit(n)) for n, v in first.items()]
+    staged = staged.withColumns({
+        "_names": F.reverse(F.concat(F.array_compact(F.array(*names)), texts(1)) if first else texts(1)),
+        "_values": F.reverse(F.concat(F.array_compact(F.array(*first.values())), texts(2)) if first else texts(2)),
+    }).withColumn("_distinct", F.array_distinct("_names"))
+
+    repeated = F.size("_distinct") < F.size("_names")
+    chosen = F.transform("_distinct", lambda n: F.element_at("_values", F.array_position("_names", n).cast("int")))
+    params = F.map_from_arrays("_distinct", F.when(repeated, chosen).otherwise(F.col("_values")))
+    return staged.withColumn(out_col, F.when(query.isNotNull(), params)).select(*df.columns, out_col)
 
-    Lines without repeats, the usual case, skip the search for later occurrences.
-    """
-    keys = entries["key"]
-    backwards = F.reverse(keys)
-    latest = F.filter(
-        entries, lambda e, i: i == F.size(entries) - F.array_position(backwards, e["key"]).cast("int")
-    )
-    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
-    return F.map_from_entries(F.when(repeats, latest).otherwise(entries))
 
+def _pieces(text: Column, group: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(_PARAMETER), F.lit(group))

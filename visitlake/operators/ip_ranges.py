@@ -69,16 +69,22 @@ def join_ip_range(
 
 
 def _probe(df: DataFrame, filed: DataFrame, ip_col: str, values: list[str], levels: tuple[int, ...]) -> DataFrame:
-    """One broadcast join per prefix length; at most one of them finds a range."""
-    ip, out = F.col(ip_col), df
+    """One broadcast join per prefix length; at most one of them finds a range.
+
+    Rows travel through the joins as one column, and so do a range's values, which keeps the generated code
+    of the whole chain small enough to be compiled to machine code.
+    """
+    ip = F.col("_ip")
+    out = df.select(F.struct(*df.columns).alias("_row"), F.col(ip_col).alias("_ip"), F.lit(None).alias("_found"))
     for bits in levels:
-        names = {"_bucket": f"_k{bits}", "begin_ip": f"_b{bits}", "end_ip": f"_e{bits}"}
-        names |= {v: f"_{v}{bits}" for v in values}
-        level = filed.filter(F.col("_bits") == bits).select(*[F.col(c).alias(n) for c, n in names.items()])
-        inside = (_prefix(ip, bits) == F.col(f"_k{bits}")) & ip.between(F.col(f"_b{bits}"), F.col(f"_e{bits}"))
-        out = out.join(F.broadcast(level), inside, "left")
-    found = [F.coalesce(*[f"_{v}{bits}" for bits in levels]).alias(v) for v in values]
-    return out.select(*df.columns, *found)
+        level = filed.filter(F.col("_bits") == bits).select(
+            F.col("_bucket").alias("_key"), "begin_ip", "end_ip", F.struct(*values).alias("_value")
+        )
+        inside = (_prefix(ip, bits) == F.col("_key")) & ip.between(F.col("begin_ip"), F.col("end_ip"))
+        out = out.join(F.broadcast(level), inside, "left").select(
+            "_row", "_ip", F.coalesce("_found", "_value").alias("_found")
+        )
+    return out.select("_row.*", *[F.col("_found")[v].alias(v) for v in values])
 
 
 def _shuffled_lookup(df: DataFrame, filed: DataFrame, ip_col: str, values: list[str]) -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from visitlake import schema as S
 from visitlake.functions.agents import BROWSER_RULES, OS_RULES, parse_user_agent
 from visitlake.functions.ip import ip_to_long, parse_region
-from visitlake.functions.params import (
-    extract_query, last_wins_map, parse_params, parse_server_time, split_log_line,
-)
+from visitlake.functions.params import add_params, cut_line, extract_query, is_three_fields, parse_server_time
 from visitlake.functions.text import blank_to_null, is_blank, trim_controls, whole_number
 from visitlake.functions.timeparts import event_date, midnight_millis
 from visitlake.operators.ip_ranges import join_ip_range
@@ -18,14 +16,13 @@ from visitlake.operators.ip_ranges import join_ip_range
 RESERVED_FIELDS = ["ip", "s_time", *S.REGION_COLUMNS, *S.AGENT_COLUMNS]
 
 
-def _computed_once(df: DataFrame, keep: list[str], **values: Column) -> DataFrame:
-    """`keep` plus computed columns that later filters cannot pull back into themselves.
+def computed_once(df: DataFrame, keep: list[str], computed: list[str]) -> DataFrame:
+    """Columns `keep` and `computed`, the latter safe from being computed again by later filters.
 
     The optimizer moves filters below projections by repeating the projected expressions, which would
     parse each line again for every field tested. A one-element `inline` stops that.
     """
-    row = F.struct(*[v.alias(n) for n, v in values.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+    return df.select(*keep, F.inline(F.array(F.struct(*computed))))
 
 
 def parse_log_lines(
@@ -37,78 +34,57 @@ def parse_log_lines(
     over them, as later ones win over earlier ones. `protect_reserved` keeps clients from setting the
     columns the pipeline derives itself. `fields` is null where `parse_error` is set.
     """
-    parts = split_log_line(F.col(value_col))
-    ip = trim_controls(parts[0])
-    server_time = parse_server_time(trim_controls(parts[1])).cast("string")
-    split = lines.withColumns({
-        "_ip": ip,
-        "_time": server_time,
-        "_query": extract_query(trim_controls(parts[2])),
-        "_split": parts.isNotNull(),
+    cut = lines.withColumn("_cut", cut_line(F.col(value_col)))
+    trimmed = cut.withColumns({
+        "_three": is_three_fields(F.col("_cut")),
+        **{name: trim_controls(F.get("_cut", F.lit(i))) for i, name in enumerate(("_ip", "_time", "_request"))},
     })
+    queried = trimmed.withColumn("_query", F.when(F.col("_three"), extract_query(F.col("_request"))))
+    error = F.when(~F.col("_three"), S.BAD_LINE).when(F.col("_query").isNull(), S.NO_PARAMETERS)
+    timed = queried.withColumn("_millis", parse_server_time(F.col("_time")).cast("string"))
+    own = {"ip": F.col("_ip"), "s_time": F.col("_millis")}
+    parsed = add_params(timed, "_query", "fields", **own).withColumn("parse_error", error)
+    if protect_reserved:
+        given = F.map_filter("fields", lambda k, v: ~k.isin(RESERVED_FIELDS))
+        own_map = F.map_filter(
+            F.create_map(*[c for n, v in own.items() for c in (F.lit(n), v)]), lambda k, v: v.isNotNull()
+        )
+        parsed = parsed.withColumn("fields", F.map_concat(given, own_map))
+    return computed_once(parsed, lines.columns, ["fields", "parse_error"])
 
-    def entry(name: str, value: Column) -> Column:
-        return F.struct(F.lit(name).alias("key"), value.alias("value"))
 
-    params = parse_params(F.col("_query"))
-    if protect_reserved:
-        params = F.filter(params, lambda e: ~e["key"].isin(RESERVED_FIELDS))
-    from_line = F.filter(
-        F.array(entry("ip", F.col("_ip")), entry("s_time", F.col("_time"))), lambda e: e["value"].isNotNull()
-    )
-    fields = F.when(F.col("_query").isNotNull(), last_wins_map(F.concat(from_line, params)))
-    error = F.when(~F.col("_split"), S.BAD_LINE).when(F.col("_query").isNull(), S.NO_PARAMETERS)
-    return _computed_once(split, lines.columns, fields=fields, parse_error=error)
+def required_fields(platform: Column, event: Column, strict: bool = False) -> Column:
+    """Names of the fields an event must carry; null when the platform does not send such events."""
+    needed = None
+    for (pl, en), names in S.REQUIRED_FIELDS.items():
+        names = (*names, *S.STRICT_WEBSITE_FIELDS) if strict and pl == S.WEBSITE else names
+        listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+        needed = (F.when if needed is None else needed.when)((platform == pl) & (event == en), listed)
+    return needed
 
 
-def is_valid_event(field, strict: bool = False) -> Column:
-    """Whether an event of a known platform carries the fields its kind needs.
+def classify_events(parsed: DataFrame, strict: bool = False) -> DataFrame:
+    """Adds `reject_reason` to parsed lines; null marks the rows to store.
 
-    `field` maps a name to a column. `strict` also asks website events for a visitor and a session id.
+    `strict` also asks website events for a visitor and a session id.
     """
-    return invalid_reason(field, strict).isNull()
-
-
-def invalid_reason(field, strict: bool = False) -> Column:
-    """First rule an event breaks, or null. `field` maps a name to a column."""
-
-    def missing(*names: str) -> Column:
-        test = F.lit(False)
-        for n in names:
-            test = test | is_blank(field(n))
-        return F.when(test, S.MISSING_FIELD)
-
-    identity = ("u_ud", "u_sd") if strict else ()
-    needs = {
-        S.JAVA_SERVER: {S.CHARGE_REFUND: ("u_mid",), S.CHARGE_SUCCESS: ("u_mid", "oid")},
-        S.WEBSITE: {
-            S.CHARGE_REQUEST: ("oid", "cut", "pt", "cua", *identity),
-            S.ACTIVITY: ("ca", "ac", *identity),
-            S.LAUNCH: identity,
-            S.PAGE_VIEW: ("p_url", *identity),
-        },
-    }
-    event, platform = field("en"), field("pl")
-    by_platform = F.when(is_blank(platform), F.lit(S.MISSING_PLATFORM))
-    for name, by_event in needs.items():
-        rule = None
-        for alias, names in by_event.items():
-            rule = (F.when if rule is None else rule.when)(event == alias, missing(*names))
-        by_platform = by_platform.when(platform == name, rule.otherwise(F.lit(S.EVENT_NOT_ALLOWED)))
+    fields, needed = F.col("fields"), F.col("_needed")
+    event, platform = F.col("_en"), F.col("_pl")
     known = F.coalesce(event.isin([e[2] for e in S.EVENTS]), F.lit(False))
-    return (
-        F.when(~known, S.UNKNOWN_EVENT)
-        .when(whole_number(field("s_time")).isNull(), S.BAD_SERVER_TIME)
-        .otherwise(by_platform.otherwise(F.lit(S.UNKNOWN_PLATFORM)))
+    platforms = sorted({pl for pl, _ in S.REQUIRED_FIELDS})
+    staged = parsed.select("*", *[fields[n].alias(f"_{n}") for n in ("en", "pl", "s_time")]).withColumn(
+        "_needed", required_fields(platform, event, strict)
     )
-
-
-def classify_events(parsed: DataFrame, strict: bool = False) -> DataFrame:
-    """Adds `reject_reason` to parsed lines; null marks the rows to store."""
-    reason = invalid_reason(lambda name: F.col("fields")[name], strict)
-    return parsed.withColumn(
-        "reject_reason", F.when(F.col("parse_error").isNotNull(), F.col("parse_error")).otherwise(reason)
+    reason = (
+        F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
+        .when(~known, S.UNKNOWN_EVENT)
+        .when(whole_number(F.col("_s_time")).isNull(), S.BAD_SERVER_TIME)
+        .when(is_blank(platform), S.MISSING_PLATFORM)
+        .when(~platform.isin(platforms), S.UNKNOWN_PLATFORM)
+        .when(needed.isNull(), S.EVENT_NOT_ALLOWED)
+        .when(F.exists(needed, lambda n: is_blank(F.element_at(fields, n))), S.MISSING_FIELD)
     )
+    return computed_once(staged.withColumn("reject_reason", reason), parsed.columns, ["reject_reason"])
 
 
 def valid_events(classified: DataFrame) -> DataFrame:
@@ -126,13 +102,43 @@ def reject_counts(classified: DataFrame) -> DataFrame:
     return rejected_lines(classified).groupBy("reject_reason").agg(F.count("*").alias("lines"))
 
 
-def to_event_columns(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def add_region(valid: DataFrame, ip_ranges: DataFrame | None, **join_options) -> DataFrame:
+    """Sets country, province and city in `fields` from the range holding `ip`; without ranges nothing changes.
+
+    Place texts are read once per range, not once per event, and rows are looked up while they are still one
+    map wide.
+    """
+    if ip_ranges is None:
+        return valid
+    region = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in S.REGION_COLUMNS]), F.array(*[F.col("_region")[c] for c in S.REGION_COLUMNS])
+    )
+    regions = ip_ranges.select(
+        "begin_ip", "end_ip", parse_region(F.coalesce("country", F.lit(""))).alias("_region")
+    ).select("begin_ip", "end_ip", region.alias("_place"))
+    ip = F.col("fields")["ip"]
+    numbered = valid.withColumn("_ip_number", F.when(~is_blank(ip), ip_to_long(ip)))
+    located = join_ip_range(numbered, regions, "_ip_number", **join_options)
+
+    def nowhere(country: str) -> Column:
+        return F.create_map(*[
+            F.lit(t) for c in S.REGION_COLUMNS for t in (c, country if c == "country" else S.UNKNOWN)
+        ])
+
+    unlocated = F.when(F.col("_ip_number").isNull(), nowhere(S.UNKNOWN)).otherwise(nowhere(S.UNKNOWN_COUNTRY))
+    others = F.map_filter("fields", lambda k, v: ~k.isin(S.REGION_COLUMNS))
+    return located.withColumn("fields", F.map_concat(others, F.coalesce("_place", unlocated))).drop(
+        "_ip_number", "_place"
+    )
+
+
+def to_event_columns(valid: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Field map -> one column per well-known field; the others stay in the map `extra`.
 
     Blank values stay as they are here: they are part of an event's identity until `drop_blanks`.
     """
     f = F.col("fields")
-    return events.select(
+    return valid.select(
         *(keep or []),
         whole_number(f["s_time"]).alias("s_time"),
         *[f[c].alias(c) for c in S.TEXT_COLUMNS],
@@ -141,27 +147,6 @@ def to_event_columns(events: DataFrame, keep: list[str] | None = None) -> DataFr
     )
 
 
-def add_region(events: DataFrame, ip_ranges: DataFrame | None, **join_options) -> DataFrame:
-    """Sets country, province and city from the range holding `ip`; without ranges nothing changes.
-
-    Place texts are read once per range, not once per event.
-    """
-    if ip_ranges is None:
-        return events
-    regions = ip_ranges.select(
-        "begin_ip", "end_ip", parse_region(F.coalesce("country", F.lit(""))).alias("_region")
-    ).select("begin_ip", "end_ip", *[F.col("_region")[c].alias(f"_{c}") for c in S.REGION_COLUMNS])
-    blank = is_blank(F.col("ip"))
-    located = join_ip_range(
-        events.withColumn("_ip_number", ip_to_long(F.when(~blank, F.col("ip")))), regions, "_ip_number", **join_options
-    )
-    unlocated = {c: F.lit(S.UNKNOWN) for c in S.REGION_COLUMNS}
-    unlocated["country"] = F.when(blank, F.lit(S.UNKNOWN)).otherwise(F.lit(S.UNKNOWN_COUNTRY))
-    return located.withColumns(
-        {c: F.coalesce(F.col(f"_{c}"), unlocated[c]) for c in S.REGION_COLUMNS}
-    ).drop("_ip_number", *[f"_{c}" for c in S.REGION_COLUMNS])
-
-
 def add_user_agent(events: DataFrame, browser_rules=None, os_rules=None) -> DataFrame:
     """Sets browser and operating system columns from the user agent and drops its raw text."""
     agent = parse_user_agent(F.col(S.USER_AGENT), browser_rules or BROWSER_RULES, os_rules or OS_RULES)
@@ -214,7 +199,8 @@ def to_event_rows(
     **join_options,
 ) -> DataFrame:
     """Valid parsed lines -> rows of the event table (without its day column)."""
-    events = add_user_agent(add_region(to_event_columns(valid, keep), ip_ranges, **join_options))
+    located = add_region(valid.select(*(keep or []), "fields"), ip_ranges, **join_options)
+    events = add_user_agent(to_event_columns(located, keep))
     keyed = with_row_key(events, tz).select(*(keep or []), *S.EVENT_COLUMNS)
     return drop_blanks(dedupe_events(keyed) if dedupe else keyed)
 

@@ -35,6 +35,19 @@ KPI_SESSION_LENGTH = "sessions_lengths"
 STATS_KPIS = (KPI_NEW_USERS, KPI_BROWSER_NEW_USERS)
 HOURLY_KPIS = (KPI_HOURLY_NEW_USERS, KPI_ACTIVE_USERS, KPI_SESSIONS, KPI_SESSION_LENGTH)
 
+# (platform, event) -> fields an event of that kind must carry besides its time and platform. Other pairs
+# are not accepted.
+REQUIRED_FIELDS = {
+    (JAVA_SERVER, CHARGE_REFUND): ("u_mid",),
+    (JAVA_SERVER, CHARGE_SUCCESS): ("u_mid", "oid"),
+    (WEBSITE, CHARGE_REQUEST): ("oid", "cut", "pt", "cua"),
+    (WEBSITE, ACTIVITY): ("ca", "ac"),
+    (WEBSITE, LAUNCH): (),
+    (WEBSITE, PAGE_VIEW): ("p_url",),
+}
+# What the strict rules ask of website events on top.
+STRICT_WEBSITE_FIELDS = ("u_ud", "u_sd")
+
 # Grain name -> whether a date dimension row can be built for it.
 DATE_GRAINS = {"year": True, "season": True, "month": True, "week": True, "day": True, "hour": False}
 
