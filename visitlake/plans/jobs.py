@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,21 +48,28 @@ def run_etl(
 ) -> dict[str, int]:
     """Replaces the event table of `run_date` and returns line counts: all, and per reject reason.
 
-    Counts are taken while the lines pass by. Rejected lines are kept only where `rejected_root` is given, at
+    Counts are taken while the lines pass by, so a stage run again after a lost executor may count twice;
+    `reject_counts` counts exactly. Rejected lines are kept only where `rejected_root` is given, at
     the price of a second pass over the raw lines.
     """
     classified = classify_events(
         parse_log_lines(read_raw_logs(spark, raw_root, run_date), protect_reserved=protect_reserved), strict
     )
     seen = Observation()
-    counted = classified.observe(
-        seen, F.count(F.lit(1)).alias("lines"),
+    metrics = [
+        F.count(F.lit(1)).alias("lines"),
         *[F.count_if(F.col("reject_reason") == r).alias(r) for r in S.REJECT_REASONS],
-    )
+    ]
+    counted = classified.observe(seen, *metrics)
     write_event_logs(to_event_rows(valid_events(counted), ip_ranges, tz), event_root, run_date)
     if rejected_root:
         write_rejected_lines(rejected_lines(classified), rejected_root, run_date)
-    return {k: int(v) for k, v in seen.get.items()}
+    try:
+        counts = seen.get
+    except Py4JJavaError:
+        # without a single event the optimizer drops the observed part of the plan
+        counts = classified.agg(*metrics).first().asDict()
+    return {k: int(v) for k, v in counts.items()}
 
 
 def run_kpis(
