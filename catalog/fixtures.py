@@ -9,6 +9,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from visitlake.sources.files import spread
+
 RUN_DATE = date(2024, 1, 10)
 LATER_RUN_DATE = date(2024, 1, 20)
 
@@ -103,7 +105,7 @@ def fx_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, RAW)
+    return spread(run(spark, sf_dir, RAW))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from visitlake.operators import lines as L
 from visitlake.operators import rollups as R
 from visitlake.operators import visitors as V
 from visitlake.plans.jobs import etl
-from visitlake.sources.files import scratch_dir
+from visitlake.sources.files import scratch_dir, staged
 from visitlake.sources.readers import load_ip_ranges, read_event_logs, read_facts, read_raw_logs
 from visitlake.sources.writers import export_tsv, write_event_logs
 from visitlake.streaming.streams import etl_stream, ingest_stream, upsert_stream
@@ -195,7 +195,7 @@ def assign_dim_ids(spark, sf):
 
 
 def _stats(spark, sf, run_date):
-    kpis = V.install_kpis(X.fx(spark, sf), run_date)
+    kpis, _ = staged(V.install_kpis(X.fx(spark, sf), run_date), "install-kpis")
     dims = {k: _fresh_ids(spark, kpis, S.DIM_KEYS[k]) for k in ("dimension_platform", "dimension_date")}
     with_browser = kpis.filter(F.col("kpi_name") == S.KPI_BROWSER_NEW_USERS)
     return kpis, dims["dimension_platform"], dims["dimension_date"], _fresh_ids(spark, with_browser, S.BROWSER_KEYS)
@@ -214,7 +214,7 @@ def stats_device_browser(spark, sf):
 
 @query
 def stats_hourly(spark, sf):
-    hourly = H.hourly_kpis(X.fx_dense(spark, sf))
+    hourly, _ = staged(H.hourly_kpis(X.fx_dense(spark, sf)), "hourly-kpis")
     platforms, dates, kpis = D.hourly_dimension_rows(hourly)
     return D.to_stats_hourly(
         hourly, _fresh_ids(spark, platforms, S.PLATFORM_KEYS), _fresh_ids(spark, dates, S.DATE_KEYS),

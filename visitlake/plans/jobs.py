@@ -16,7 +16,7 @@ from visitlake.operators.lines import (
     classify_events, parse_log_lines, rejected_lines, to_event_rows, valid_events,
 )
 from visitlake.operators.visitors import install_kpis
-from visitlake.sources.files import delete, scratch_dir
+from visitlake.sources.files import delete, staged
 from visitlake.sources.readers import read_event_logs, read_raw_logs
 from visitlake.sources.writers import (
     export_tsv, update_dimension, write_event_logs, write_facts, write_rejected_lines, write_version,
@@ -79,10 +79,9 @@ def run_kpis(
     window = scan_window(run_date, today)
     events = read_event_logs(spark, event_root, window.start, window.end)
     # stored once, since ids and both fact tables read it again
-    staged = scratch_dir(spark, "install-kpis")
-    install_kpis(events, run_date, tz=tz).write.parquet(staged)
-    facts = write_facts(spark, fact_root, spark.read.parquet(staged), run_date)
-    delete(spark, staged)
+    kpis, path = staged(install_kpis(events, run_date, tz=tz), "install-kpis")
+    facts = write_facts(spark, fact_root, kpis, run_date)
+    delete(spark, path)
     return facts
 
 
@@ -91,9 +90,7 @@ def run_hourly(
 ) -> DataFrame:
     """Writes the hourly report of one day's events and returns it."""
     events = read_event_logs(spark, event_root, run_date, run_date + timedelta(days=1))
-    staged = scratch_dir(spark, "hourly-kpis")
-    hourly_kpis(events, tz=tz).write.parquet(staged)
-    hourly = spark.read.parquet(staged)
+    hourly, path = staged(hourly_kpis(events, tz=tz), "hourly-kpis")
     platforms, dates, kpis = hourly_dimension_rows(hourly)
     report = to_stats_hourly(
         hourly,
@@ -102,7 +99,7 @@ def run_hourly(
         update_dimension(spark, fact_root, "dimension_kpi", kpis),
     )
     stored = spark.read.parquet(write_version(report, f"{fact_root.rstrip('/')}/stats_hourly"))
-    delete(spark, staged)
+    delete(spark, path)
     if tsv_path:
         export_tsv(stored, tsv_path)
     return stored

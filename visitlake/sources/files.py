@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _path(spark: SparkSession, path: str):
@@ -37,6 +37,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """`df` stored in the shared scratch folder, for results that are read several times, and its path."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def spread(lines: DataFrame) -> DataFrame:
+    """Lines of few input splits, such as a handful of compressed files, dealt out to all cores.
+
+    Parsing costs much more than moving a line. Inputs with enough splits stay where they are.
+    """
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a directory this library wrote itself, such as a finished job's staging table."""
     fs, p = _path(spark, path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from visitlake import schema as S
 from visitlake.operators.dimensions import first_ids
-from visitlake.sources.files import children, exists
+from visitlake.sources.files import children, exists, spread
 
 
 def read_raw_logs(spark: SparkSession, root: str, run_date: date) -> DataFrame:
@@ -19,11 +19,11 @@ def read_raw_logs(spark: SparkSession, root: str, run_date: date) -> DataFrame:
     """
     day_dir = f"{root.rstrip('/')}/{run_date:%Y/%m/%d}"
     if exists(spark, day_dir):
-        return spark.read.text(day_dir)
+        return spread(spark.read.text(day_dir))
     if exists(spark, f"{root.rstrip('/')}/arrival_date={run_date.isoformat()}"):
         # through the root, whose log of finished batches hides files of failed ones
         lines = spark.read.text(root)
-        return lines.filter(F.col("arrival_date") == F.lit(run_date)).select("value")
+        return spread(lines.filter(F.col("arrival_date") == F.lit(run_date)).select("value"))
     raise FileNotFoundError(f"no raw logs for {run_date} under {root}")
 
 
