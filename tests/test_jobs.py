@@ -63,6 +63,10 @@ def test_missing_data_is_an_error(spark, tmp_path):
     spark.createDataFrame([(5, 1, "x", "y")], S.IP_RANGE_SCHEMA).write.parquet(bad)
     with pytest.raises(Exception, match="unusable IP range"):
         load_ip_ranges(spark, bad).collect()
+    twice = str(tmp_path / "twice")
+    spark.createDataFrame([(1, 5, "x", "y"), (5, 9, "x", "y")], S.IP_RANGE_SCHEMA).write.parquet(twice)
+    with pytest.raises(ValueError, match="overlapping"):
+        load_ip_ranges(spark, twice)
 
 
 def test_scans_are_pruned(spark, sf_dir, tmp_path):

@@ -14,7 +14,7 @@ from visitlake.operators import dimensions as D
 from visitlake.operators import hourly as H
 from visitlake.operators import lookups
 from visitlake.operators import visitors as V
-from visitlake.operators.ip_ranges import find_ip_ranges, join_ip_range, list_range_ends
+from visitlake.operators.ip_ranges import find_ip_ranges, find_overlaps, join_ip_range, list_range_ends
 
 RUN = date(2024, 1, 10)
 EVENT_FIELDS = "en string, pl string, ver string, browser string, browser_v string, u_ud string, u_sd string, s_time bigint"
@@ -54,6 +54,15 @@ def test_range_lookup(spark, seed, max_rows, monkeypatch):
     assert "NestedLoop" not in plan(joined) and "Cartesian" not in plan(joined)
 
 
+def test_overlaps_are_found(spark):
+    octet = 1 << 24
+    good = [(0, 5), (6, 6), (7, 3 * octet), (3 * octet + 1, 3 * octet + 9)]
+    make = lambda pairs: spark.createDataFrame([(b, e, "", "") for b, e in pairs], S.IP_RANGE_SCHEMA)
+    assert find_overlaps(make(good)).isEmpty()
+    for extra in ((6, 6), (2 * octet, 2 * octet), (3 * octet, 3 * octet), (3 * octet + 9, 3 * octet + 20)):
+        assert not find_overlaps(make([*good, extra])).isEmpty()
+
+
 def test_range_listing(spark):
     table = spark.createDataFrame([(1 << 24, (1 << 24) + 5, "广东", "电信"), (2 << 24, 3 << 24, "x", "广东y"), (9, 9, "z", "")],
                                   S.IP_RANGE_SCHEMA)
@@ -204,7 +213,7 @@ def test_ids_of_udf_style_calls(spark):
     dates = D.assign_dim_ids(spark.createDataFrame([], "id int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in days.schema)), days, S.DATE_KEYS)
     ids = {g: D.with_date_id(column(spark, ["2015-12-20"]), dates, "c", g).first().date_dimension_id for g in ("day", "week", "year")}
     assert len(set(ids.values())) == 3 and None not in ids.values()
-    for bad in ("20151220", "", None):
+    for bad in ("20151220", "2015-99-99", "", None):
         with pytest.raises(Exception, match="not a date"):
             D.with_date_id(column(spark, [bad]), dates, "c", "day").collect()
     with pytest.raises(ValueError):

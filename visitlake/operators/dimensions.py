@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from visitlake import schema as S
 from visitlake.functions.text import is_blank
-from visitlake.functions.timeparts import date_dimension
+from visitlake.functions.timeparts import date_dimension, is_valid_run_date
 from visitlake.operators.hourly import pivot_hours
 from visitlake.operators.rollups import rollup_browser, rollup_platform
 
@@ -98,9 +98,8 @@ def with_date_id(df: DataFrame, dim: DataFrame, date_col: str, grain: str, id_co
     if not S.DATE_GRAINS.get(grain, False):
         raise ValueError(f"no date dimension for grain: {grain}")
     text = F.col(date_col).cast("string")
-    bad = is_blank(text) | ~F.coalesce(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.lit(False))
-    checked = F.when(bad, F.raise_error(F.concat(F.lit("not a date: "), F.coalesce(text, F.lit("null")))).cast("date"))
-    period = date_dimension(checked.otherwise(text.cast("date")), grain)
+    error = F.raise_error(F.concat(F.lit("not a date: "), F.coalesce(text, F.lit("null")))).cast("date")
+    period = date_dimension(F.when(is_valid_run_date(text), text.try_cast("date")).otherwise(error), grain)
     keyed = df.withColumn("_period", period).select(
         *df.columns, *[F.col("_period")[k].alias(f"_{k}") for k in S.DATE_KEYS]
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,14 @@ from visitlake import schema as S
 from visitlake.functions.timeparts import event_date, event_hour
 from visitlake.operators.rollups import PLATFORM_LEVELS, level_label
 
+_EPOCH = date(1970, 1, 1)
+
 # What is counted per hour: event kind, identifying column and the KPIs read off it.
-_SUBJECTS = {
-    "launch_visitor": (S.LAUNCH, "u_ud", (S.KPI_HOURLY_NEW_USERS,)),
-    "visitor": (S.PAGE_VIEW, "u_ud", (S.KPI_ACTIVE_USERS,)),
-    "session": (S.PAGE_VIEW, "u_sd", (S.KPI_SESSIONS, S.KPI_SESSION_LENGTH)),
-}
+_SUBJECTS = (
+    (S.LAUNCH, "u_ud", (S.KPI_HOURLY_NEW_USERS,)),
+    (S.PAGE_VIEW, "u_ud", (S.KPI_ACTIVE_USERS,)),
+    (S.PAGE_VIEW, "u_sd", (S.KPI_SESSIONS, S.KPI_SESSION_LENGTH)),
+)
 
 
 def stage_hourly(events: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -36,33 +40,33 @@ def hourly_kpis(events: DataFrame, kpis: tuple[str, ...] = S.HOURLY_KPIS, tz: st
     unknown = set(kpis) - set(S.HOURLY_KPIS)
     if unknown or not kpis:
         raise ValueError(f"no such KPI: {sorted(unknown)}")
-    wanted = {s: v for s, v in _SUBJECTS.items() if set(v[2]) & set(kpis)}
+    wanted = {code: v for code, v in enumerate(_SUBJECTS) if set(v[2]) & set(kpis)}
     staged = stage_hourly(events, tz).filter(F.col("en").isin(sorted({v[0] for v in wanted.values()})))
-    by_event = {
-        en: F.array(*[
-            F.struct(F.lit(s).alias("subject"), F.col(c).alias("id")) for s, (e, c, _) in wanted.items() if e == en
-        ])
-        for en in {v[0] for v in wanted.values()}
-    }
     subjects = None
-    for en, told in by_event.items():
+    for en in sorted({v[0] for v in wanted.values()}):
+        told = F.array(*[
+            F.struct(F.lit(code).cast("tinyint").alias("subject"), F.col(c).alias("id"))
+            for code, (e, c, _) in wanted.items() if e == en
+        ])
         subjects = (F.when if subjects is None else subjects.when)(F.col("en") == en, told)
-    group = ["subject", "pl", "ver", "date", "hour", "id"]
+    # short keys: a code for the subject and one number for date and hour
+    slot = F.datediff("date", F.lit(_EPOCH)) * 24 + F.col("hour")
+    group = ["subject", "pl", "ver", "slot", "id"]
     finest = (
-        staged.select("pl", "ver", "date", "hour", "s_time", F.inline(subjects))
+        staged.select("pl", "ver", slot.alias("slot"), "s_time", F.inline(subjects))
         .groupBy(*group).agg(F.min("s_time").alias("first"), F.max("s_time").alias("last"))
     )
-    levels = [("subject", *p, "date", "hour", "id") for p in PLATFORM_LEVELS]
+    levels = [("subject", *p, "slot", "id") for p in PLATFORM_LEVELS]
     rolled = finest.groupingSets(levels, *group).agg(
         F.min("first").alias("first"), F.max("last").alias("last"),
         F.grouping_id().alias("level"), level_label("pl").alias("_pl"), level_label("ver").alias("_ver"),
     )
-    counted = rolled.groupBy("subject", "level", "_pl", "_ver", "date", "hour").agg(
+    counted = rolled.groupBy("subject", "level", "_pl", "_ver", "slot").agg(
         F.count("id").alias("ids"),
         F.expr("sum(last - first) div 1000").alias("seconds"),
     )
     values = None
-    for s, (_, _, names) in wanted.items():
+    for code, (_, _, names) in wanted.items():
         rows = F.array(*[
             F.struct(
                 F.lit(k).alias("kpi"),
@@ -70,9 +74,11 @@ def hourly_kpis(events: DataFrame, kpis: tuple[str, ...] = S.HOURLY_KPIS, tz: st
             )
             for k in names if k in kpis
         ])
-        values = (F.when if values is None else values.when)(F.col("subject") == s, rows)
+        values = (F.when if values is None else values.when)(F.col("subject") == code, rows)
     return counted.select(
-        F.col("_pl").alias("pl"), F.col("_ver").alias("ver"), "date", "hour", F.inline(values)
+        F.col("_pl").alias("pl"), F.col("_ver").alias("ver"),
+        F.date_add(F.lit(_EPOCH), F.floor(F.col("slot") / 24).cast("int")).alias("date"),
+        F.pmod("slot", F.lit(24)).alias("hour"), F.inline(values),
     )
 
 

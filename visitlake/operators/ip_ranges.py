@@ -8,7 +8,7 @@ address therefore has four buckets to look in, each of bounded size, and the loo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions.ip import address_text, ip_to_long, long_to_ip
@@ -35,6 +35,17 @@ def list_range_ends(ranges: DataFrame) -> DataFrame:
     return ranges.select(long_to_ip(F.col("end_ip")).alias("end_ip"))
 
 
+def find_overlaps(ranges: DataFrame) -> DataFrame:
+    """Ranges that begin before another one, which begins no later, has ended. There should be none.
+
+    A range is looked at under each first octet it touches, so no task has to sort all ranges.
+    """
+    octet = F.explode(F.sequence(F.shiftright("begin_ip", 24), F.shiftright("end_ip", 24)))
+    earlier = Window.partitionBy("_octet").orderBy("begin_ip", "end_ip").rowsBetween(Window.unboundedPreceding, -1)
+    seen = ranges.select("begin_ip", "end_ip", octet.alias("_octet")).withColumn("_last", F.max("end_ip").over(earlier))
+    return seen.filter(F.col("_last") >= F.col("begin_ip")).select("begin_ip", "end_ip").distinct()
+
+
 def _prefix(ip: Column, bits: int) -> Column:
     return F.shiftright(ip, 32 - bits)
 

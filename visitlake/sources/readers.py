@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from visitlake import schema as S
 from visitlake.operators.dimensions import first_ids
+from visitlake.operators.ip_ranges import find_overlaps
 from visitlake.sources.files import children, exists, spread
 
 
@@ -37,14 +38,23 @@ def read_event_logs(spark: SparkSession, root: str, start: date, end: date) -> D
 
 
 def load_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """IP ranges (begin_ip, end_ip, country, area) that do not overlap; unusable rows are an error."""
+    """IP ranges (begin_ip, end_ip, country, area); unusable and overlapping ranges are an error."""
     ranges = spark.read.format(fmt).options(**options).schema(S.IP_RANGE_SCHEMA).load(path)
     usable = F.coalesce(
         (F.col("begin_ip") >= 0) & (F.col("begin_ip") <= F.col("end_ip")) & (F.col("end_ip") < 1 << 32), F.lit(False)
     )
     begin = F.when(usable, F.col("begin_ip")).otherwise(F.raise_error(F.lit("unusable IP range")).cast("bigint"))
     text = {c: F.coalesce(c, F.lit("")) for c in ("country", "area")}
-    return ranges.withColumns({"begin_ip": begin, **text})
+    checked = ranges.withColumns({"begin_ip": begin, **text})
+    overlaps = find_overlaps(checked).take(3)
+    if overlaps:
+        raise ValueError(f"overlapping IP ranges, such as {overlaps}")
+    return checked
+
+
+def read_jdbc_table(spark: SparkSession, url: str, table: str, **properties: str) -> DataFrame:
+    """A dimension or fact table kept in a relational database."""
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **properties).load()
 
 
 def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
