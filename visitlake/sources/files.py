@@ -47,10 +47,11 @@ def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 def spread(lines: DataFrame) -> DataFrame:
     """Lines of few input splits, such as a handful of compressed files, dealt out to all cores.
 
-    Parsing costs much more than moving a line. Inputs with enough splits stay where they are.
+    Parsing a line costs several times as much as moving it, so this pays while less than half of the cores
+    would have work. Inputs with more splits stay where they are.
     """
     cores = lines.sparkSession.sparkContext.defaultParallelism
-    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+    return lines.repartition(cores) if 2 * lines.rdd.getNumPartitions() <= cores else lines
 
 
 def delete(spark: SparkSession, path: str) -> None:
