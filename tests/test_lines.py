@@ -119,7 +119,7 @@ def test_params_against_brute_force(spark):
 
 def test_golden_params(spark):
     q = "a=1&b=2&a=3&c=x=y&d&e=&=v&f=q+r%20s&g=%ZZ&c2==z"
-    row = add_params(column(spark, [q, None], name="q"), "q", "p", ip=F.lit("x"), s_time=F.lit(None)).collect()
+    row = add_params(column(spark, [q, None], name="q"), "q", "p", {"ip": F.lit("x"), "s_time": F.lit(None)}).collect()
     assert row[0].p == {"ip": "x", "a": "3", "b": "2", "c": "x", "": "v", "f": "q r s", "c2": ""}
     assert row[1].p is None
 

@@ -7,10 +7,19 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.functions.text import is_blank, trim_controls, url_decode
+from visitlake.functions.text import blank_to_null, is_blank, trim_controls, url_decode
 from visitlake.schema import LINE_SEPARATOR
 
 
+def computed_once(df: DataFrame, keep: list[str], computed: list[str]) -> DataFrame:
+    """Columns `keep` and `computed`, the latter safe from being computed again by later filters.
+
+    The optimizer moves filters below projections by repeating the projected expressions, which would
+    parse each line again for every field tested. A one-element `inline` stops that.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*computed))))
+
+
 def cut_line(line: Column) -> Column:
     """All fields of a line, empty ones included."""
     return F.split(trim_controls(line), re.escape(LINE_SEPARATOR))
@@ -29,21 +38,30 @@ def parse_server_time(c: Column) -> Column:
     return F.when(millis != -1, millis)
 
 
+def after_question_mark(request: Column) -> Column:
+    """What follows the first `?`, null when there is none."""
+    return F.when(
+        F.contains(request, F.lit("?")), F.substring(request, F.instr(request, "?") + 1, F.octet_length(request))
+    )
+
+
 def extract_query(request: Column) -> Column:
     """What follows the first `?`; null when there is none, it comes last or only blanks follow."""
-    query = F.substring(request, F.instr(request, "?") + 1, F.length(request))
-    return F.when(F.contains(request, F.lit("?")) & ~is_blank(query), query)
+    return blank_to_null(after_question_mark(request))
 
 
 # One parameter: its name up to the first `=` and its value up to the next one. Something other than `=` has
 # to follow the first `=`, so `k`, `k=` and `k==` are no parameters while `k==v` is one with an empty value.
 _PARAMETER = r"(?:^|&)([^&=]*)=(?==*[^&=])([^&=]*)"
-_TOUCHY = r"[\x00-\x20]|%0[123]"
+_CONTROL = r"[\x00-\x20]"
+_ESCAPED_MARK = r"%0[123]"
 # Stand-ins for an escaped `&` and `=` while the others are decoded, and the separator of joined texts.
 _AMPERSAND, _EQUALS, _JOINT = "\x02", "\x03", "\x01"
 
 
-def add_params(df: DataFrame, query_col: str, out_col: str, **first: Column) -> DataFrame:
+def add_params(
+    df: DataFrame, query_col: str, out_col: str, first: dict[str, Column] | None = None, settled: tuple[str, ...] = ()
+) -> DataFrame:
     """Adds the map of the decoded parameters of a query string, after the entries `first`.
 
     The last one of equal names counts, also against `first`. Parameters with malformed escapes and entries
@@ -51,15 +69,19 @@ def add_params(df: DataFrame, query_col: str, out_col: str, **first: Column) ->
 
     Nearly all query strings are decoded as a whole and cut up by two passes of one pattern. Escaped
     separators are set aside meanwhile. Strings with raw control characters or malformed escapes are cut up
-    first and decoded piece by piece.
+    first and decoded piece by piece. Neither the map nor the columns `settled` are computed again by filters.
     """
+    first = first or {}
     query = F.col(query_col)
     escaped = F.contains(query, F.lit("%")) | F.contains(query, F.lit("+"))
+    separators = F.contains(query, F.lit("%26")) | F.contains(query, F.lit("%3"))
     aside = query
     for escape, mark in (("%26", _AMPERSAND), ("%3D", _EQUALS), ("%3d", _EQUALS)):
         aside = F.replace(aside, F.lit(escape), F.lit(mark))
-    whole = F.when(~query.rlike(_TOUCHY), F.when(escaped, url_decode(aside)).otherwise(query))
-    staged = df.withColumns({"_whole": whole, "_aside": F.length(aside) < F.length(query)})
+    aside = F.when(separators, aside).otherwise(query)
+    touchy = query.rlike(_CONTROL) | (F.contains(query, F.lit("%0")) & query.rlike(_ESCAPED_MARK))
+    whole = F.when(~touchy, F.when(escaped, url_decode(aside)).otherwise(query))
+    staged = df.withColumns({"_whole": whole, "_aside": separators})
 
     def restore(texts: Column) -> Column:
         joined = F.array_join(texts, _JOINT)
@@ -93,7 +115,8 @@ def add_params(df: DataFrame, query_col: str, out_col: str, **first: Column) ->
     repeated = F.size("_distinct") < F.size("_names")
     chosen = F.transform("_distinct", lambda n: F.element_at("_values", F.array_position("_names", n).cast("int")))
     params = F.map_from_arrays("_distinct", F.when(repeated, chosen).otherwise(F.col("_values")))
-    return staged.withColumn(out_col, F.when(query.isNotNull(), params)).select(*df.columns, out_col)
+    done = staged.withColumn(out_col, F.when(query.isNotNull(), params))
+    return computed_once(done, [c for c in df.columns if c not in settled], [*settled, out_col])
 
 
 def _pieces(text: Column, group: int) -> Column:

@@ -22,9 +22,10 @@ WHITESPACE = "".join(
 def trim_controls(c: Column) -> Column:
     """Text without leading and trailing characters up to U+0020.
 
-    Most texts need no trimming, which a look at both ends tells faster than the trim itself.
+    Most texts need no trimming, which a look at the bytes of both ends tells faster than the trim itself.
     """
-    clean = (F.ascii(c) > 0x20) & (F.ascii(F.substring(c, -1, 1)) > 0x20)
+    raw, space = c.cast("binary"), F.lit(b" ")
+    clean = (F.substring(raw, 1, 1) > space) & (F.substring(raw, -1, 1) > space)
     return F.when(clean, c).otherwise(F.btrim(c, F.lit(CONTROL_CHARS)))
 
 
@@ -52,4 +53,5 @@ def url_decode(c: Column) -> Column:
 
 def whole_number(c: Column) -> Column:
     """A plain decimal integer as bigint, anything else (padding, fractions, overflow) null."""
-    return F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("bigint"))
+    number = c.try_cast("bigint")
+    return F.when((number.cast("string") == c) | c.rlike(r"^[+-]?[0-9]+$"), number)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from visitlake import schema as S
 from visitlake.functions.agents import BROWSER_RULES, OS_RULES, parse_user_agent
 from visitlake.functions.ip import ip_to_long, parse_region
-from visitlake.functions.params import add_params, cut_line, extract_query, is_three_fields, parse_server_time
+from visitlake.functions.params import (
+    add_params, after_question_mark, computed_once, cut_line, is_three_fields, parse_server_time,
+)
 from visitlake.functions.text import blank_to_null, is_blank, trim_controls, whole_number
 from visitlake.functions.timeparts import event_date, midnight_millis
 from visitlake.operators.ip_ranges import join_ip_range
@@ -16,15 +18,6 @@ from visitlake.operators.ip_ranges import join_ip_range
 RESERVED_FIELDS = ["ip", "s_time", *S.REGION_COLUMNS, *S.AGENT_COLUMNS]
 
 
-def computed_once(df: DataFrame, keep: list[str], computed: list[str]) -> DataFrame:
-    """Columns `keep` and `computed`, the latter safe from being computed again by later filters.
-
-    The optimizer moves filters below projections by repeating the projected expressions, which would
-    parse each line again for every field tested. A one-element `inline` stops that.
-    """
-    return df.select(*keep, F.inline(F.array(F.struct(*computed))))
-
-
 def parse_log_lines(
     lines: DataFrame, value_col: str = "value", protect_reserved: bool = False
 ) -> DataFrame:
@@ -39,18 +32,20 @@ def parse_log_lines(
         "_three": is_three_fields(F.col("_cut")),
         **{name: trim_controls(F.get("_cut", F.lit(i))) for i, name in enumerate(("_ip", "_time", "_request"))},
     })
-    queried = trimmed.withColumn("_query", F.when(F.col("_three"), extract_query(F.col("_request"))))
+    after = trimmed.withColumn("_after", F.when(F.col("_three"), after_question_mark(F.col("_request"))))
+    queried = after.withColumn("_query", blank_to_null(F.col("_after")))
     error = F.when(~F.col("_three"), S.BAD_LINE).when(F.col("_query").isNull(), S.NO_PARAMETERS)
     timed = queried.withColumn("_millis", parse_server_time(F.col("_time")).cast("string"))
     own = {"ip": F.col("_ip"), "s_time": F.col("_millis")}
-    parsed = add_params(timed, "_query", "fields", **own).withColumn("parse_error", error)
     if protect_reserved:
-        given = F.map_filter("fields", lambda k, v: ~k.isin(RESERVED_FIELDS))
-        own_map = F.map_filter(
+        timed = timed.withColumn("_own", F.map_filter(
             F.create_map(*[c for n, v in own.items() for c in (F.lit(n), v)]), lambda k, v: v.isNotNull()
-        )
-        parsed = parsed.withColumn("fields", F.map_concat(given, own_map))
-    return computed_once(parsed, lines.columns, ["fields", "parse_error"])
+        ))
+    parsed = add_params(timed.withColumn("parse_error", error), "_query", "fields", own, ("parse_error",))
+    if protect_reserved:
+        given = F.map_filter("fields", lambda k, v: ~k.isin(RESERVED_FIELDS))
+        parsed = parsed.withColumn("fields", F.map_concat(given, "_own"))
+    return parsed.select(*lines.columns, "fields", "parse_error")
 
 
 def required_fields(platform: Column, event: Column, strict: bool = False) -> Column:
