@@ -30,10 +30,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory name in the shared folder the cluster names for checkpoints.
 
-    Falls back to a local temporary folder where none is set, as in tests.
+    Only local sessions, as in tests, may do without that setting and use a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="visitlake-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        root = tempfile.mkdtemp(prefix="visitlake-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
