@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import simhash
+from visitlake.llm import language, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,3 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5_simhash_groups(spark, sf):
     groups = simhash.simhash_groups(table(spark, sf, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_language_id(spark, sf):
+    return language.identify_languages(table(spark, sf, "documents"))
