@@ -22,7 +22,7 @@ from visitlake.llm.folds import fold, fraction
 BITS = 14  # 2^BITS hashed features
 SAMPLE_ROWS = 3000  # rows the regression is fitted on; document frequencies come from all learnable rows
 UNDETERMINED = "und"
-MIN_SCORE = 0.5  # below this no language is more likely than all others together
+MIN_SCORE = 0.3  # clean texts of a few words stay well above this
 
 
 @dataclass(frozen=True)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import language, simhash
+from visitlake.llm import chat, language, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +35,49 @@ def op5_simhash_groups(spark, sf):
 @query
 def op7_language_id(spark, sf):
     return language.identify_languages(table(spark, sf, "documents"))
+
+
+def _chat_digest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What the formatted conversations say, read back from text, offsets and mask alone."""
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for part in parts:
+        rows = []
+        for conv_id, text, starts, ends, mask in zip(
+            part["conv_id"], part["formatted"], part["token_starts"], part["token_ends"], part["loss_mask"]
+        ):
+            turns = chat.parse(text)
+            regions = chat.masked_regions(np.asarray(starts), np.asarray(ends), np.asarray(mask, dtype=bool))
+            loss = "".join(chat.unescape(text[a:b]) for a, b in regions)
+            rows.append((conv_id, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        frame = pd.DataFrame(rows, columns=names)
+        frame["conv_id"] = part["conv_id"].to_numpy()  # keeps a null as it came
+        yield frame
+
+
+@query
+def op2_chat_format(spark, sf):
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf, "conversations").select(extra.columns).unionByName(extra)
+    formatted = chat.format_conversations(turns).drop("token_ids")
+    return formatted.mapInPandas(
+        _chat_digest,
+        "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
+    )
+
+
+# The marks and separator of a turn are 15 characters for the assistant's and 21 for others, plus one per escape.
+_ESCAPES = r"""'[<\[]\\*(s>|/s>|INST\]|/INST\]|\|text\|>|\|endoftext\|>)'"""
+ORACLES["op2_chat_format"] = f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn nulls first, role, text)) as loss_sha256,
+  cast(sum(case when role = 'assistant' then 15 else 21 end + length(role) + length(text)
+    + len(regexp_extract_all(role, {_ESCAPES})) + len(regexp_extract_all(text, {_ESCAPES}))) as bigint) as formatted_chars
+from turns group by conv_id
+"""
