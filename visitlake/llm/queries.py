@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import chat, language, simhash
+from visitlake.llm import chat, language, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +81,24 @@ select conv_id, count(*) as n_turns,
     + len(regexp_extract_all(role, {_ESCAPES})) + len(regexp_extract_all(text, {_ESCAPES}))) as bigint) as formatted_chars
 from turns group by conv_id
 """
+
+
+@query
+def op9_exact_top_k(spark, sf):
+    vectors = topk.quantized(table(spark, sf, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("id % 20 = 0"))
+
+
+ORACLES["op9_exact_top_k"] = """
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
