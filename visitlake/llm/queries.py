@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import chat, language, simhash, topk
+from visitlake.llm import chat, language, secret_scan, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,8 @@ ranked as (
   select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
+
+
+@query
+def op10_secret_scan(spark, sf):
+    return secret_scan.secret_digest(secret_scan.scan_secrets(table(spark, sf, "documents")))
