@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import chat, language, secret_scan, simhash, topk
+from visitlake.llm import chat, language, pii, secret_scan, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +107,8 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 @query
 def op10_secret_scan(spark, sf):
     return secret_scan.secret_digest(secret_scan.scan_secrets(table(spark, sf, "documents")))
+
+
+@query
+def op1_personal_data(spark, sf):
+    return pii.personal_data_digest(pii.find_personal_data(table(spark, sf, "documents")))
