@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import chat, language, pii, secret_scan, simhash, topk
+from visitlake.llm import chat, language, pii, ppm, secret_scan, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +112,8 @@ def op10_secret_scan(spark, sf):
 @query
 def op1_personal_data(spark, sf):
     return pii.personal_data_digest(pii.find_personal_data(table(spark, sf, "documents")))
+
+
+@query
+def op4_lm_scores(spark, sf):
+    return ppm.score_texts(table(spark, sf, "documents"))
