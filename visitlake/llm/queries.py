@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import chat, language, pii, ppm, secret_scan, simhash, topk
+from visitlake.llm import chat, language, pii, ppm, quality, secret_scan, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +117,8 @@ def op1_personal_data(spark, sf):
 @query
 def op4_lm_scores(spark, sf):
     return ppm.score_texts(table(spark, sf, "documents"))
+
+
+@query
+def op6_quality_scores(spark, sf):
+    return quality.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
