@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import chat, language, pii, ppm, quality, secret_scan, simhash, topk
+from visitlake.llm import chat, decontaminate, language, pii, ppm, quality, secret_scan, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,3 +122,8 @@ def op4_lm_scores(spark, sf):
 @query
 def op6_quality_scores(spark, sf):
     return quality.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op3_benchmark_leaks(spark, sf):
+    return decontaminate.find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
