@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import chat, decontaminate, language, pii, ppm, quality, secret_scan, simhash, topk
+from visitlake.llm import chat, decontaminate, language, mixing, pii, ppm, quality, secret_scan, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,3 +127,51 @@ def op6_quality_scores(spark, sf):
 @query
 def op3_benchmark_leaks(spark, sf):
     return decontaminate.find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op8_source_mix(spark, sf):
+    return mixing.mix_sources(table(spark, sf, "documents"))
+
+
+# The exponents come from 40 halvings of [0, 1]; both are rounded as the operator rounds its own.
+MIX_SQL = """
+with recursive
+docs as (
+  select doc_id, source, n_tokens, ('0x' || substr(md5(concat_ws(':', 'mix', coalesce(source, ''), coalesce(cast(doc_id as varchar), ''))), 1, 15))::bigint as place
+  from (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as n_tokens from {documents}) t
+  where n_tokens > 0),
+totals as (select source, cast(sum(n_tokens) as bigint) as tokens from docs group by source),
+sizes as (select cast(sum(tokens) as bigint) as t, count(*) as n, min(tokens) as least, list(ln(tokens / s.total)) as logs
+  from totals, (select cast(sum(tokens) as double) as total from totals) s),
+halves(k, a, b, c, d) as (
+  select 0, 0.0::double, 1.0::double, 0.0::double, 1.0::double
+  union all
+  select k + 1, if(enough, (a + b) / 2, a), if(enough, b, (a + b) / 2), if(often, (c + d) / 2, c), if(often, d, (c + d) / 2)
+  from (select *,
+      ln(list_sum(list_transform(logs, lambda l: exp((a + b) / 2 * l))))
+        - (a + b) / 2 * list_sum(list_transform(logs, lambda l: l * exp((a + b) / 2 * l))) / list_sum(list_transform(logs, lambda l: exp((a + b) / 2 * l)))
+        >= 0.999 * ln(n) as enough,
+      exp(((c + d) / 2 - 1) * ln(least / t)) / list_sum(list_transform(logs, lambda l: exp((c + d) / 2 * l))) > 4 as often
+    from halves, sizes where k < 40)),
+exponent as (
+  select case when n = 1 then 1.0 else greatest(
+    round(a, 6), round(c, 6)) end as e from halves, sizes where k = 40),
+weighted as (select source, tokens, t, pow(tokens / t, e) as w from totals, sizes, exponent),
+plan as (
+  select source, tokens, cast(round(w / (sum(w) over ()) * t) as bigint) as quota, greatest(1, cast(ceil(t / 100000.0) as bigint)) as blocks
+  from weighted),
+placed as (
+  select d.*, p.tokens, p.quota, p.blocks, coalesce(sum(n_tokens) over (partition by d.source order by place, doc_id, n_tokens
+    rows between unbounded preceding and 1 preceding), 0) as before
+  from docs d join plan p on d.source is not distinct from p.source),
+uses as (
+  select *, unnest(range(cast(ceil((quota - before) / tokens) as bigint))) as copy from placed where before < quota),
+dealt as (
+  select cast(least(floor((copy * tokens + before) / quota * blocks), blocks - 1) as bigint) as block, doc_id, source, cast(copy as int) as copy, n_tokens from uses)
+select block, cast(row_number() over (partition by block order by
+    ('0x' || substr(md5(concat_ws(':', 'mix', cast(block as varchar), coalesce(source, ''), coalesce(cast(doc_id as varchar), ''), cast(copy as varchar))), 1, 15))::bigint,
+    doc_id, copy, n_tokens) as int) as position, doc_id, source, copy, n_tokens
+from dealt
+"""
+ORACLES["op8_source_mix"] = MIX_SQL.replace("{documents}", "documents")
