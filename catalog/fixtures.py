@@ -42,7 +42,8 @@ from ({FX}) fx
 # Raw lines, some malformed: two fields, bad time, no query, unknown event, no platform, no page url.
 RAW = f"""
 select event_id, concat(
-  '10.', cast(user_id % 16 as string), '.', cast(event_id % 256 as string), '.7', '^A',
+  case when event_id % 17 = 0 then '11.' when event_id % 19 = 0 then '13.' else '10.' end,
+  case when event_id % 4 = 3 then '1.2' else concat(cast(user_id % 16 as string), '.', cast(event_id % 256 as string)) end, '.7', '^A',
   case when event_id % 103 = 0 then 'bad-time'
        else concat(cast(cast((ms - ms % 1000) / 1000 as bigint) as string), '.', lpad(cast(ms % 1000 as string), 3, '0')) end,
   case when event_id % 101 = 0 then '' when event_id % 107 = 0 then '^A/log.gif'
@@ -65,13 +66,16 @@ PLACES = [
     "重庆市云阳县", "北京市清华大学小区", "河北省", " CZ88.NET", "",
 ]
 
-# One range per customer, 201 to 500 addresses long, with gaps; a part of them crosses a /24 border.
+# One range per customer, 201 to 500 addresses long, with gaps; a part of them crosses a /24 border. Two more share only the
+# first byte, or none, between their ends.
 IP_RANGES = """
 select cast(167772160 + c_custkey * 512 as bigint) as begin_ip,
   cast(167772160 + c_custkey * 512 + 200 + c_custkey % 300 as bigint) as end_ip,
   case c_custkey % 14 {cases} else n_name end as country,
   case when c_custkey % 5 = 0 then ' CZ88.NET' else lower(c_mktsegment) end as area
 from {customer} join {nation} on c_nationkey = n_nationkey
+union all select cast(184549376 as bigint), cast(185204735 as bigint), n_name, 'wide' from {nation} where n_nationkey = 0
+union all select cast(201326592 as bigint), cast(268435455 as bigint), n_name, 'wider' from {nation} where n_nationkey = 1
 """.replace("{cases}", " ".join(f"when {i} then '{p}'" for i, p in enumerate(PLACES)))
 
 SPARK_MS = "timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"

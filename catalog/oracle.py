@@ -106,7 +106,7 @@ ORACLES["hourly_new_users"] = _with(**HOURLY_PARTS) + HOURLY["new_users"]
 ORACLES["hourly_session_count"] = _with(**HOURLY_PARTS) + HOURLY["sessions"]
 ORACLES["hourly_session_length"] = _with(**HOURLY_PARTS) + HOURLY["sessions_lengths"]
 ORACLES["hourly_kpis"] = _with(**HOURLY_PARTS) + "select * from hourly"
-CELLS = ", ".join(f"cast(max(case when hour = {h} then value else 0 end) as int) as hour_{h:02d}" for h in range(24))
+CELLS = ", ".join(f"cast(max(case when hour = {h} then value else 0 end) as bigint) as hour_{h:02d}" for h in range(24))
 WIDE = f"select pl, ver, date, kpi, {CELLS} from hourly group by pl, ver, date, kpi"
 ORACLES["hourly_kpis_pivot"] = _with(**HOURLY_PARTS) + WIDE
 ORACLES["export_hourly_tsv"] = ORACLES["hourly_kpis_pivot"]
@@ -147,7 +147,12 @@ ORACLES["period_bounds"] = _with(days=DAYS, w="select d, d - cast(dayofweek(d) a
     d + 2 as in_two_days, d - 1 as day_before from w"""
 ORACLES["time_text"] = _with(fx=FX, t="select event_id, s_time, make_timestamp(s_time * 1000) as ts from fx") + """
   select event_id, strftime(ts, '%Y-%m-%d') as day_text, strftime(ts, '%Y%m%d') as day_suffix, true as valid,
-    s_time - s_time % 86400000 as midnight, cast(ts as date) as date, cast(hour(ts) as int) as hour from t"""
+    s_time - s_time % 86400000 as midnight, cast(ts as date) as date, cast(hour(ts) as int) as hour,
+    s_time - s_time % 1000 as second, s_time - s_time % 60000 - 28800000 as shanghai_minute from t"""
+ORACLES["event_types"] = _with(fx=FX) + """select id, name, alias, count(en) as events from (values
+    (1, 'launch event', 'e_l'), (2, 'page view event', 'e_pv'), (3, 'charge request event', 'e_crt'),
+    (4, 'charge success event', 'e_cs'), (5, 'charge refund event', 'e_cr'), (6, 'event duration event', 'e_e'))
+    t(id, name, alias) left join fx on alias = en group by id, name, alias"""
 
 PLATFORMS = """select distinct platform_name, platform_version from (
   select pl as platform_name, coalesce(ver, 'unknown') as platform_version from fx
@@ -213,15 +218,18 @@ ORACLES["stats_hourly"] = _with(**HOURLY_PARTS, **HOURLY_IDS) + f"""
 
 _old, _new = _install_parts(X.RUN_DATE), _install_parts(X.LATER_RUN_DATE)
 BY_NAME = "select platform_name, platform_version, type, calendar, new_install_users from stats"
-ORACLES["upsert_facts"] = f"""
+_UPSERTED = """
   select coalesce(o.platform_name, n.platform_name) as platform_name,
     coalesce(o.platform_version, n.platform_version) as platform_version, coalesce(o.type, n.type) as type,
     coalesce(o.calendar, n.calendar) as calendar, coalesce(n.new_install_users, o.new_install_users) as new_install_users,
     case when o.type is null then date '2024-01-20' else date '2024-01-10' end as created
-  from ({_with(**_old) + BY_NAME}) o full join ({_with(**_new) + BY_NAME}) n
-  on o.platform_name = n.platform_name and o.platform_version = n.platform_version and o.type = n.type
+  from ({old}) o full join ({new}) n
+  on o.platform_name = n.platform_name and o.platform_version is not distinct from n.platform_version and o.type = n.type
     and o.calendar = n.calendar"""
-ORACLES["upsert_stream_facts"] = ORACLES["upsert_facts"]
+ORACLES["upsert_facts"] = _UPSERTED.format(old=_with(**_old) + BY_NAME, new=_with(**_new) + BY_NAME)
+_WITH_NULLS = BY_NAME + """ union all select platform_name, null, type, calendar, new_install_users from stats
+  where platform_version = 'all'"""
+ORACLES["upsert_stream_facts"] = _UPSERTED.format(old=_with(**_old) + _WITH_NULLS, new=_with(**_new) + _WITH_NULLS)
 
 # ---------------------------------------------------------------- raw lines
 
@@ -388,3 +396,41 @@ ORACLES["etl_events"] = _with(
   c_time, p_url, tt, oid, cua, cut, pt, ca, ac, browser, browser_v, os, os_v, {_region('ip_country')},
   cast(0 as int) as n_extra from agents"""
 ORACLES["etl_stream_events"] = ORACLES["etl_events"]
+ORACLES["stream_then_batch_scan"] = _with(**VALID) + """
+  select streamed, en, pl, count(*) as events, cast(sum(s_time) as bigint) as time_sum
+  from valid, (values (true), (false)) t(streamed) group by all"""
+
+# --------------------------------------------------------------------- jobs
+
+ORACLES["etl_job_counts"] = _with(**CLASSIFIED) + """
+  select 'lines' as reason, count(*) as lines, cast(0 as bigint) as kept from classified
+  union all select reason, count(reject_reason), count(reject_reason) from (values ('bad_line'), ('no_parameters'),
+    ('unknown_event'), ('bad_server_time'), ('missing_platform'), ('unknown_platform'), ('event_not_allowed'),
+    ('missing_field')) t(reason) left join classified on reason = reject_reason group by reason"""
+ORACLES["kpi_job"] = _install(X.RUN_DATE, f"""
+  select kpi_name, platform_name, platform_version, type, calendar, browser_name, browser_version, new_install_users,
+    date '2024-01-10' as created from ({BOTH_KPIS})""")
+ORACLES["hourly_two_days"] = _with(**HOURLY_PARTS, **HOURLY_IDS) + f"""
+  select source, platform_name, platform_version, date as calendar, kpi as kpi_name, {HOURS}
+  from named, (values ('table'), ('tsv')) t(source) where date in (date '2024-01-01', date '2024-01-02')"""
+
+# ---------------------------------------------------------- other raw lines
+
+
+def _raw_parts(raw: str) -> dict[str, str]:
+    return {**RAW_PARTS, "raw": raw}
+
+
+_SET = f"""select event_id, case when event_id % 2 = 0 then value || '&ip=8.8.4.4&s_time=1704070000123' else value end as value
+  from ({RAW}) r"""
+ORACLES["client_set_fields"] = _with(**_raw_parts(_SET)) + f"""
+  select event_id, protected, parse_error,
+    case when parse_error is null then case when protected then line_ip else coalesce({_last('ip')}, line_ip) end end as ip,
+    case when parse_error is null then case when protected then cast(line_time as varchar)
+      else coalesce({_last('s_time')}, cast(line_time as varchar)) end end as s_time
+  from parsed, (values (false), (true)) t(protected)"""
+_REFUNDS = f"""select event_id, case when event_id % 5 = 0 then replace(replace(value, 'en=e_cs', 'en=e_cr'), '&u_mid=', '&x_mid=')
+  else replace(value, 'en=e_cs', 'en=e_cr') end as value from ({RAW}) r"""
+ORACLES["refund_lines"] = _with(**_raw_parts(_REFUNDS), classified=_classified()) + "select event_id, en, reject_reason from classified"
+ORACLES["row_hashes"] = _with(**VALID) + """
+  select en, 2 * count(*) as n_rows, cast(1 as bigint) as keys_per_event, count(distinct value) as n_hashes from valid group by en"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog import fixtures as X
 from visitlake import schema as S
 from visitlake.functions import timeparts as TP
-from visitlake.functions.agents import parse_user_agent
+from visitlake.functions.agents import with_user_agent
 from visitlake.functions.ip import ip_to_long, long_to_ip, parse_region
 from visitlake.functions.params import add_params, extract_query
 from visitlake.operators import dimensions as D
@@ -20,9 +20,11 @@ from visitlake.operators import ip_ranges as I
 from visitlake.operators import lines as L
 from visitlake.operators import rollups as R
 from visitlake.operators import visitors as V
-from visitlake.plans.jobs import etl
+from visitlake.plans.jobs import etl, run_etl, run_hourly, run_kpis
 from visitlake.sources.files import scratch_dir, staged
-from visitlake.sources.readers import load_ip_ranges, read_event_logs, read_facts, read_raw_logs
+from visitlake.sources.readers import (
+    current_version, load_ip_ranges, read_event_logs, read_facts, read_hourly, read_raw_logs,
+)
 from visitlake.sources.writers import export_tsv, write_event_logs
 from visitlake.streaming.streams import etl_stream, ingest_stream, upsert_stream
 
@@ -160,6 +162,8 @@ def time_text(spark, sf):
         "event_id", text.alias("day_text"), TP.format_millis(ms, "yyyyMMdd").alias("day_suffix"),
         TP.is_valid_run_date(text).alias("valid"), TP.date_to_millis(text).alias("midnight"),
         TP.event_date(ms).alias("date"), TP.event_hour(ms).alias("hour"),
+        TP.date_to_millis(TP.format_millis(ms, "yyyy-MM-dd HH:mm:ss"), "yyyy-MM-dd HH:mm:ss").alias("second"),
+        TP.date_to_millis(TP.format_millis(ms, "yyyyMMdd HHmm"), "yyyyMMdd HHmm", "Asia/Shanghai").alias("shanghai_minute"),
     )
 
 
@@ -175,9 +179,20 @@ def browser_dimension(spark, sf):
 
 @query
 def kpi_dimension(spark, sf):
+    """Ids of the KPIs that events give rise to."""
     _, _, kpis = D.hourly_dimension_rows(H.hourly_kpis(X.fx_dense(spark, sf)))
     stats = V.install_kpis(X.fx(spark, sf), X.RUN_DATE).select("kpi_name").distinct()
-    return _fresh_ids(spark, kpis.unionByName(stats), S.KPI_KEYS)
+    known = D.kpi_dimension(spark).join(kpis.unionByName(stats), "kpi_name", "left_semi")
+    return _fresh_ids(spark, known, S.KPI_KEYS)
+
+
+@query
+def event_types(spark, sf):
+    """Events per known kind."""
+    counts = X.fx(spark, sf).groupBy("en").agg(F.count("*").alias("events"))
+    return D.event_types(spark).join(counts, F.col("alias") == F.col("en"), "left").select(
+        "id", "name", "alias", F.coalesce("events", F.lit(0)).alias("events")
+    )
 
 
 def _fresh_ids(spark, candidates: DataFrame, keys: list[str]) -> DataFrame:
@@ -301,7 +316,8 @@ def url_params(spark, sf):
 def user_agents(spark, sf):
     agent = F.col("fields")[S.USER_AGENT]
     parsed = _parsed(spark, sf).filter(agent.isNotNull())
-    return parsed.select("event_id", parse_user_agent(agent).alias("a")).select("event_id", "a.*")
+    named = parsed.select("event_id", agent.alias("user_agent"))
+    return with_user_agent(named, "user_agent", "a").select("event_id", "a.*")
 
 
 # ---------------------------------------------------------------- addresses
@@ -383,7 +399,7 @@ def ip_range_table(spark, sf):
 def export_hourly_tsv(spark, sf):
     path = scratch_dir(spark, "hourly-tsv")
     export_tsv(H.pivot_hours(H.hourly_kpis(X.fx_dense(spark, sf))), path)
-    schema = "pl string, ver string, date date, kpi string, " + ", ".join(f"{h} int" for h in S.HOUR_COLUMNS)
+    schema = "pl string, ver string, date date, kpi string, " + ", ".join(f"{h} bigint" for h in S.HOUR_COLUMNS)
     return spark.read.option("sep", "\t").option("nullValue", "\\N").schema(schema).csv(path)
 
 
@@ -415,13 +431,133 @@ def etl_stream_events(spark, sf):
 
 @query
 def upsert_stream_facts(spark, sf):
-    """Two files of fact rows, one per run date, upserted as two micro-batches."""
-    fact = S.FactTable("by_name", (*S.PLATFORM_KEYS, "type", "calendar"), "new_install_users")
+    """Fact rows of two run dates, upserted as two micro-batches.
+
+    A batch holds two rows of each key, the later one smaller, and keys of which a part is null.
+    """
+    fact = S.FactTable("by_name", (*S.PLATFORM_KEYS, "type", "calendar"), "new_install_users", "date_format(calendar, 'yyyy-MM')")
     src, root = scratch_dir(spark, "fact-rows"), scratch_dir(spark, "facts")
     checkpoint = scratch_dir(spark, "ckpt")
     for run_date in (X.RUN_DATE, X.LATER_RUN_DATE):
-        rows = _facts_by_name(spark, sf, run_date)
+        named = _facts_by_name(spark, sf, run_date)
+        last = named.unionByName(named.filter(F.col("platform_version") == S.ALL).withColumn(
+            "platform_version", F.lit(None).cast("string")))
+        first = last.withColumn("new_install_users", F.col("new_install_users") + 100)
+        rows = first.withColumn("seq", F.lit(1)).unionByName(last.withColumn("seq", F.lit(2)))
         rows.write.mode("append").parquet(src)
         stream = spark.readStream.schema(rows.schema).parquet(src)
-        upsert_stream(stream, root, fact, checkpoint).awaitTermination()
+        upsert_stream(stream, root, fact, checkpoint, "seq").awaitTermination()
     return read_facts(spark, root, fact).select(*fact.keys, fact.measure, "created")
+
+
+@query
+def stream_then_batch_scan(spark, sf):
+    """One event table filled by a stream, by the stream again with another range lookup, and by the batch job."""
+    src, root, raw, checkpoint = (scratch_dir(spark, n) for n in ("lines", "events", "raw", "ckpt"))
+    lines, ranges = X.raw(spark, sf).select("value"), X.ip_ranges(spark, sf)
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part, options in ((first, {}), (~first, {"max_rows": 0})):
+        lines.filter(part).write.mode("append").text(src)
+        etl_stream(spark, src, root, checkpoint, ranges, **options).awaitTermination()
+    lines.write.text(f"{raw}/{X.RUN_DATE:%Y/%m/%d}")
+    run_etl(spark, raw, root, X.RUN_DATE, ranges)
+    now = datetime.now(timezone.utc).date()
+    windows = ((False, X.RUN_DATE, X.RUN_DATE + timedelta(days=1)), (True, now - timedelta(days=1), now + timedelta(days=2)))
+    parts = [read_event_logs(spark, root, a, b).withColumn("streamed", F.lit(streamed)) for streamed, a, b in windows]
+    both = parts[0].unionByName(parts[1])
+    return both.groupBy("streamed", "en", "pl").agg(F.count("*").alias("events"), F.sum("s_time").alias("time_sum"))
+
+
+# --------------------------------------------------------------------- jobs
+
+
+def _as_event_rows(events: DataFrame) -> DataFrame:
+    missing = [c for c in S.EVENT_COLUMNS if c not in events.columns]
+    return events.select("*", *[F.lit(None).cast(S.EVENT_SCHEMA[c].dataType).alias(c) for c in missing])
+
+
+@query
+def etl_job_counts(spark, sf):
+    """Line counts of the ETL job, with the rejected lines it kept."""
+    raw, root, kept = (scratch_dir(spark, n) for n in ("raw", "events", "rejected"))
+    X.raw(spark, sf).select("value").write.text(f"{raw}/{X.RUN_DATE:%Y/%m/%d}")
+    counts = run_etl(spark, raw, root, X.RUN_DATE, None, kept)
+    stored = spark.read.parquet(kept).groupBy("reject_reason").agg(F.count("*").alias("kept"))
+    counted = spark.createDataFrame(list(counts.items()), "reason string, lines bigint")
+    return counted.join(stored, F.col("reason") == F.col("reject_reason"), "left").select(
+        "reason", "lines", F.coalesce("kept", F.lit(0)).alias("kept"))
+
+
+@query
+def kpi_job(spark, sf):
+    """Both fact tables as the KPI job leaves them, joined back to the names of their dimensions."""
+    events, facts = scratch_dir(spark, "events"), scratch_dir(spark, "facts")
+    write_event_logs(_as_event_rows(X.fx(spark, sf)), events, X.RUN_DATE)
+    for _ in range(2):
+        stats = run_kpis(spark, events, facts, X.RUN_DATE, date(2024, 2, 5))
+    dim = {n: spark.read.parquet(current_version(spark, f"{facts}/{n}")) for n in ("dimension_platform", "dimension_date", "dimension_browser")}
+    parts = []
+    for kpi, table in stats.items():
+        named = table
+        for name in S.FACT_TABLES[kpi].keys:
+            ids = dim["dimension_" + name.split("_")[0]]
+            named = named.join(ids.withColumnRenamed("id", name), name)
+        for c in S.BROWSER_KEYS:
+            named = named if c in named.columns else named.withColumn(c, F.lit(""))
+        parts.append(named.select(F.lit(kpi).alias("kpi_name"), *S.PLATFORM_KEYS, "type", "calendar", *S.BROWSER_KEYS, "new_install_users", "created"))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def hourly_two_days(spark, sf):
+    """The hourly report after runs for two days and one of them again: the stored table and its TSV, with names."""
+    events, facts, tsv = (scratch_dir(spark, n) for n in ("events", "facts", "tsv"))
+    rows, days = _as_event_rows(X.fx_dense(spark, sf)), (date(2024, 1, 1), date(2024, 1, 2))
+    for day in days:
+        write_event_logs(rows.filter(TP.event_date(F.col("s_time")) == F.lit(day)), events, day)
+    for day in (*days, days[0]):
+        run_hourly(spark, events, facts, day, tsv)
+    stored = read_hourly(spark, facts)
+    parts = [spark.read.option("sep", "\t").option("nullValue", "\\N").schema(stored.schema).csv(f"{tsv}/dt={day}") for day in days]
+    both = stored.withColumn("source", F.lit("table")).unionByName(parts[0].unionByName(parts[1]).withColumn("source", F.lit("tsv")))
+    for name, keys in (("platform", S.PLATFORM_KEYS), ("date", ["calendar"]), ("kpi", S.KPI_KEYS)):
+        ids = spark.read.parquet(current_version(spark, f"{facts}/dimension_{name}")).select(F.col("id").alias(f"{name}_dimension_id"), *keys)
+        both = both.join(ids, f"{name}_dimension_id")
+    return both.select("source", *S.PLATFORM_KEYS, "calendar", "kpi_name", *S.HOUR_COLUMNS)
+
+
+# ---------------------------------------------------------- other raw lines
+
+
+@query
+def client_set_fields(spark, sf):
+    """Address and time that clients put into the query string, taken and refused."""
+    lines = X.raw(spark, sf).withColumn("value", F.when(
+        F.col("event_id") % 2 == 0, F.concat("value", F.lit("&ip=8.8.4.4&s_time=1704070000123"))).otherwise(F.col("value")))
+    f = F.col("fields")
+    parts = [
+        L.parse_log_lines(lines, protect_reserved=p).select(
+            "event_id", F.lit(p).alias("protected"), "parse_error", f["ip"].alias("ip"), f["s_time"].alias("s_time"))
+        for p in (False, True)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def refund_lines(spark, sf):
+    """Charges as refunds, some without a member id."""
+    value = F.replace("value", F.lit("en=e_cs"), F.lit("en=e_cr"))
+    value = F.when(F.col("event_id") % 5 == 0, F.replace(value, F.lit("&u_mid="), F.lit("&x_mid="))).otherwise(value)
+    judged = L.classify_events(L.parse_log_lines(X.raw(spark, sf).withColumn("value", value)))
+    return judged.select("event_id", F.col("fields")["en"].alias("en"), "reject_reason")
+
+
+@query
+def row_hashes(spark, sf):
+    """Events stored twice: copies share their key, and different events of a visitor and time have different ones."""
+    valid = L.valid_events(L.classify_events(_parsed(spark, sf)))
+    keyed = L.with_row_key(L.to_event_columns(valid.unionByName(valid), ["event_id"]))
+    per_event = keyed.groupBy("event_id", "en").agg(
+        F.count("*").alias("n"), F.countDistinct("time_in_day", "row_hash").alias("keys"), F.min("row_hash").alias("h"))
+    return per_event.groupBy("en").agg(
+        F.sum("n").alias("n_rows"), F.max("keys").alias("keys_per_event"), F.countDistinct("h").alias("n_hashes"))

@@ -8,7 +8,7 @@ from conftest import column
 from pyspark.sql import functions as F
 
 from visitlake.functions import timeparts as TP
-from visitlake.functions.agents import parse_user_agent
+from visitlake.functions.agents import BROWSER_RULES, OS_RULES, with_user_agent
 from visitlake.functions.ip import address_text, ip_to_long, long_to_ip, parse_region
 from visitlake.functions.params import parse_server_time
 from visitlake.functions.text import is_blank, trim_controls, whole_number
@@ -80,7 +80,7 @@ def test_week_rule_on_every_day(spark):
 
 @pytest.mark.parametrize("tz", ["UTC", "Asia/Shanghai", "America/New_York"])
 def test_local_calendar(spark, tz):
-    stamps = [0, 1450569601351, 1704067199999, 1704067200000, 1710054000000 - 1, 1710054000000, 1730613600000, -1]
+    stamps = [0, 1583020800999, 1704067199999, 1704067200000, 1710054000000 - 1, 1710054000000, 1730613600000, -1]
     ms = F.col("c")
     rows = column(spark, stamps, "bigint").select(
         "c", TP.event_date(ms, tz).alias("d"), TP.event_hour(ms, tz).alias("h"),
@@ -192,6 +192,28 @@ AGENTS = {
 
 
 def test_user_agents(spark):
-    df = column(spark, list(AGENTS)).select("c", parse_user_agent(F.col("c")).alias("a"))
+    df = with_user_agent(column(spark, list(AGENTS)), "c", "a")
     assert {r.c: tuple(r.a) for r in df.collect()} == AGENTS
-    assert column(spark, [" ", None]).filter(parse_user_agent(F.col("c")).isNotNull()).count() == 0
+    assert with_user_agent(column(spark, [" ", None]), "c", "a").filter("a is not null").count() == 0
+
+
+def test_every_agent_rule_is_met_once(spark):
+    """A text of just one marker and its version meets that rule, as no earlier marker is part of a later one."""
+    shapes = {"rv:": "rv:7.5", "Version/": "Version/7.5", "OS ": "OS 7_5 like Mac"}
+    for part, rules in (("browser", BROWSER_RULES), ("os", OS_RULES)):
+        texts = {}
+        for rule in rules:
+            head = rule.pattern.split("(")[0].split("[")[0]
+            text = f"{rule.marker} {shapes.get(head, rule.marker.rstrip('/') + ('/7.5' if '/' in rule.pattern else ' 7.5'))}"
+            first = next(r for r in rules if r.marker in text)
+            texts[text] = first.name
+        got = with_user_agent(column(spark, list(texts)), "c", "a").select("c", f"a.{part}").collect()
+        assert {r.c: r[part] for r in got} == texts
+        assert {r.name for r in rules} == set(texts.values())
+
+
+def test_text_with_a_time(spark):
+    df = spark.createDataFrame([("2024-01-10 13:14:15",), ("2024-03-10 02:30:00",), ("x",), (None,)], "c string").coalesce(1)
+    pattern = "yyyy-MM-dd HH:mm:ss"
+    assert values(df, TP.date_to_millis(F.col("c"), pattern))[:1] == [1704892455000]
+    assert values(df, TP.date_to_millis(F.col("c"), pattern, "Asia/Shanghai")) == [1704892455000 - 8 * 3600000, 1710037800000 - 8 * 3600000, None, None]

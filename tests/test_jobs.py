@@ -99,7 +99,7 @@ def test_kpi_and_hourly_jobs(spark, sf_dir, tmp_path):
     report = run_hourly(spark, events, facts, X.RUN_DATE, tsv)
     assert report.count() == H.pivot_hours(H.hourly_kpis(fx)).count()
     assert report.filter("platform_dimension_id is null or date_dimension_id is null or kpi_dimension_id is null").count() == 0
-    assert spark.read.option("sep", "\t").csv(tsv).count() == report.count()
+    assert spark.read.option("sep", "\t").csv(f"{tsv}/dt={X.RUN_DATE}").count() == report.count()
     dims = spark.read.parquet(current_version(spark, f"{facts}/dimension_platform"))
     assert dims.count() == dims.select("id").distinct().count() == dims.select(*S.PLATFORM_KEYS).distinct().count()
 
@@ -128,20 +128,66 @@ def test_jdbc_options():
     assert got == {"url": "jdbc:x", "dbtable": "stats_hourly", "batchsize": "10", "user": "u"}
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_stream_equals_batch(spark, sf_dir, tmp_path, monkeypatch, limit):
-    if limit is not None:
-        monkeypatch.setattr(ST, "fits_broadcast", lambda df: False)
+@pytest.mark.parametrize("options", [{}, {"max_rows": 0}])
+def test_stream_equals_batch(spark, sf_dir, tmp_path, options):
     src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
     lines = X.raw(spark, sf_dir).select("value")
     ranges = X.ip_ranges(spark, sf_dir)
     lines.repartition(4).write.text(src)
     for _ in range(2):  # the second run finds nothing new
-        ST.etl_stream(spark, src, dst, ckpt, ranges, max_files_per_trigger=2).awaitTermination()
+        ST.etl_stream(spark, src, dst, ckpt, ranges, max_files_per_trigger=2, **options).awaitTermination()
     got = spark.read.schema(S.EVENT_SCHEMA).parquet(dst).select(*S.EVENT_COLUMNS)
     assert rows(got) == rows(etl(lines, ranges)[0].select(*S.EVENT_COLUMNS))
 
 
+def test_repeated_stream_batch_replaces_itself(spark, tmp_path):
+    root = str(tmp_path)
+    batch = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "b", "y")], "n int, dt string, en string")
+    for _ in range(2):
+        W.append_batch(batch.write.format("parquet").partitionBy("dt", "en"), spark, root, 2, "s-0")
+    W.append_batch(batch.filter("n = 1").write.format("parquet").partitionBy("dt", "en"), spark, root, 2, "s-1")
+    assert sorted(r.n for r in spark.read.parquet(root).collect()) == [1, 1, 2, 3]
+
+
+def test_upsert_leaves_other_periods_alone(spark, tmp_path):
+    fact = S.FactTable("t", ("k", "m"), "n", "m")
+    make = lambda values: spark.createDataFrame([(*v, date(2024, 1, 1)) for v in values], "k int, m string, n bigint, created date")
+    files = lambda: {str(p) for p in tmp_path.rglob("part-*.parquet")}
+    W.upsert_table(spark, str(tmp_path), fact, make([(1, "2024-01", 5), (1, "2024-02", 6), (None, "2024-02", 7)]))
+    before = files()
+    table = W.upsert_table(spark, str(tmp_path), fact, make([(1, "2024-02", 9)]))
+    assert sorted((r.m, r.k or 0, r.n) for r in table.collect()) == [("2024-01", 1, 5), ("2024-02", 0, 7), ("2024-02", 1, 9)]
+    assert before <= files() and all("period=2024-02" in f for f in files() - before)
+    for n in range(8):
+        W.upsert_table(spark, str(tmp_path), fact, make([(1, "2024-02", n)]))
+    assert len({p.parent for p in tmp_path.rglob("part-*.parquet") if "period=2024-02" in str(p)}) == W.KEEP_VERSIONS
+
+
+@pytest.mark.parametrize("cuts", [[5], [1, 4], [2, 2, 1], [1, 1, 1, 1, 1]])
+def test_last_row_of_a_key_counts(spark, tmp_path, cuts):
+    fact = S.FactTable("t", ("k",), "n")
+    data = [(1, 9, 1), (None, 4, 2), (1, 5, 3), (None, 8, 4), (2, 3, 5)]
+    upsert = ST.upsert_batch(str(tmp_path), fact, "seq")
+    for batch_id, n in enumerate(cuts):
+        part, data = data[:n], data[n:]
+        upsert(spark.createDataFrame([(*r, date(2024, 1, 1)) for r in part], "k int, n bigint, seq int, created date"), batch_id)
+    assert {r.k: r.n for r in read_facts(spark, str(tmp_path), fact).collect()} == {1: 5, None: 8, 2: 3}
+
+
+def test_rows_that_disagree_need_a_sequence(spark, tmp_path):
+    batch = spark.createDataFrame([(1, 9, date(2024, 1, 1)), (1, 5, date(2024, 1, 1))], "k int, n bigint, created date")
+    with pytest.raises(Exception, match="disagree"):
+        ST.upsert_batch(str(tmp_path), S.FactTable("t", ("k",), "n"))(batch, 0)
+
+
+def test_one_day_is_listed(spark, tmp_path):
+    for day in (1, 2):
+        for root in (f"{tmp_path}/2024/01/0{day}", f"{tmp_path}/arrival_date=2024-01-0{day}/s-0"):
+            spark.createDataFrame([(f"{root[-14:]}",)], "value string").write.text(root)
+    lines = read_raw_logs(spark, str(tmp_path), date(2024, 1, 2))
+    assert lines.count() == 2 and all("0" + "2" in f for f in lines.inputFiles())
+
+
 def test_collected_lines_are_read_back(spark, sf_dir, tmp_path):
     src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
     lines = X.raw(spark, sf_dir).select("value")

@@ -37,9 +37,8 @@ def some_ranges(rng):
 
 @pytest.mark.parametrize("max_rows", [10_000, 0])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_range_lookup(spark, seed, max_rows, monkeypatch):
+def test_range_lookup(spark, seed, max_rows):
     rng = random.Random(seed)
-    monkeypatch.setattr(lookups, "HOT_SHARE", 20)
     ranges = some_ranges(rng)
     ips = [e for r in ranges for e in (r[0], r[1], r[1] + 1, r[0] - 1)] + [rng.randrange(1 << 32) for _ in range(300)]
     ips = [i for i in ips if 0 <= i < 1 << 32] + [ranges[0][0]] * 900 + [None] * 500 + [0, (1 << 32) - 1]
@@ -54,6 +53,36 @@ def test_range_lookup(spark, seed, max_rows, monkeypatch):
     assert "NestedLoop" not in plan(joined) and "Cartesian" not in plan(joined)
 
 
+def test_lookup_reads_its_rows_once(spark):
+    table = spark.createDataFrame([(5, 9, "x", "y")], S.IP_RANGE_SCHEMA)
+    for max_rows in (10, 0):
+        rows = spark.range(10).select(F.col("id").alias("ip")).filter("rand(1) < 2")
+        text = join_ip_range(rows, table, "ip", max_rows=max_rows)._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("Range (0, 10") == 1
+
+
+def test_overlapping_ranges_are_refused(spark):
+    table = spark.createDataFrame([(1, 5, "x", "y"), (5, 9, "x", "y")], S.IP_RANGE_SCHEMA)
+    with pytest.raises(ValueError, match="overlapping"):
+        join_ip_range(spark.range(3).withColumnRenamed("id", "ip"), table, "ip")
+
+
+def test_broadcast_check_sees_maps(spark):
+    row = {"country": "c" * 300, "province": "p" * 300}
+    df = spark.createDataFrame([(1, row)] * 50, "begin_ip bigint, place map<string,string>")
+    assert lookups.fits_broadcast(df, 100, 2 * 50 * 650) and not lookups.fits_broadcast(df, 100, 50 * 650 // 2)
+
+
+def test_hours_hold_large_sums(spark):
+    hourly = spark.createDataFrame([("p", "v", None, 3, "k", 3_000_000_000)], "pl string, ver string, date date, hour int, kpi string, value bigint")
+    assert H.pivot_hours(hourly).first().hour_03 == 3_000_000_000
+
+
+def test_upsert_matches_null_keys(spark):
+    facts = spark.createDataFrame([(None, 5, None), (1, 6, None)], "k int, n bigint, created date")
+    assert sorted(tuple(r)[:2] for r in D.upsert_facts(facts, facts, ["k"], "n").collect() if r.k is None) == [(None, 5)]
+
+
 def test_overlaps_are_found(spark):
     octet = 1 << 24
     good = [(0, 5), (6, 6), (7, 3 * octet), (3 * octet + 1, 3 * octet + 9)]

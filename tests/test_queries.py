@@ -2,6 +2,8 @@
 
 import __spark_entry__ as E
 import pytest
+from catalog.oracle import ORACLES
+from catalog.queries import QUERIES
 from compare import compare, oracle
 
 
@@ -10,14 +12,14 @@ def con(sf_dir):
     return oracle(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, sf_dir, name):
     ok, note = compare(spark, con, sf_dir, name)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

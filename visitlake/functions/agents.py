@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.text import is_blank
@@ -30,6 +30,18 @@ BROWSER_RULES = [
     AgentRule("Googlebot", "Googlebot", r"Googlebot/([0-9.]+)"),
     AgentRule("bingbot", "bingbot", r"bingbot/([0-9.]+)"),
     AgentRule("Baiduspider", "Baiduspider", r"Baiduspider/([0-9.]+)"),
+    AgentRule("YandexBot", "YandexBot", r"YandexBot/([0-9.]+)"),
+    AgentRule("DuckDuckBot", "DuckDuckBot", r"DuckDuckBot/([0-9.]+)"),
+    AgentRule("Slurp", "Yahoo Slurp"),
+    AgentRule("Sogou web spider", "Sogou web spider", r"Sogou web spider/([0-9.]+)"),
+    AgentRule("360Spider", "360Spider"),
+    AgentRule("Applebot", "Applebot", r"Applebot/([0-9.]+)"),
+    AgentRule("AhrefsBot", "AhrefsBot", r"AhrefsBot/([0-9.]+)"),
+    AgentRule("SemrushBot", "SemrushBot", r"SemrushBot/([0-9.]+)"),
+    AgentRule("PetalBot", "PetalBot"),
+    AgentRule("Bytespider", "Bytespider"),
+    AgentRule("facebookexternalhit", "Facebook", r"facebookexternalhit/([0-9.]+)"),
+    AgentRule("Twitterbot", "Twitterbot", r"Twitterbot/([0-9.]+)"),
     AgentRule("MicroMessenger", "WeChat", r"MicroMessenger/([0-9.]+)"),
     AgentRule("UCBrowser", "UC Browser", r"UCBrowser/([0-9.]+)"),
     AgentRule("MQQBrowser", "QQ Browser", r"MQQBrowser/([0-9.]+)"),
@@ -39,12 +51,19 @@ BROWSER_RULES = [
     AgentRule("YaBrowser", "Yandex.Browser", r"YaBrowser/([0-9.]+)"),
     AgentRule("Vivaldi", "Vivaldi", r"Vivaldi/([0-9.]+)"),
     AgentRule("SamsungBrowser", "Samsung Browser", r"SamsungBrowser/([0-9.]+)"),
+    AgentRule("HuaweiBrowser", "Huawei Browser", r"HuaweiBrowser/([0-9.]+)"),
+    AgentRule("MiuiBrowser", "Miui Browser", r"MiuiBrowser/([0-9.]+)"),
+    AgentRule("QihooBrowser", "360 Browser", r"QihooBrowser/([0-9.]+)"),
+    AgentRule("360SE", "360 Browser"),
+    AgentRule("EdgA/", "Edge Mobile", r"EdgA/([0-9.]+)"),
+    AgentRule("EdgiOS/", "Edge Mobile", r"EdgiOS/([0-9.]+)"),
     AgentRule("Edge/", "Edge", r"Edge/([0-9.]+)"),
     AgentRule("Edg/", "Edge", r"Edg/([0-9.]+)"),
     AgentRule("OPR/", "Opera", r"OPR/([0-9.]+)"),
     AgentRule("Opera Mini", "Opera Mini", r"Opera Mini/([0-9.]+)"),
     AgentRule("Opera", "Opera", r"Opera[/ ](?:9\.80.*Version/)?([0-9.]+)"),
     AgentRule("Chromium", "Chromium", r"Chromium/([0-9.]+)"),
+    AgentRule("HeadlessChrome", "Headless Chrome", r"HeadlessChrome/([0-9.]+)"),
     AgentRule("CriOS", "Chrome Mobile", r"CriOS/([0-9.]+)"),
     AgentRule("FxiOS", "Firefox Mobile", r"FxiOS/([0-9.]+)"),
     AgentRule("Chrome/", "Chrome", r"Chrome/([0-9.]+)"),
@@ -72,8 +91,10 @@ OS_RULES = [
     AgentRule("Windows", "Windows", "", "Windows"),
     AgentRule("iPhone", "iOS", r"OS ([0-9_]+) like Mac", "iOS "),
     AgentRule("iPad", "iOS", r"OS ([0-9_]+) like Mac", "iOS "),
+    AgentRule("iPod", "iOS", r"OS ([0-9_]+) like Mac", "iOS "),
     AgentRule("Mac OS X", "OS X", r"Mac OS X ([0-9_.]+)", "OS X "),
     AgentRule("Macintosh", "Mac OS", "", "Mac OS"),
+    AgentRule("HarmonyOS", "HarmonyOS", r"HarmonyOS ([0-9.]+)", "HarmonyOS "),
     AgentRule("Android", "Android", r"Android ([0-9.]+)", "Android "),
     AgentRule("CrOS", "Chrome OS", "", "Chrome OS"),
     AgentRule("Ubuntu", "Linux", "", "Linux (Ubuntu)"),
@@ -84,44 +105,50 @@ OS_RULES = [
 ]
 
 
-def _first_match(agent: Column, rules: list[AgentRule], value, default: Column) -> Column:
+def rule_number(agent: Column, rules: list[AgentRule]) -> Column:
+    """Place of the first rule whose marker occurs in the text; as many as there are rules if none does."""
+    chosen = F.lit(len(rules))
+    for k, rule in reversed(list(enumerate(rules))):
+        chosen = F.when(agent.contains(rule.marker), k).otherwise(chosen)
+    return chosen
+
+
+def _by_rule(number: Column, values: dict[int, Column], default: Column) -> Column:
     chosen = None
-    for rule in rules:
-        hit, result = agent.contains(rule.marker), value(rule)
-        chosen = F.when(hit, result) if chosen is None else chosen.when(hit, result)
+    for k, value in values.items():
+        chosen = F.when(number == k, value) if chosen is None else chosen.when(number == k, value)
     return default if chosen is None else chosen.otherwise(default)
 
 
-def parse_user_agent(
-    agent: Column,
+def with_user_agent(
+    df: DataFrame,
+    agent_col: str,
+    into: str = "agent",
     browser_rules: list[AgentRule] = BROWSER_RULES,
     os_rules: list[AgentRule] = OS_RULES,
-) -> Column:
-    """Struct (browser, browser_v, os, os_v), null for blank text.
+) -> DataFrame:
+    """Adds the struct `into` (browser, browser_v, os, os_v), null for blank text.
 
-    Only the rule whose marker occurs runs its pattern, so a row costs substring tests and at most one
-    regular expression per part. Text no rule knows has `unknown` names and no browser version.
+    The rules that apply are found once per row, as a column of their own; names are taken from arrays by their numbers and
+    only the patterns of those rules run. Text no rule knows has `unknown` names and no browser version.
     """
+    agent, browser, os = F.col(agent_col), F.col("_browser_rule"), F.col("_os_rule")
+    numbered = df.withColumns({"_browser_rule": rule_number(agent, browser_rules), "_os_rule": rule_number(agent, os_rules)})
 
-    def version(rule: AgentRule) -> Column:
-        if not rule.pattern:
-            return F.lit(None).cast("string")
-        found = F.regexp_extract(agent, rule.pattern, 1)
-        return F.when(found != "", found)
-
-    def full_os_name(rule: AgentRule) -> Column:
-        if not rule.pattern:
-            return F.lit(rule.label)
-        number = F.translate(F.regexp_extract(agent, rule.pattern, 1), "_", ".")
-        return F.when(number != "", F.concat(F.lit(rule.label), number)).otherwise(F.lit(rule.name))
-
-    unknown = F.lit(UNKNOWN)
-    return F.when(
-        ~is_blank(agent),
-        F.struct(
-            _first_match(agent, browser_rules, lambda r: F.lit(r.name), unknown).alias("browser"),
-            _first_match(agent, browser_rules, version, F.lit(None).cast("string")).alias("browser_v"),
-            _first_match(agent, os_rules, lambda r: F.lit(r.name), unknown).alias("os"),
-            _first_match(agent, os_rules, full_os_name, unknown).alias("os_v"),
-        ),
+    def names(rules: list[AgentRule], number: Column, full: bool = False) -> Column:
+        texts = [r.label if full and not r.pattern else r.name for r in rules]
+        return F.get(F.array(*[F.lit(t) for t in (*texts, UNKNOWN)]), number)
+
+    versions = _by_rule(
+        browser, {k: F.regexp_extract(agent, r.pattern, 1) for k, r in enumerate(browser_rules) if r.pattern}, F.lit("")
+    )
+    numbers = {
+        k: F.translate(F.regexp_extract(agent, r.pattern, 1), "_", ".") for k, r in enumerate(os_rules) if r.pattern
+    }
+    labels = {k: F.concat(F.lit(os_rules[k].label), F.nullif(n, F.lit(""))) for k, n in numbers.items()}
+    full_name = F.coalesce(_by_rule(os, labels, F.lit(None).cast("string")), names(os_rules, os, True))
+    parsed = F.struct(
+        names(browser_rules, browser).alias("browser"), F.nullif(versions, F.lit("")).alias("browser_v"),
+        names(os_rules, os).alias("os"), full_name.alias("os_v"),
     )
+    return numbered.withColumn(into, F.when(~is_blank(agent), parsed)).drop("_browser_rule", "_os_rule")

@@ -66,9 +66,10 @@ def is_valid_run_date(c: Column) -> Column:
 
 
 def date_to_millis(c: Column, pattern: str = "yyyy-MM-dd", tz: str = "UTC") -> Column:
-    """Date text -> epoch milliseconds of its midnight; unreadable text gives null.
+    """Text of a date or a date and time in `tz` -> epoch milliseconds; unreadable text gives null.
 
-    For the two day patterns the month and day may run over (2015-02-30 is 2 March).
+    For the two day patterns the month and day may run over (2015-02-30 is 2 March); a pattern without a time
+    means midnight.
     """
     if pattern in ("yyyy-MM-dd", "yyyyMMdd"):
         sep = "-" if pattern == "yyyy-MM-dd" else ""
@@ -76,7 +77,9 @@ def date_to_millis(c: Column, pattern: str = "yyyy-MM-dd", tz: str = "UTC") -> C
         year, month, day = (F.regexp_extract(c, shape, g).try_cast("int") for g in (1, 2, 3))
         d = F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
         return midnight_millis(F.when(c.rlike(shape), d), tz)
-    return midnight_millis(F.try_to_date(c, pattern), tz)
+    # read as if in UTC, whatever the session's zone, then as wall-clock time of `tz`
+    utc = F.unix_millis(F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{pattern} XXX")))
+    return utc if _is_utc(tz) else F.timestamp_diff("MILLISECOND", _epoch(), F.convert_timezone(F.lit(tz), F.lit("UTC"), local_time(utc)))
 
 
 def format_millis(ms: Column, pattern: str = "yyyy-MM-dd", tz: str = "UTC") -> Column:

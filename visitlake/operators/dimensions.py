@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -181,11 +183,12 @@ def hourly_dimension_rows(hourly: DataFrame) -> tuple[DataFrame, DataFrame, Data
 def upsert_facts(existing: DataFrame, new: DataFrame, keys: list[str] | tuple[str, ...], measure: str) -> DataFrame:
     """`existing` with the measure of `new` where the keys match, and the rows of `new` it lacks.
 
-    A row keeps the `created` date of its first insert.
+    Null keys match each other. A row keeps the `created` date of its first insert.
     """
-    joined = existing.alias("o").join(new.alias("n"), list(keys), "full")
+    same = reduce(operator.and_, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
+    joined = existing.alias("o").join(new.alias("n"), same, "full")
     return joined.select(
-        *keys,
+        *[F.coalesce(f"n.{k}", f"o.{k}").alias(k) for k in keys],
         F.coalesce(f"n.{measure}", f"o.{measure}").alias(measure),
         F.coalesce("o.created", "n.created").alias("created"),
     )

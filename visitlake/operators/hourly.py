@@ -101,7 +101,7 @@ def hourly_session_length(events: DataFrame, tz: str = "UTC") -> DataFrame:
 def pivot_hours(hourly: DataFrame) -> DataFrame:
     """One row per (pl, ver, date, kpi) with the value of each hour, 0 where there is none."""
     cells = [
-        F.max(F.when(F.col("hour") == h, F.col("value")).otherwise(0)).cast("int").alias(name)
+        F.max(F.when(F.col("hour") == h, F.col("value")).otherwise(0)).cast("bigint").alias(name)
         for h, name in enumerate(S.HOUR_COLUMNS)
     ]
     return hourly.groupBy("pl", "ver", "date", "kpi").agg(*cells)

@@ -12,9 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions.ip import address_text, ip_to_long, long_to_ip
-from visitlake.operators.lookups import (
-    BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, lookup_beside_hot_keys,
-)
+from visitlake.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 from visitlake.schema import UNKNOWN_AREA, UNKNOWN_COUNTRY
 
 # Shared prefix lengths in bits. All ranges filed under the wide ones together number at most 257 * 255.
@@ -68,15 +66,17 @@ def join_ip_range(
 ) -> DataFrame:
     """Left join of `df` to the range (`begin_ip` to `end_ip`) that holds the numeric address `ip_col`.
 
-    Adds the other columns of `ranges`; they must not be null, so that null means no range. Ranges that pass
-    a size check are broadcast and the rows of `df` never move. Otherwise the distinct addresses are looked
-    up by a shuffled join over bounded buckets and joined back to the rows.
+    Adds the other columns of `ranges`; they must not be null, so that null means no range. Overlapping ranges are an
+    error, so no row of `df` is doubled. Ranges that pass a size check are broadcast and the rows of `df` never move.
+    Otherwise they meet by one shuffled join; either way `df` is read once.
     """
+    overlaps = find_overlaps(ranges).take(3)
+    if overlaps:
+        raise ValueError(f"overlapping IP ranges, such as {overlaps}")
     values = [c for c in ranges.columns if c not in ("begin_ip", "end_ip")]
-    filed = _file_ranges(ranges)
     if fits_broadcast(ranges, max_rows, max_bytes):
-        return _probe(df, filed, ip_col, values, (*NARROW_BITS, *WIDE_BITS))
-    return _shuffled_lookup(df, filed, ip_col, values)
+        return _probe(df, _file_ranges(ranges), ip_col, values, (*NARROW_BITS, *WIDE_BITS))
+    return _shuffled_lookup(df, ranges, ip_col, values)
 
 
 def _probe(df: DataFrame, filed: DataFrame, ip_col: str, values: list[str], levels: tuple[int, ...]) -> DataFrame:
@@ -98,20 +98,33 @@ def _probe(df: DataFrame, filed: DataFrame, ip_col: str, values: list[str], leve
     return out.select("_row.*", *[F.col("_found")[v].alias(v) for v in values])
 
 
-def _shuffled_lookup(df: DataFrame, filed: DataFrame, ip_col: str, values: list[str]) -> DataFrame:
-    """Distinct addresses meet their range in buckets of at most 65536 addresses and 256 ranges."""
-    counts = df.filter(F.col(ip_col).isNotNull()).groupBy(ip_col).agg(F.count("*").alias("n"))
-    addresses, ip = counts.select(ip_col), F.col(ip_col)
-    keys = F.array(*[F.struct(F.lit(b).alias("_bits"), _prefix(ip, b).alias("_bucket")) for b in NARROW_BITS])
-    probes = addresses.select(ip_col, F.inline(keys)).alias("p")
-    narrow = filed.filter(F.col("_bits").isin(*NARROW_BITS)).alias("f")
-    inside = (
-        (F.col("p._bits") == F.col("f._bits")) & (F.col("p._bucket") == F.col("f._bucket"))
-        & ip.between(F.col("begin_ip"), F.col("end_ip"))
+def _by_prefix(ranges: DataFrame) -> DataFrame:
+    """Ranges filed under every 3-byte prefix they touch.
+
+    Ranges do not overlap, so a prefix has at most 256 of them and a table at most 2^24 rows more than it has ranges. Wide
+    ranges are cut by 2-byte prefixes first, so no row makes more than 65536.
+    """
+    blocks = F.explode(F.sequence(F.shiftright("begin_ip", 16), F.shiftright("end_ip", 16))).alias("_block")
+    first, last = F.shiftright("begin_ip", 8), F.shiftright("end_ip", 8)
+    inside = F.sequence(F.greatest(first, F.col("_block") * 256), F.least(last, F.col("_block") * 256 + 255))
+    return ranges.select("*", blocks).select("*", F.explode(inside).alias("_prefix")).drop("_block")
+
+
+def _shuffled_lookup(df: DataFrame, ranges: DataFrame, ip_col: str, values: list[str]) -> DataFrame:
+    """One left join on the 3-byte prefix of the address; rows of a hot prefix are split by adaptive execution.
+
+    Rows without an address are spread by a hash of the row, as they would meet in one task otherwise.
+    """
+    ip = F.col("_ip")
+    nowhere = -1 - F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(1 << 20))
+    keyed = df.select(
+        F.struct(*df.columns).alias("_row"), F.col(ip_col).alias("_ip"),
+        F.coalesce(F.shiftright(F.col(ip_col), 8), nowhere).alias("_key"),
     )
-    in_narrow = probes.join(narrow, inside).select(ip_col, *values)
-    in_wide = _probe(addresses, filed, ip_col, values, WIDE_BITS).filter(F.col(values[0]).isNotNull())
-    return lookup_beside_hot_keys(df, in_narrow.unionByName(in_wide), ip_col, counts)
+    filed = _by_prefix(ranges).select("_prefix", "begin_ip", "end_ip", F.struct(*values).alias("_value"))
+    found = (F.col("_key") == F.col("_prefix")) & ip.between(F.col("begin_ip"), F.col("end_ip"))
+    located = keyed.join(filed, found, "left")
+    return located.select("_row.*", *[F.col("_value")[v].alias(v) for v in values])
 
 
 def with_ip_address(df: DataFrame, ranges: DataFrame, ip_col: str = "ip", **join_options) -> DataFrame:

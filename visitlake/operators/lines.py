@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake import schema as S
-from visitlake.functions.agents import BROWSER_RULES, OS_RULES, parse_user_agent
+from visitlake.functions.agents import BROWSER_RULES, OS_RULES, with_user_agent
 from visitlake.functions.ip import ip_to_long, parse_region
 from visitlake.functions.params import (
     add_params, after_question_mark, computed_once, cut_line, is_three_fields, parse_server_time,
@@ -144,8 +144,7 @@ def to_event_columns(valid: DataFrame, keep: list[str] | None = None) -> DataFra
 
 def add_user_agent(events: DataFrame, browser_rules=None, os_rules=None) -> DataFrame:
     """Sets browser and operating system columns from the user agent and drops its raw text."""
-    agent = parse_user_agent(F.col(S.USER_AGENT), browser_rules or BROWSER_RULES, os_rules or OS_RULES)
-    parsed = events.withColumn("_agent", agent)
+    parsed = with_user_agent(events, S.USER_AGENT, "_agent", browser_rules or BROWSER_RULES, os_rules or OS_RULES)
     found = F.col("_agent").isNotNull()
     return parsed.withColumns(
         {c: F.when(found, F.col("_agent")[c]).otherwise(F.col(c)) for c in S.AGENT_COLUMNS}

@@ -1,4 +1,4 @@
-"""Joining a large table to a lookup table without risking memory or hot keys."""
+"""Deciding whether a lookup table may be broadcast."""
 
 from __future__ import annotations
 
@@ -9,35 +9,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 
-# A key is hot when it holds more than one row in HOT_SHARE, so there are fewer than HOT_SHARE hot keys.
-HOT_SHARE = 1000
-
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows and the bytes of `df`, counted in one distributed pass, stay within the bounds."""
-    size = F.lit(8 * len(df.columns)).cast("bigint")
-    for f in df.schema.fields:
-        if f.dataType.typeName() in ("string", "binary"):
-            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
-    counted = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    return counted["n"] <= max_rows and counted["b"] <= max_bytes
-
+    """Whether the rows and the bytes of `df`, counted in one distributed pass, stay within the bounds.
 
-def lookup_beside_hot_keys(left: DataFrame, lookup: DataFrame, key: str, rows_per_key: DataFrame) -> DataFrame:
-    """Left join of `left` to `lookup`, which holds each `key` once, without shuffling hot keys.
-
-    `rows_per_key` (key, n) counts the rows of `left` per non-null key. Rows of hot keys get their match from
-    a broadcast of fewer than HOT_SHARE rows, rows without a key need none, and only the rest is shuffled.
+    Bytes are those of a row's JSON text, which holds maps, arrays and structs at about the size they have in memory.
     """
-    total = rows_per_key.agg(F.sum("n")).scalar()
-    hot = F.broadcast(rows_per_key.filter(F.col("n") * HOT_SHARE > total).select(key))
-    added = [c for c in lookup.columns if c != key]
-    hot_matches = F.broadcast(lookup.join(hot, key, "left_semi"))
-    keyed = left.filter(F.col(key).isNotNull())
-    cold_rows = keyed.join(hot, key, "left_anti").join(lookup, key, "left")
-    hot_rows = keyed.join(hot, key, "left_semi").join(hot_matches, key, "left")
-    no_key = left.filter(F.col(key).isNull()).withColumns(
-        {c: F.lit(None).cast(lookup.schema[c].dataType) for c in added}
-    )
-    columns = [*left.columns, *added]
-    return cold_rows.select(columns).unionByName(hot_rows.select(columns)).unionByName(no_key.select(columns))
+    size = F.octet_length(F.to_json(F.struct("*")))
+    counted = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return counted["n"] <= max_rows and counted["b"] <= max_bytes

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schema as S
@@ -17,9 +16,9 @@ from visitlake.operators.lines import (
 )
 from visitlake.operators.visitors import install_kpis
 from visitlake.sources.files import delete, staged
-from visitlake.sources.readers import read_event_logs, read_raw_logs
+from visitlake.sources.readers import read_event_logs, read_hourly, read_raw_logs
 from visitlake.sources.writers import (
-    export_tsv, update_dimension, write_event_logs, write_facts, write_rejected_lines, write_version,
+    export_tsv, update_dimension, write_event_logs, write_facts, write_periods, write_rejected_lines,
 )
 
 
@@ -48,27 +47,24 @@ def run_etl(
 ) -> dict[str, int]:
     """Replaces the event table of `run_date` and returns line counts: all, and per reject reason.
 
-    Counts are taken while the lines pass by, so a stage run again after a lost executor may count twice;
-    `reject_counts` counts exactly. Rejected lines are kept only where `rejected_root` is given, at
-    the price of a second pass over the raw lines.
+    Lines are parsed and judged once; the outcome is stored in the shared scratch folder while the job runs, and counts,
+    events and (where `rejected_root` is given) rejected lines all come from there.
     """
-    classified = classify_events(
-        parse_log_lines(read_raw_logs(spark, raw_root, run_date), protect_reserved=protect_reserved), strict
-    )
-    seen = Observation()
-    metrics = [
-        F.count(F.lit(1)).alias("lines"),
-        *[F.count_if(F.col("reject_reason") == r).alias(r) for r in S.REJECT_REASONS],
-    ]
-    counted = classified.observe(seen, *metrics)
-    write_event_logs(to_event_rows(valid_events(counted), ip_ranges, tz), event_root, run_date)
-    if rejected_root:
-        write_rejected_lines(rejected_lines(classified), rejected_root, run_date)
+    lines = read_raw_logs(spark, raw_root, run_date)
+    classified = classify_events(parse_log_lines(lines, protect_reserved=protect_reserved), strict)
+    rejected = F.col("reject_reason").isNotNull()
+    judged, path = staged(classified.select(
+        F.when(rejected, F.col("value")).alias("value"), F.when(~rejected, F.col("fields")).alias("fields"), "reject_reason"
+    ), "classified-lines")
     try:
-        counts = seen.get
-    except Py4JJavaError:
-        # without a single event the optimizer drops the observed part of the plan
-        counts = classified.agg(*metrics).first().asDict()
+        counts = judged.agg(
+            F.count(F.lit(1)).alias("lines"), *[F.count_if(F.col("reject_reason") == r).alias(r) for r in S.REJECT_REASONS]
+        ).first().asDict()
+        write_event_logs(to_event_rows(valid_events(judged), ip_ranges, tz), event_root, run_date)
+        if rejected_root:
+            write_rejected_lines(rejected_lines(judged), rejected_root, run_date)
+    finally:
+        delete(spark, path)
     return {k: int(v) for k, v in counts.items()}
 
 
@@ -80,26 +76,31 @@ def run_kpis(
     events = read_event_logs(spark, event_root, window.start, window.end)
     # stored once, since ids and both fact tables read it again
     kpis, path = staged(install_kpis(events, run_date, tz=tz), "install-kpis")
-    facts = write_facts(spark, fact_root, kpis, run_date)
-    delete(spark, path)
-    return facts
+    try:
+        return write_facts(spark, fact_root, kpis, run_date)
+    finally:
+        delete(spark, path)
 
 
 def run_hourly(
     spark: SparkSession, event_root: str, fact_root: str, run_date: date, tsv_path: str | None = None, tz: str = "UTC"
 ) -> DataFrame:
-    """Writes the hourly report of one day's events and returns it."""
+    """Writes the hourly report of one day's events and returns it; reports and TSV files of other days stay."""
     events = read_event_logs(spark, event_root, run_date, run_date + timedelta(days=1))
     hourly, path = staged(hourly_kpis(events, tz=tz), "hourly-kpis")
-    platforms, dates, kpis = hourly_dimension_rows(hourly)
-    report = to_stats_hourly(
-        hourly,
-        update_dimension(spark, fact_root, "dimension_platform", platforms),
-        update_dimension(spark, fact_root, "dimension_date", dates),
-        update_dimension(spark, fact_root, "dimension_kpi", kpis),
-    )
-    stored = spark.read.parquet(write_version(report, f"{fact_root.rstrip('/')}/stats_hourly"))
-    delete(spark, path)
+    day = run_date.isoformat()
+    try:
+        platforms, dates, kpis = hourly_dimension_rows(hourly)
+        report = to_stats_hourly(
+            hourly,
+            update_dimension(spark, fact_root, "dimension_platform", platforms),
+            update_dimension(spark, fact_root, "dimension_date", dates),
+            update_dimension(spark, fact_root, "dimension_kpi", kpis),
+        )
+        write_periods(report, f"{fact_root.rstrip('/')}/stats_hourly", f"'{day}'", (day,))
+    finally:
+        delete(spark, path)
+    stored = read_hourly(spark, fact_root, run_date)
     if tsv_path:
-        export_tsv(stored, tsv_path)
+        export_tsv(stored, f"{tsv_path.rstrip('/')}/dt={day}")
     return stored

@@ -111,20 +111,29 @@ HOUR_COLUMNS = [f"hour_{h:02d}" for h in range(24)]
 
 @dataclass(frozen=True)
 class FactTable:
-    """Where the rows of one KPI go and which columns identify a row there."""
+    """Where the rows of one KPI go, which columns identify a row there and what parts the table by.
+
+    `period` is SQL text over the keys: an upsert rewrites the periods its rows are in and no others.
+    """
 
     table: str
     keys: tuple[str, ...]
     measure: str
+    period: str = "0"
+
+
+# Fact rows of neighbouring date ids lie together.
+_BY_DATE_ID = "date_dimension_id div 32"
 
 
 # KPI -> fact table.
 FACT_TABLES = {
-    KPI_NEW_USERS: FactTable("stats_user", ("platform_dimension_id", "date_dimension_id"), "new_install_users"),
+    KPI_NEW_USERS: FactTable("stats_user", ("platform_dimension_id", "date_dimension_id"), "new_install_users", _BY_DATE_ID),
     KPI_BROWSER_NEW_USERS: FactTable(
         "stats_device_browser",
         ("platform_dimension_id", "date_dimension_id", "browser_dimension_id"),
         "new_install_users",
+        _BY_DATE_ID,
     ),
 }
 

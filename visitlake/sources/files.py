@@ -27,6 +27,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern names, by one call to the file system."""
+    fs, p = _path(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [])
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Gives a directory another place on the same file system, replacing what is there."""
+    fs, old = _path(spark, source)
+    _, new = _path(spark, target)
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory name in the shared folder the cluster names for checkpoints.
 

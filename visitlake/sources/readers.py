@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,30 +11,37 @@ from pyspark.sql import functions as F
 from visitlake import schema as S
 from visitlake.operators.dimensions import first_ids
 from visitlake.operators.ip_ranges import find_overlaps
-from visitlake.sources.files import children, exists, spread
+from visitlake.sources.files import children, exists, matching, spread
 
 
 def read_raw_logs(spark: SparkSession, root: str, run_date: date) -> DataFrame:
     """Lines collected on `run_date`; an error when nothing was collected that day.
 
-    Reads `<root>/yyyy/MM/dd` or, in a directory filled by `ingest_stream`, that day's partition.
+    Reads what lies in `<root>/yyyy/MM/dd` and what `ingest_stream` landed on that day, and lists nothing else.
     """
-    day_dir = f"{root.rstrip('/')}/{run_date:%Y/%m/%d}"
+    base = root.rstrip("/")
+    day_dir, landed = f"{base}/{run_date:%Y/%m/%d}", f"{base}/arrival_date={run_date.isoformat()}"
+    found = []
     if exists(spark, day_dir):
-        return spread(spark.read.text(day_dir))
-    if exists(spark, f"{root.rstrip('/')}/arrival_date={run_date.isoformat()}"):
-        # through the root, whose log of finished batches hides files of failed ones
-        lines = spark.read.text(root)
-        return spread(lines.filter(F.col("arrival_date") == F.lit(run_date)).select("value"))
-    raise FileNotFoundError(f"no raw logs for {run_date} under {root}")
+        found.append(spark.read.text(day_dir))
+    if exists(spark, landed):
+        found.append(spark.read.option("basePath", base).text(landed).select("value"))
+    if not found:
+        raise FileNotFoundError(f"no raw logs for {run_date} under {root}")
+    return spread(reduce(DataFrame.unionByName, found))
 
 
 def read_event_logs(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Events of the days in [start, end). Days without a table are skipped; none at all is an error."""
-    first, last = f"dt={start.isoformat()}", f"dt={end.isoformat()}"
-    if not any(first <= name < last for name in children(spark, root) if name.startswith("dt=")):
+    """Events of the days in [start, end), stored by the batch job, the stream or both; only those days are listed.
+
+    Days without a table are skipped; none at all is an error.
+    """
+    base = root.rstrip("/")
+    days = [f"{base}/dt={(start + timedelta(days=n)).isoformat()}" for n in range((end - start).days)]
+    there = [d for d in days if exists(spark, d)]
+    if not there:
         raise FileNotFoundError(f"no events from {start} to {end} under {root}")
-    events = spark.read.schema(S.EVENT_SCHEMA).parquet(root).select(*S.EVENT_SCHEMA.names)
+    events = spark.read.schema(S.EVENT_SCHEMA).option("basePath", base).parquet(*there).select(*S.EVENT_SCHEMA.names)
     return events.filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
 
 
@@ -68,13 +76,26 @@ def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
     return first_ids(spark.read.parquet(path), keys).select("id", *keys)
 
 
-def read_facts(spark: SparkSession, root: str, fact: S.FactTable) -> DataFrame | None:
-    """Current rows of a fact table, None before its first write."""
-    path = current_version(spark, f"{root.rstrip('/')}/{fact.table}")
-    return spark.read.parquet(path) if path else None
+def read_facts(spark: SparkSession, root: str, fact: S.FactTable, periods: list[str] | None = None) -> DataFrame | None:
+    """Current rows of a fact table, or of some of its periods; None where there is none."""
+    return read_periods(spark, f"{root.rstrip('/')}/{fact.table}", periods)
+
+
+def read_hourly(spark: SparkSession, root: str, run_date: date | None = None) -> DataFrame | None:
+    """The hourly report of all days, or of one; None where there is none."""
+    return read_periods(spark, f"{root.rstrip('/')}/stats_hourly", [run_date.isoformat()] if run_date else None)
+
+
+def read_periods(spark: SparkSession, table: str, periods: list[str] | None = None) -> DataFrame | None:
+    """Newest version of each period of a table written by `write_periods`, listed by one call."""
+    newest = {}
+    for path in matching(spark, f"{table}/period=*/v=*"):
+        newest[path.rsplit("/", 2)[1].removeprefix("period=")] = path
+    paths = [path for period, path in newest.items() if periods is None or period in periods]
+    return spark.read.parquet(*paths) if paths else None
 
 
 def current_version(spark: SparkSession, table: str) -> str | None:
-    """Newest completely written version of a table written by `write_version`."""
-    done = [v for v in children(spark, table) if v.startswith("v=") and exists(spark, f"{table}/{v}/_SUCCESS")]
-    return f"{table}/{done[-1]}" if done else None
+    """Newest completely written version of a table written by `write_version`; looks from the newest down."""
+    versions = (v for v in reversed(children(spark, table)) if v.startswith("v="))
+    return next((f"{table}/{v}" for v in versions if exists(spark, f"{table}/{v}/_SUCCESS")), None)

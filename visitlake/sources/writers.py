@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schema as S
 from visitlake.operators.dimensions import (
     assign_dim_ids, to_stats_device_browser, to_stats_user, upsert_facts,
 )
-from visitlake.sources.files import children
+from visitlake.sources.files import children, delete, matching, move, staged
 from visitlake.sources.readers import read_dimension, read_facts
 
+# Versions of a table, or of one of its periods, that stay after a write.
+KEEP_VERSIONS = 5
+
 
 def write_event_logs(events: DataFrame, root: str, run_date: date) -> None:
     """Replaces the event table of one day, also when the new one is empty.
@@ -34,14 +38,60 @@ def write_rejected_lines(rejected: DataFrame, root: str, run_date: date) -> None
 def write_version(df: DataFrame, table: str) -> str:
     """Writes the next version of a small table beside the current one, which stays readable meanwhile.
 
-    A version counts once its `_SUCCESS` mark is there, so a failed write leaves the table as it was.
+    A version counts once its `_SUCCESS` mark is there, so a failed write leaves the table as it was. The last
+    KEEP_VERSIONS are kept.
     """
-    taken = [int(v[2:]) for v in children(df.sparkSession, table) if v.startswith("v=")]
-    path = f"{table}/v={max(taken, default=0) + 1:08d}"
+    spark = df.sparkSession
+    path = f"{table}/v={_next_version(spark, table):08d}"
     df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
+    _drop_old_versions(spark, table)
     return path
 
 
+def _next_version(spark: SparkSession, table: str) -> int:
+    return max((int(v[2:]) for v in children(spark, table) if v.startswith("v=")), default=0) + 1
+
+
+def _drop_old_versions(spark: SparkSession, table: str) -> None:
+    for v in [v for v in children(spark, table) if v.startswith("v=")][:-KEEP_VERSIONS]:
+        delete(spark, f"{table}/{v}")
+
+
+def write_periods(df: DataFrame, table: str, period: str, always: tuple[str, ...] = ()) -> list[str]:
+    """Replaces the periods of a table that occur in `df`, and those of `always` even by nothing; returns them.
+
+    `period` is SQL text over the columns; its values become directory names. A period's next version is written aside
+    and then put in place at once, so readers see whole versions, and files of other periods are not touched.
+    """
+    spark = df.sparkSession
+    incoming = f"{table}/_incoming/{uuid.uuid4().hex}"
+    df.withColumn("period", F.expr(period).cast("string")).write.partitionBy("period").parquet(incoming)
+    parts = {path.rsplit("=", 1)[1]: path for path in matching(spark, f"{incoming}/period=*")}
+    for name in always:
+        if name not in parts:
+            parts[name] = f"{incoming}/empty={name}"
+            df.limit(0).write.parquet(parts[name])
+    for name, path in parts.items():
+        place = f"{table}/period={name}"
+        move(spark, path, f"{place}/v={_next_version(spark, place):08d}")
+        _drop_old_versions(spark, place)
+    delete(spark, incoming)
+    return sorted(parts)
+
+
+def append_batch(writer: DataFrameWriter, spark: SparkSession, root: str, levels: int, label: str) -> None:
+    """Adds the files of a stream's batch below `levels` partition directories of `root`, in a directory `label` of their own.
+
+    They are written aside and then put in place; a batch that is repeated replaces what it wrote before.
+    """
+    base = root.rstrip("/")
+    incoming = f"{base}/_incoming/{label}"
+    writer.mode("overwrite").save(incoming)
+    for path in matching(spark, incoming + "/*=*" * levels):
+        move(spark, path, f"{base}/{'/'.join(path.rsplit('/', levels)[1:])}/{label}")
+    delete(spark, incoming)
+
+
 def update_dimension(spark: SparkSession, root: str, name: str, candidates: DataFrame) -> DataFrame:
     """Adds missing natural keys to a dimension table and returns the table as written."""
     keys = S.DIM_KEYS[name]
@@ -50,11 +100,15 @@ def update_dimension(spark: SparkSession, root: str, name: str, candidates: Data
 
 
 def upsert_table(spark: SparkSession, root: str, fact: S.FactTable, new: DataFrame) -> DataFrame:
-    """Upserts rows into a fact table and returns the table as written."""
-    old = read_facts(spark, root, fact)
-    rows = new.select(*fact.keys, fact.measure, "created")
+    """Upserts rows into a fact table and returns the table as written; only periods of `new` are rewritten."""
+    rows, path = staged(new.select(*fact.keys, fact.measure, "created"), "fact-rows")
+    touched = [r[0] for r in rows.select(F.expr(fact.period).cast("string")).distinct().collect()]
+    old = read_facts(spark, root, fact, touched)
     merged = rows if old is None else upsert_facts(old, rows, fact.keys, fact.measure)
-    return spark.read.parquet(write_version(merged, f"{root.rstrip('/')}/{fact.table}"))
+    write_periods(merged, f"{root.rstrip('/')}/{fact.table}", fact.period)
+    delete(spark, path)
+    table = read_facts(spark, root, fact)
+    return new.select(*fact.keys, fact.measure, "created").limit(0) if table is None else table
 
 
 def write_facts(spark: SparkSession, root: str, kpis: DataFrame, run_date: date) -> dict[str, DataFrame]:
@@ -83,8 +137,9 @@ def jdbc_options(url: str, table: str, batch_size: int = 500, **properties: str)
 
 
 def export_jdbc(
-    df: DataFrame, url: str, table: str, batch_size: int = 500, writers: int = 1, mode: str = "append", **properties: str
+    df: DataFrame, url: str, table: str, batch_size: int = 500, writers: int | None = None, mode: str = "append", **properties: str
 ) -> None:
-    """Appends a report-sized table to a relational table over `writers` connections."""
+    """Appends a table to a relational table, over one connection per partition or, if given, `writers` connections."""
     options = jdbc_options(url, table, batch_size, **properties)
-    df.coalesce(writers).write.format("jdbc").options(**options).mode(mode).save()
+    dealt = df.repartition(writers) if writers else df
+    dealt.write.format("jdbc").options(**options).mode(mode).save()

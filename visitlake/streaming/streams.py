@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from visitlake import schema as S
 from visitlake.functions.timeparts import arrival_date
 from visitlake.operators.lines import classify_events, parse_log_lines, to_event_rows, valid_events
-from visitlake.operators.lookups import fits_broadcast
-from visitlake.sources.writers import upsert_table
+from visitlake.sources.writers import append_batch, upsert_table
 
 
 def read_line_stream(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -31,6 +31,11 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> St
     return writer.start()
 
 
+def _batch_label(checkpoint: str, batch_id: int) -> str:
+    """Directory of a batch; streams with other checkpoints have other names."""
+    return f"{zlib.crc32(checkpoint.encode()):08x}-{batch_id:09d}"
+
+
 def ingest_stream(
     spark: SparkSession,
     src: str,
@@ -42,20 +47,22 @@ def ingest_stream(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Lands new lines unchanged in `dst`, one directory per date of arrival."""
-    lines = read_line_stream(spark, src, max_files_per_trigger)
-    writer = (
-        lines.withColumn("arrival_date", arrival_date(tz)).writeStream.format("text")
-        .partitionBy("arrival_date").option("maxRecordsPerFile", max_records_per_file).option("path", dst)
-    )
-    return _start(writer, checkpoint, trigger)
+    lines = read_line_stream(spark, src, max_files_per_trigger).withColumn("arrival_date", arrival_date(tz))
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.write.format("text").partitionBy("arrival_date").option("maxRecordsPerFile", max_records_per_file)
+        append_batch(writer, batch.sparkSession, dst, 1, _batch_label(checkpoint, batch_id))
+
+    return _start(lines.writeStream.foreachBatch(land), checkpoint, trigger)
 
 
 def etl_lines(
-    lines: DataFrame, ip_ranges: DataFrame | None = None, tz: str = "UTC", strict: bool = False, **join_options
+    lines: DataFrame, ip_ranges: DataFrame | None = None, tz: str = "UTC", strict: bool = False, keep: list[str] | None = None,
+    **join_options,
 ) -> DataFrame:
     """The batch ETL without its duplicate removal: no state, one output row per valid line."""
     classified = classify_events(parse_log_lines(lines), strict)
-    return to_event_rows(valid_events(classified), ip_ranges, tz, dedupe=False, **join_options)
+    return to_event_rows(valid_events(classified), ip_ranges, tz, dedupe=False, keep=keep, **join_options)
 
 
 def etl_stream(
@@ -68,39 +75,46 @@ def etl_stream(
     strict: bool = False,
     trigger: str | None = None,
     max_files_per_trigger: int | None = None,
+    **join_options,
 ) -> StreamingQuery:
-    """Appends the events of new lines to `dst`, by date of arrival and kind.
+    """Appends the events of new lines to the event table `dst`, by date of arrival and kind.
 
-    IP ranges are fixed when the stream starts. Where they are too large to broadcast, each micro-batch runs
-    the batch lookup and replaces its own directory `batch=<id>`, so that a repeated batch adds nothing twice.
+    Every batch is written the same way, into directories of its own inside `dt=/en=`, whatever the number of IP
+    ranges, so the batch job and the stream can share one table and `read_event_logs` reads both. The date of arrival
+    belongs to the batch: a repeated one finds the same date and replaces its own files.
     """
-    lines = read_line_stream(spark, src, max_files_per_trigger)
-    if ip_ranges is None or fits_broadcast(ip_ranges):
-        rows = etl_lines(lines, ip_ranges, tz, strict).withColumn("dt", arrival_date(tz))
-        writer = rows.writeStream.format("parquet").partitionBy("dt", "en").option("path", dst)
-        return _start(writer, checkpoint, trigger)
+    lines = read_line_stream(spark, src, max_files_per_trigger).withColumn("dt", arrival_date(tz))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = etl_lines(batch, ip_ranges, tz, strict).withColumn("dt", arrival_date(tz))
-        rows.write.mode("overwrite").partitionBy("dt", "en").parquet(f"{dst.rstrip('/')}/batch={batch_id}")
+        rows = etl_lines(batch, ip_ranges, tz, strict, ["dt"], **join_options)
+        writer = rows.write.format("parquet").partitionBy("dt", "en")
+        append_batch(writer, batch.sparkSession, dst, 2, _batch_label(checkpoint, batch_id))
 
     return _start(lines.writeStream.foreachBatch(write_batch), checkpoint, trigger)
 
 
-def upsert_batch(root: str, fact: S.FactTable) -> Callable[[DataFrame, int], None]:
+def upsert_batch(root: str, fact: S.FactTable, sequence: str | None = None) -> Callable[[DataFrame, int], None]:
     """Function for `foreachBatch` that upserts fact rows; repeating a batch changes nothing.
 
-    Rows of one batch with the same key are reduced to the one with the largest measure.
+    Of rows of one key in a batch the one with the largest `sequence` counts, as a later batch counts over an earlier
+    one. Without a sequence, rows of one key that disagree fail the batch, as do those that share their sequence.
     """
+    disagree = F.raise_error(F.lit("rows of one key disagree and nothing tells the last")).cast("bigint")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.groupBy(*fact.keys).agg(
-            F.max(fact.measure).alias(fact.measure), F.min("created").alias("created")
+        order = F.col(sequence) if sequence else F.lit(0)
+        ranked = batch.withColumn("_order", order)
+        last = ranked.groupBy(*fact.keys).agg(
+            F.max_by(fact.measure, F.struct("_order", fact.measure)).alias("_most"),
+            F.max_by(fact.measure, F.struct("_order", -F.col(fact.measure))).alias("_least"), F.min("created").alias("created"),
         )
-        upsert_table(batch.sparkSession, root, fact, latest)
+        measure = F.when(F.col("_most") == F.col("_least"), F.col("_most")).otherwise(disagree).alias(fact.measure)
+        upsert_table(batch.sparkSession, root, fact, last.select(*fact.keys, measure, "created"))
 
     return upsert
 
 
-def upsert_stream(rows: DataFrame, root: str, fact: S.FactTable, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
-    return _start(rows.writeStream.foreachBatch(upsert_batch(root, fact)), checkpoint, trigger)
+def upsert_stream(
+    rows: DataFrame, root: str, fact: S.FactTable, checkpoint: str, sequence: str | None = None, trigger: str | None = None
+) -> StreamingQuery:
+    return _start(rows.writeStream.foreachBatch(upsert_batch(root, fact, sequence)), checkpoint, trigger)
