@@ -26,6 +26,7 @@ LABELERS = ("pattern", "structure", "gazetteer", "context", "border")
 ACCEPT = 0.9  # probability from which the classifier adds a candidate
 CONTEXT = 40  # characters looked at beside a match
 EM_ROUNDS = 50
+PRIOR_RIGHT, PRIOR_WRONG = 8.0, 2.0
 
 _LOCAL, _DOMAIN = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
 _AT, _DOT = r"\x20?(?:\[at\]|\(at\))\x20?", r"(?:\x20?(?:\[dot\]|\(dot\))\x20?|\.)"
@@ -38,7 +39,7 @@ _PATTERNS = {
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", ("+",)),
     "wide_email": (rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}{_AT}{_DOMAIN}{{1,63}}(?:{_DOT}{_DOMAIN}{{1,63}}){{1,5}}", ("[at]", "(at)")),
     "wide_ip": (r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", (":",)),
-    "wide_phone": (r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])", ()),
+    "wide_phone": (r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9]|[.-][0-9])", ()),
 }
 
 # Gazetteers and the words labelers look for.
@@ -166,25 +167,28 @@ def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
 def estimate_reliabilities(counts: dict[tuple[int, ...], int], rounds: int = EM_ROUNDS) -> dict[tuple[int, ...], float]:
     """Probability that a span of each vote pattern is personal data, from how often the patterns occur.
 
-    Labelers are taken as independent given the truth, and each has its own chance of every vote given the truth.
-    Expectation-maximisation starts from the majority and adds one vote of each kind per labeler.
+    Labelers are taken as independent given the truth. A labeler that votes is right with one chance where the truth is yes and
+    another where it is no, neither below one half; that it abstains says nothing. Expectation-maximisation starts
+    from the majority, and every labeler starts with PRIOR_RIGHT right and PRIOR_WRONG wrong votes of either kind.
     """
     chance = {v: 1 / (1 + math.exp(-sum(v))) for v in counts}
+    labelers = range(len(next(iter(counts), ())))
     for _ in range(rounds):
-        totals = [1.0, 1.0]
-        seen: list[dict[tuple[int, int], float]] = [defaultdict(lambda: 1.0), defaultdict(lambda: 1.0)]
+        yes = 1 + sum(n * chance[v] for v, n in counts.items())
+        no = 1 + sum(n * (1 - chance[v]) for v, n in counts.items())
+        right = [[[PRIOR_WRONG, PRIOR_RIGHT] for _ in labelers] for _ in (0, 1)]
         for votes, n in counts.items():
             for truth, share in ((1, chance[votes]), (0, 1 - chance[votes])):
-                totals[truth] += n * share
                 for labeler, vote in enumerate(votes):
-                    seen[truth][labeler, vote] += n * share
-        def log_chance(votes: tuple[int, ...], truth: int) -> float:
-            return math.log(totals[truth]) + sum(
-                math.log(seen[truth][labeler, vote] / (totals[truth] + 2)) for labeler, vote in enumerate(votes)
-            )
-
+                    if vote:
+                        right[truth][labeler][(vote > 0) == truth] += n * share
+        sure = [[max(0.5, w[1] / sum(w)) for w in right[truth]] for truth in (0, 1)]
         for votes in counts:
-            odds = log_chance(votes, 1) - log_chance(votes, 0)
+            odds = math.log(yes / no)
+            for labeler, vote in enumerate(votes):
+                if vote:
+                    when_no, when_yes = sure[0][labeler], sure[1][labeler]
+                    odds += math.log(when_yes / (1 - when_no)) if vote > 0 else math.log((1 - when_yes) / when_no)
             chance[votes] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
     return chance
 
@@ -200,13 +204,20 @@ def train_span_model(rows: Iterable[tuple[str, str, str, int]]) -> SpanModel:
         if feature == f"{kind}|":
             patterns[kind][votes] += n
     chances = {kind: estimate_reliabilities(counts) for kind, counts in patterns.items()}
-    sums: dict[str, list[float]] = defaultdict(lambda: [0.5, 0.5])
+    sums: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for kind, votes, feature, n in rows:
         chance = chances[kind][votes]
         sums[feature][1] += n * chance
         sums[feature][0] += n * (1 - chance)
-    prior = {kind: math.log(sums[f"{kind}|"][1] / sums[f"{kind}|"][0]) for kind in patterns}
-    features = {f: math.log(yes / no) - prior[f.split("|")[0]] for f, (no, yes) in sums.items()}
+    prior, features = {}, {}
+    for feature, (no, yes) in sums.items():
+        kind = feature.split("|")[0]
+        all_no, all_yes = sums[f"{kind}|"]
+        share = (all_yes + 0.5) / (all_yes + all_no + 1)
+        # one more span of the kind's own odds: a feature seldom seen says little
+        log_odds = lambda n, y: math.log((y + share) / (n + 1 - share))
+        prior[kind] = log_odds(all_no, all_yes)
+        features[feature] = log_odds(no, yes) - prior[kind]
     return SpanModel(prior, features)
 
 
