@@ -8,6 +8,7 @@ learnable rows that leaves as large a share below it as there are bad ones.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from visitlake.llm.folds import fold, fraction
+from visitlake.sources.files import staged
 
 SAMPLE_ROWS = 2000  # rows per label the ranking is fitted on; the cut comes from all learnable rows
 PAIRS = 100_000  # preferences drawn per epoch
@@ -92,15 +94,11 @@ class QualityModel:
     spread: np.ndarray
     weights: np.ndarray
     cut: float = 0.0  # raw score that counts as CUT
-    scale: float = 1.0
+    scale: float = 1.0  # how steeply scores rise around it
 
     def raw(self, rows: np.ndarray) -> np.ndarray:
         return np.clip((rows - self.mean) / self.spread, -8, 8) @ self.weights
 
-    def score(self, raw: np.ndarray) -> np.ndarray:
-        """0 to 1, rising with the raw score, CUT at the cut."""
-        return 1 / (1 + np.exp(-np.clip(self.scale * (raw - self.cut) + np.log(CUT / (1 - CUT)), -500, 500)))
-
 
 def train_ranking(good: np.ndarray, bad: np.ndarray, l2: float = 1e-4, rate: float = 0.1) -> QualityModel:
     """Bradley-Terry weights from preferences of good over bad rows, by AdaGrad on logistic loss of differences.
@@ -142,29 +140,33 @@ def _raw_score(text: Column, model: QualityModel) -> Column:
     return scored(text)
 
 
-def train_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> QualityModel:
-    """Learns from the rows of `docs` (id, text) that `labels` (id, quality 0 or 1) marks.
+def fit_ranking(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """Ranking of the rows of `docs` (id, text) that a sample of `labels` (id, quality) names.
 
-    About SAMPLE_ROWS rows per label, drawn by a hash of the text, are ranked on the driver; the cut is a quantile over all
-    labelled rows. Null labels and ids say nothing, and contradicting labels of one id count each.
+    The sample is the SAMPLE_ROWS labels of either kind that come first in a hashed order, so it is small enough to
+    broadcast, and no text is shuffled.
     """
-    marked = labels.filter("quality in (0, 1)").select(F.col(id_col), F.col("quality").cast("int").alias("quality"))
-    known = docs.select(id_col, F.coalesce("text", F.lit("")).alias("text")).join(marked, id_col).select("text", "quality")
-    sizes = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    rate = {q: min(1.0, SAMPLE_ROWS / max(1, sizes.get(q, 0))) for q in (0, 1)}
-    drawn = known.filter(fraction("text", "quality") < F.when(F.col("quality") == 1, rate[1]).otherwise(rate[0]))
-    sample = drawn.mapInArrow(_vectors, "quality int, x array<double>").toArrow()
+    drawn = [
+        labels.filter(F.col("quality") == q).orderBy(fraction("id", "quality"), "id").limit(SAMPLE_ROWS) for q in (0, 1)
+    ]
+    marked = docs.join(F.broadcast(drawn[0].unionByName(drawn[1])), "id").select("text", "quality")
+    sample = marked.mapInArrow(_vectors, "quality int, x array<double>").toArrow()
     rows = np.array([x.values.to_numpy() for x in sample["x"]]).reshape(-1, len(NAMES) + HASHED)
     order = np.lexsort(rows.T[::-1]) if len(rows) else np.array([], dtype=int)  # not the order in which rows were read
     rows, quality = rows[order], sample["quality"].to_numpy()[order]
-    model = train_ranking(rows[quality == 1], rows[quality == 0])
+    return train_ranking(rows[quality == 1], rows[quality == 0])
+
+
+def with_cut(model: QualityModel, scored: DataFrame, labels: DataFrame) -> QualityModel:
+    """`model` with its cut between the raw scores (id, raw) of all labelled rows: as many are below as are bad."""
+    known = scored.join(labels, "id").select("raw", "quality")
+    sizes = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return model
     total = sizes[0] + sizes[1]
     share = sizes[0] / total
-    scored = known.select(_raw_score(F.col("text"), model).alias("raw"))
     points = [share, min(1.0, share + 1 / total), (1 + share) / 2]
-    below, above, middle = scored.agg(F.percentile_approx("raw", points, 10_000).alias("q")).first()["q"]
+    below, above, middle = known.agg(F.percentile_approx("raw", points, 10_000).alias("q")).first()["q"]
     cut = (below + above) / 2  # between the last row below and the first above
     return QualityModel(model.mean, model.spread, model.weights, cut, 2 / max(middle - cut, 1e-6))
 
@@ -174,16 +176,22 @@ def score_quality(
 ) -> DataFrame:
     """(id, held_out, score, predicted) of every row; only labelled rows outside the held-out fold are learned from.
 
-    Null and empty texts have a score like any other. Repeated rows are scored each. Without labels of both kinds every
-    score is CUT; an empty table gives an empty one.
-    """
-    is_held_out = fold(id_col, folds) == held_out
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    model = train_quality_model(rows.filter(~is_held_out), labels, id_col)
-
-    @pandas_udf("double")
-    def score(raw: pd.Series) -> pd.Series:
-        return pd.Series(model.score(raw.to_numpy()), index=raw.index)
+    Null and empty texts have a score like any other. Repeated rows are scored each. Null labels and ids say nothing, and
+    contradicting labels of one id count each. Without labels of both kinds every score is CUT; an empty table gives
+    an empty one.
 
-    scored = rows.select(id_col, is_held_out.alias("held_out"), score(_raw_score(F.col("text"), model)).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    Every text is read once for its raw score, which is stored; the cut needs nothing else.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"))
+    known = known.filter(F.col("quality").isin(0, 1) & F.col("id").isNotNull() & (fold("id", folds) != held_out))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    model = fit_ranking(rows, known)
+    raw = rows.select("id", (fold("id", folds) == held_out).alias("held_out"), _raw_score(F.col("text"), model).alias("raw"))
+    scored, _ = staged(raw, "quality")
+    model = with_cut(model, scored.select("id", "raw"), known)
+    odds = F.lit(float(model.scale)) * (F.col("raw") - F.lit(float(model.cut))) + F.lit(math.log(CUT / (1 - CUT)))
+    score = 1 / (1 + F.exp(-F.greatest(F.least(odds, F.lit(500.0)), F.lit(-500.0))))
+    # the same comparison that the cut makes, free of rounding
+    predicted = (F.col("raw") >= F.lit(float(model.cut))).cast("int")
+    at_least = F.when(predicted == 1, F.greatest(score, F.lit(CUT))).otherwise(F.least(score, F.lit(math.nextafter(CUT, 0))))
+    return scored.select(F.col("id").alias(id_col), "held_out", at_least.alias("score"), predicted.alias("predicted"))
