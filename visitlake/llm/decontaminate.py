@@ -3,8 +3,9 @@
 Words are runs of letters and digits, lower-cased, so punctuation and layout do not matter. A pass over the corpus notes
 where it holds n-grams of the benchmark; a Bloom filter of fixed size keeps all others inside the scan. Every item then
 takes the rarest of its n-grams that the corpus holds as seeds, whatever their count, so that an item that thousands of
-documents copied keeps its seeds too. Only the commonest fifth is left out. Seeds join documents to items, and Smith-Waterman alignment over words scores the
-passage around them. A copy with words changed, left out or put in keeps most of the score.
+documents copied keeps its seeds too; only the commonest fifth is left out. Seeds join documents to items, and
+Smith-Waterman alignment over words scores the passage around them. A copy with words changed, left out or put in keeps
+most of the score.
 """
 
 from __future__ import annotations
@@ -124,7 +125,8 @@ def item_score(
 def _bloom(grams: DataFrame) -> np.ndarray:
     """Bit set of the grams' low bits; collected as at most 2^18 words of 64 bits."""
     bit = F.col("gram").bitwiseAND(F.lit((1 << _BLOOM_BITS) - 1))
-    words = grams.select(F.shiftright(bit, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int")).alias("mask"))
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    words = grams.select(F.shiftright(bit, 6).alias("word"), mask.alias("mask"))
     collected = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     bits = np.zeros(1 << (_BLOOM_BITS - 6), dtype=np.int64)
     bits[collected["word"].to_numpy()] = collected["mask"].to_numpy()

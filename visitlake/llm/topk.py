@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from visitlake.sources.files import staged
 
-QUERY_BLOCK = 256
+QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
-PART_BLOCKS = 8  # blocks of candidates that one group of rows holds
+PART_BLOCKS = 4  # blocks of candidates that one group of rows holds
 TILE = 128  # queries bounded together
 LEVELS = (1, 4, 16)  # segments per vector, coarse to fine
 
@@ -157,11 +157,12 @@ def top_k(
         pack = _packed(size, sizes["width"] or 0, dtype)
         return staged(dealt.mapInArrow(pack, "ids binary, vectors binary"), name)[0]
 
-    numbered = packed(queries, m_blocks, query_block, "query-blocks").withColumn(
-        "q_no", F.row_number().over(Window.orderBy("ids"))
-    )  # one row per block of queries
+    asked_blocks = packed(queries, m_blocks, query_block, "query-blocks").withColumn("key", F.xxhash64("ids", "vectors"))
+    # numbers go to the keys alone: one task sees a number per block, not the blocks
+    numbers = asked_blocks.select("key").distinct().withColumn("q_no", F.row_number().over(Window.orderBy("key")))
+    numbered = asked_blocks.join(numbers, "key")
     candidates = packed(vectors, n_blocks, candidate_block, "candidate-blocks")
-    last = max(1, numbered.count())
+    last = max(1, asked_blocks.count())
     asked = numbered.select(
         "q_no", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(False).alias("is_candidate"), "ids", "vectors"
     )
