@@ -53,7 +53,8 @@ def test_awkward_rows(spark):
     assert S.simhash_groups(empty(spark)).count() == 0
     kept = S.keep_one_per_group(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} - {None} == {r.component_id for r in rows} - {None}
+    left = [r.doc_id for r in kept.collect() if r.doc_id is not None]
+    assert sorted(left) == sorted({r.component_id for r in rows} - {None})
     assert kept.filter("doc_id is null").count() == 2
 
 

@@ -223,7 +223,12 @@ def simhash_groups(
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the rows whose group has a smaller id; rows without an id stay."""
+    """One row of every group: the one with the smallest id. Rows without an id stay, and of rows that share an id one."""
     groups = simhash_groups(docs.select(id_col, text_col), id_col, text_col)
     copies = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(copies, id_col, "left_anti").select(docs.columns)
+    kept = docs.join(copies, id_col, "left_anti").select(docs.columns)
+    repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns)
+    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(once)
