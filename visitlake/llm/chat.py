@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,23 +97,29 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+_ROWS = 128  # conversations whose tokens are held at once
+
+
 def _formatter(path: str):
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        for part in parts:
-            rendered = [render([t["role"] for t in turns], [t["text"] for t in turns]) for turns in part["turns"]]
-            ids, begins, ends, masks = [], [], [], []
-            for text, spans in rendered:
-                encoded = tokenizer.encode(text, add_special_tokens=False)
-                offsets = np.array(encoded.offsets, dtype=np.int64).reshape(-1, 2)
-                ids.append(encoded.ids)
-                begins.append(offsets[:, 0])
-                ends.append(offsets[:, 1])
-                masks.append(loss_mask(offsets[:, 0], offsets[:, 1], spans))
-            yield pd.DataFrame({
-                "conv_id": part["conv_id"], "formatted": [r[0] for r in rendered], "token_ids": ids,
-                "token_starts": begins, "token_ends": ends, "loss_mask": masks,
-            })
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                rendered = [render([t["role"] for t in turns], [t["text"] for t in turns]) for turns in batch.column(1).to_pylist()]
+                encoded = tokenizer.encode_batch([text for text, _ in rendered], add_special_tokens=False)
+                offsets = [np.array(e.offsets, dtype=np.int32).reshape(-1, 2) for e in encoded]
+                masks = [loss_mask(o[:, 0], o[:, 1], spans) for o, (_, spans) in zip(offsets, rendered)]
+                ends = pa.array(np.cumsum([0, *map(len, offsets)]), pa.int32())
+                flat = np.concatenate(offsets)
+                lists = {
+                    "token_ids": np.concatenate([np.array(e.ids, dtype=np.int32) for e in encoded]),
+                    "token_starts": flat[:, 0], "token_ends": flat[:, 1], "loss_mask": np.concatenate(masks),
+                }
+                yield pa.RecordBatch.from_pydict({
+                    "conv_id": batch.column(0), "formatted": [text for text, _ in rendered],
+                    **{name: pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(x))) for name, x in lists.items()},
+                })
 
     return run
 
@@ -129,4 +135,4 @@ def format_conversations(turns: DataFrame, tokenizer: str = TOKENIZER) -> DataFr
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     bare = grouped.select("conv_id", F.expr("transform(turns, t -> struct(t.role, t.text))").alias("turns"))
-    return bare.mapInPandas(_formatter(tokenizer), FORMATTED.format(id=turns.schema["conv_id"].dataType.simpleString()))
+    return bare.mapInArrow(_formatter(tokenizer), FORMATTED.format(id=turns.schema["conv_id"].dataType.simpleString()))

@@ -5,8 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,22 +36,21 @@ def op7_language_id(spark, sf):
     return language.identify_languages(table(spark, sf, "documents"))
 
 
-def _chat_digest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _chat_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What the formatted conversations say, read back from text, offsets and mask alone."""
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    for part in parts:
+    for batch in batches:
         rows = []
-        for conv_id, text, starts, ends, mask in zip(
-            part["conv_id"], part["formatted"], part["token_starts"], part["token_ends"], part["loss_mask"]
-        ):
+        for text, *lists in zip(batch.column(1).to_pylist(), *(batch.column(n) for n in (2, 3, 4))):
+            starts, ends, mask = (x.values.to_numpy(zero_copy_only=False) for x in lists)
             turns = chat.parse(text)
-            regions = chat.masked_regions(np.asarray(starts), np.asarray(ends), np.asarray(mask, dtype=bool))
+            regions = chat.masked_regions(starts, ends, mask)
             loss = "".join(chat.unescape(text[a:b]) for a, b in regions)
-            rows.append((conv_id, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        frame = pd.DataFrame(rows, columns=names)
-        frame["conv_id"] = part["conv_id"].to_numpy()  # keeps a null as it came
-        yield frame
+            rows.append((len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
+        names = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+        columns = {name: list(values) for name, values in zip(names, zip(*rows))}
+        if rows:
+            yield pa.RecordBatch.from_pydict({"conv_id": batch.column(0), **columns})
 
 
 @query
@@ -61,7 +59,7 @@ def op2_chat_format(spark, sf):
     extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf, "conversations").select(extra.columns).unionByName(extra)
     formatted = chat.format_conversations(turns).drop("token_ids")
-    return formatted.mapInPandas(
+    return formatted.mapInArrow(
         _chat_digest,
         "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
     )
