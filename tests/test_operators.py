@@ -12,9 +12,8 @@ from visitlake import schema as S
 from visitlake.functions.timeparts import day_period, month_period, week_period
 from visitlake.operators import dimensions as D
 from visitlake.operators import hourly as H
-from visitlake.operators import lookups
 from visitlake.operators import visitors as V
-from visitlake.operators.ip_ranges import find_ip_ranges, find_overlaps, join_ip_range, list_range_ends
+from visitlake.operators.ip_ranges import find_ip_ranges, find_overlaps, fits_broadcast, join_ip_range, list_range_ends
 
 RUN = date(2024, 1, 10)
 EVENT_FIELDS = "en string, pl string, ver string, browser string, browser_v string, u_ud string, u_sd string, s_time bigint"
@@ -69,8 +68,8 @@ def test_overlapping_ranges_are_refused(spark):
 
 def test_broadcast_check_sees_maps(spark):
     row = {"country": "c" * 300, "province": "p" * 300}
-    df = spark.createDataFrame([(1, row)] * 50, "begin_ip bigint, place map<string,string>")
-    assert lookups.fits_broadcast(df, 100, 2 * 50 * 650) and not lookups.fits_broadcast(df, 100, 50 * 650 // 2)
+    df = spark.createDataFrame([(i, i, row) for i in range(50)], "begin_ip bigint, end_ip bigint, place map<string,string>")
+    assert fits_broadcast(df, 50, 2 * 50 * 650) and not fits_broadcast(df, 50, 50 * 650 // 2) and not fits_broadcast(df, 49)
 
 
 def test_hours_hold_large_sums(spark):

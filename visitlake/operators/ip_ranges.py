@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions.ip import address_text, ip_to_long, long_to_ip
-from visitlake.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
+from visitlake.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, row_bytes
 from visitlake.schema import UNKNOWN_AREA, UNKNOWN_COUNTRY
 
 # Shared prefix lengths in bits. All ranges filed under the wide ones together number at most 257 * 255.
@@ -33,15 +33,33 @@ def list_range_ends(ranges: DataFrame) -> DataFrame:
     return ranges.select(long_to_ip(F.col("end_ip")).alias("end_ip"))
 
 
-def find_overlaps(ranges: DataFrame) -> DataFrame:
-    """Ranges that begin before another one, which begins no later, has ended. There should be none.
+def _by_octet(ranges: DataFrame) -> DataFrame:
+    """(begin_ip, end_ip, _octet, _bytes, _overlaps) of each range under each first octet it touches.
 
-    A range is looked at under each first octet it touches, so no task has to sort all ranges.
+    `_overlaps` tells whether a range that begins no later has not ended. No task has to sort all ranges.
     """
     octet = F.explode(F.sequence(F.shiftright("begin_ip", 24), F.shiftright("end_ip", 24)))
     earlier = Window.partitionBy("_octet").orderBy("begin_ip", "end_ip").rowsBetween(Window.unboundedPreceding, -1)
-    seen = ranges.select("begin_ip", "end_ip", octet.alias("_octet")).withColumn("_last", F.max("end_ip").over(earlier))
-    return seen.filter(F.col("_last") >= F.col("begin_ip")).select("begin_ip", "end_ip").distinct()
+    seen = ranges.select("begin_ip", "end_ip", row_bytes(*ranges.columns).alias("_bytes"), octet.alias("_octet"))
+    last = F.max("end_ip").over(earlier)
+    return seen.withColumn("_overlaps", F.coalesce(last >= F.col("begin_ip"), F.lit(False)))
+
+
+def find_overlaps(ranges: DataFrame) -> DataFrame:
+    """Ranges that begin before another one, which begins no later, has ended. There should be none."""
+    return _by_octet(ranges).filter("_overlaps").select("begin_ip", "end_ip").distinct()
+
+
+def fits_broadcast(ranges: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows and bytes of `ranges` stay within the bounds; overlapping ranges are an error. One distributed pass."""
+    once = F.col("_octet") == F.shiftright("begin_ip", 24)
+    counted = _by_octet(ranges).agg(
+        F.count_if(once).alias("n"), F.coalesce(F.sum(F.when(once, F.col("_bytes"))), F.lit(0)).alias("b"),
+        F.count_if("_overlaps").alias("overlaps"),
+    ).first()
+    if counted["overlaps"]:
+        raise ValueError(f"overlapping IP ranges, such as {find_overlaps(ranges).take(3)}")
+    return counted["n"] <= max_rows and counted["b"] <= max_bytes
 
 
 def _prefix(ip: Column, bits: int) -> Column:
@@ -70,9 +88,6 @@ def join_ip_range(
     error, so no row of `df` is doubled. Ranges that pass a size check are broadcast and the rows of `df` never move.
     Otherwise they meet by one shuffled join; either way `df` is read once.
     """
-    overlaps = find_overlaps(ranges).take(3)
-    if overlaps:
-        raise ValueError(f"overlapping IP ranges, such as {overlaps}")
     values = [c for c in ranges.columns if c not in ("begin_ip", "end_ip")]
     if fits_broadcast(ranges, max_rows, max_bytes):
         return _probe(df, _file_ranges(ranges), ip_col, values, (*NARROW_BITS, *WIDE_BITS))

@@ -1,8 +1,8 @@
-"""Deciding whether a lookup table may be broadcast."""
+"""Bounds within which a lookup table may be broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A table is broadcast only when a count shows it stays below both bounds.
@@ -10,11 +10,6 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows and the bytes of `df`, counted in one distributed pass, stay within the bounds.
-
-    Bytes are those of a row's JSON text, which holds maps, arrays and structs at about the size they have in memory.
-    """
-    size = F.octet_length(F.to_json(F.struct("*")))
-    counted = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    return counted["n"] <= max_rows and counted["b"] <= max_bytes
+def row_bytes(*columns: str) -> Column:
+    """About the size of a row in memory: that of its JSON text, which holds maps, arrays and structs too."""
+    return F.octet_length(F.to_json(F.struct(*columns)))
