@@ -155,3 +155,51 @@ def test_codes_of_a_context_are_a_distribution(seed):
     codes = ppm.code_table(leaves, rng.integers(1, 50, len(leaves)))
     sums = (10.0 ** codes[rng.integers(256, size=200), rng.integers(256, size=200)]).sum(axis=1)
     assert np.all(sums <= 1 + 1e-4) and np.all(sums > 0.5)
+
+
+def slow_deep_ppm(training, text, order):
+    contexts = [defaultdict(Counter) for _ in range(order + 1)]
+    mark = b"\xff" * order
+    for t in training:
+        marked = mark + t + b"\xff"
+        for i in range(order, len(marked)):
+            for k in range(order + 1):
+                contexts[k][marked[i - k : i]][marked[i]] += 1
+    marked, score = mark + text + b"\xff", 0.0
+    for i in range(order, len(marked)):
+        excluded = set()
+        for k in range(order, -1, -1):
+            counted = contexts[k].get(marked[i - k : i], Counter())
+            fresh = {s: n for s, n in counted.items() if s not in excluded}
+            if marked[i] in fresh:
+                score += math.log10(fresh[marked[i]] / (sum(fresh.values()) + len(fresh)))
+                break
+            if fresh:
+                score += math.log10(len(fresh) / (sum(fresh.values()) + len(fresh)))
+            excluded |= set(counted)
+        else:
+            score -= math.log10(256 - len(excluded))
+    return score
+
+
+@pytest.mark.parametrize("hot, order", [(1 << 21, 5), (0, 5), (200, 4)])
+def test_contexts_of_higher_orders(spark, monkeypatch, hot, order):
+    monkeypatch.setattr(ppm, "HOT_GRAMS", hot)
+    monkeypatch.setattr(ppm, "_WINDOW", 1000)
+    monkeypatch.setattr(ppm, "_HELD", 300)
+    more = [(100 + i, f"passage {i % 7} that comes again, with number {i} and \x00 odd ñ bytes", "en", "a") for i in range(40)]
+    docs = awkward(spark, more).filter("doc_id is null or doc_id <> 5")
+    texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    training = [t for d, t in texts if remainder(d, 5) != 1]
+    want = Counter((d, round(slow_deep_ppm(training, t, order), 3)) for d, t in texts)
+    assert Counter((r.doc_id, round(r.score, 3)) for r in ppm.score_texts(docs, order=order).collect()) == want
+    assert ppm.score_texts(empty(spark), order=order).count() == 0
+
+
+def test_the_query_uses_contexts_of_more_than_two_bytes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    deep = {r.doc_id: r for r in QUERIES["op4_lm_scores"](spark, sf_dir).collect()}
+    flat = {r.doc_id: r for r in ppm.score_texts(docs).collect()}
+    assert deep.keys() == flat.keys() and all(deep[d].base_score == pytest.approx(flat[d].base_score) for d in flat)
+    held = [d for d in flat if flat[d].held_out]
+    assert sum(deep[d].score for d in held) > sum(flat[d].score for d in held)

@@ -9,6 +9,10 @@ that no UTF-8 text holds.
 Since a context's symbols are among those of its suffixes, what is excluded follows from the context alone, so the code length
 of every (context, symbol) is known once the counts are. The trie of order 2 has at most 256^3 leaves, whatever
 the size of the corpus: that bounds what tasks hold, and what is collected and broadcast.
+
+Higher orders grow with the corpus. Their trie is a stored table of grams (context and symbol, a byte each), never
+collected. The last three bytes of a context hold all that orders from 3 on need of one another, so grams are coded in
+groups of those, and the trie of order 2 gives the rest. Texts are joined to the coded grams.
 """
 
 from __future__ import annotations
@@ -19,18 +23,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake.llm.folds import fold
-from visitlake.sources.files import staged
+from visitlake.sources.files import delete, staged
 
 ORDER = 2
+DEEP_ORDER = 5  # at most 6, so that a gram and a text's number in its slice fit 64 bits
 MARK = 0xFF
 # Tokens whose training count is at least this share of all are summed beside the join: at most 1 / HOT_SHARE of them.
 HOT_SHARE = 1e-5
+# The same for the most frequent grams, at most so many.
+HOT_GRAMS = 1 << 21
 END = ""  # the end token; no word is empty
 _CHUNK = 1 << 22  # bytes taken into arrays at once
+_WINDOW = 1 << 18  # grams, or rows of grams, taken into arrays at once
+_HELD = 1 << 20  # counted grams that a task holds before it passes them on
+_SLICE = 512  # rows scored at once
 
 
 def _leaves(data: np.ndarray) -> np.ndarray:
@@ -136,6 +146,192 @@ def ppm_scores(texts: list[bytes], table: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _low(order: int) -> int:
+    """Bits of the last `order` bytes of a context and the symbol."""
+    return (1 << 8 * (order + 1)) - 1
+
+
+def _windows(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams of all symbols of the texts and the number of the text each is from, some at a time."""
+    mark = bytes([MARK]) * order
+    data = np.frombuffer(mark + mark.join(texts) + mark[:1], dtype=np.uint8)
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    # a text's symbols and its end; the other marks before the next text are no symbols
+    bounds = np.concatenate([[0], np.cumsum(lengths + order)])
+    for at in range(0, len(data) - order, _WINDOW):
+        size = min(_WINDOW, len(data) - order - at)
+        grams = np.zeros(size, dtype=np.int64)
+        for j in range(order + 1):
+            grams = grams << 8 | data[at + j : at + j + size]
+        owner = np.repeat(np.arange(len(texts)), np.diff(np.clip(bounds - at, 0, size)))
+        symbols = at + np.arange(size) - bounds[owner] <= lengths[owner]
+        yield grams[symbols], owner[symbols]
+
+
+def _count_grams(order: int):
+    """Function from rows (text, in training) to (gram, n); grams of other rows count zero. Sums over many batches."""
+
+    def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        return grams, np.bincount(at, weights=np.concatenate([n for _, n in parts]), minlength=len(grams)).astype(np.int64)
+
+    def rows(grams: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(grams), 1 << 16):
+            yield pa.RecordBatch.from_pydict({"gram": pa.array(grams[at : at + (1 << 16)]), "n": pa.array(n[at : at + (1 << 16)])})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            training = np.array(batch.column(1).to_pylist(), dtype=np.int64)
+            done = 0
+            for texts in _chunks([t.as_py() for t in batch.column(0)]):
+                for grams, owner in _windows(texts, order):
+                    found, counts = np.unique(grams << 1 | training[done + owner], return_counts=True)
+                    parts.append((found >> 1, counts * (found & 1)))
+                    held += len(found)
+                    if held > 2 * _HELD:
+                        parts = [merged(parts)]
+                        held = len(parts[0][0])
+                        if held > _HELD:
+                            yield from rows(*parts[0])
+                            parts, held = [], 0
+                done += len(texts)
+        if parts:
+            yield from rows(*merged(parts))
+
+    return run
+
+
+def deep_codes(grams: np.ndarray, counts: np.ndarray, leaves: np.ndarray, leaf_counts: np.ndarray, table: np.ndarray, order: int) -> np.ndarray:
+    """log10 probability of each gram's symbol in its context, escapes and exclusion as in `code_table`.
+
+    The grams are distinct and all there are with the same last three bytes of context, counted or not; `leaves`
+    (sorted), their counts and `table` are the trie of order 2 and its codes.
+    """
+    leaves, leaf_counts = np.append(leaves, np.int32(0x7FFFFFFF)), np.append(leaf_counts, 0)
+    sizes = {2: np.bincount(leaves[:-1] >> 8, weights=leaf_counts[:-1], minlength=1 << 16)}
+    kinds = {2: np.bincount(leaves[:-1] >> 8, minlength=1 << 16)}
+    nodes, n, in_context, rows = {}, {}, {}, {}
+
+    def counted(found: np.ndarray, k: int) -> np.ndarray:
+        """Counts of nodes of order k."""
+        if k > 2:
+            return n[k][np.searchsorted(nodes[k], found)]
+        at = np.searchsorted(leaves, found)
+        return np.where(leaves[at] == found, leaf_counts[at], 0)
+
+    for k in range(3, order + 1):
+        nodes[k], at = np.unique(grams & _low(k), return_inverse=True)
+        n[k] = np.bincount(at, weights=counts, minlength=len(nodes[k]))
+        contexts, in_context[k] = np.unique(nodes[k] >> 8, return_inverse=True)
+        sizes[k] = np.bincount(in_context[k], weights=n[k], minlength=len(contexts))
+        kinds[k] = np.bincount(in_context[k], weights=n[k] > 0, minlength=len(contexts))
+        rows[k] = in_context[k][at]
+    rows[2] = grams >> 8 & 0xFFFF
+    left, out = np.zeros(len(grams)), np.full(len(grams), np.nan)
+    for k in range(order, 1, -1):
+        total, distinct = sizes[k][rows[k]], kinds[k][rows[k]].astype(np.float64)
+        if k < order:
+            shorter = counted(nodes[k + 1] & _low(k), k) * (n[k + 1] > 0)
+            total = total - np.bincount(in_context[k + 1], weights=shorter)[rows[k + 1]]
+            distinct = distinct - kinds[k + 1][rows[k + 1]]
+        whole = np.maximum(total + distinct, 1)
+        own = counted(grams & _low(k), k)
+        out = np.where(np.isnan(out) & (own > 0), left + np.log10(np.maximum(own, 1) / whole), out)
+        left = left + np.where(distinct > 0, np.log10(np.maximum(distinct, 1) / whole), 0.0)
+    # below order 2 as in the table, without its escape from order 2
+    total, distinct = sizes[2][rows[2]], kinds[2][rows[2]]
+    escape = np.where(distinct > 0, np.log10(np.maximum(distinct, 1) / np.maximum(total + distinct, 1)), 0.0)
+    return np.where(np.isnan(out), left + table[grams & _low(2)] - escape, out)
+
+
+def _coder(leaves: bytes, leaf_counts: bytes, order: int):
+    """Function that adds codes to the rows (tail, gram, n) of a partition, sorted by tail; holds whole tails."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = np.frombuffer(leaves, np.int32), np.frombuffer(leaf_counts, np.int64), _table_of(leaves, leaf_counts)
+
+        def coded(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            codes = deep_codes(rows[1], rows[2], *trie, order)
+            for at in range(0, len(codes), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                yield pa.RecordBatch.from_pydict({"gram": pa.array(rows[1, part]), "n": pa.array(rows[2, part]), "code": pa.array(codes[part])})
+
+        parts, held, limit = [], 0, _WINDOW
+        for batch in batches:
+            parts.append(np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)]))
+            held += batch.num_rows
+            if held < limit:
+                continue
+            rows = np.concatenate(parts, axis=1)
+            cut = int(np.searchsorted(rows[0], rows[0, -1]))
+            if cut:
+                yield from coded(rows[:, :cut])
+            parts, held = [rows[:, cut:].copy()], held - cut
+            limit = held + _WINDOW
+        if held:
+            yield from coded(np.concatenate(parts, axis=1))
+
+    return run
+
+
+def gram_counts(docs: DataFrame, in_training: Column, text_col: str, order: int) -> tuple[DataFrame, str]:
+    """(gram, n) of all texts' grams, stored, and its path: n counts those of the rows `in_training`, and may be zero."""
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    counted = docs.select(text, in_training).mapInArrow(_count_grams(order), "gram bigint, n bigint")
+    return staged(counted.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+
+
+def _trie_of(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(leaves, counts) of order 2, as `train_ppm` has them."""
+    leaf = F.col("gram").bitwiseAND(_low(2)).cast("int").alias("leaf")
+    trie = grams.filter("n > 0").groupBy(leaf).agg(F.sum("n").alias("n")).toArrow().sort_by("leaf")
+    return trie["leaf"].to_numpy().astype(np.int32), trie["n"].to_numpy().astype(np.int64)
+
+
+def gram_codes(grams: DataFrame, leaves: np.ndarray, leaf_counts: np.ndarray, order: int) -> DataFrame:
+    """(gram, n, code) of all grams, stored."""
+    tail = F.shiftright("gram", 8).bitwiseAND(0xFFFFFF).alias("tail")
+    dealt = grams.select(tail, "gram", "n").repartition("tail").sortWithinPartitions("tail")
+    return staged(dealt.mapInArrow(_coder(leaves.tobytes(), leaf_counts.tobytes(), order), "gram bigint, n bigint, code double"), "gram-codes")[0]
+
+
+def _hot_grams(codes: DataFrame) -> tuple[Column, tuple[np.ndarray, np.ndarray]]:
+    """Whether a row of `gram_codes` is among the HOT_GRAMS most frequent, and those: sorted grams, their codes.
+
+    The limit is found from counts in steps of an eighth of a power of two.
+    """
+    step = F.when(F.col("n") > 0, F.floor(F.log2("n") * 8)).otherwise(-1)
+    counts = {r["step"]: r["count"] for r in codes.groupBy(step.alias("step")).count().collect()}
+    taken, least = 0, 1 << 10
+    for at in sorted(counts, reverse=True):
+        taken += counts[at]
+        if at < 0 or taken > HOT_GRAMS:
+            break
+        least = at
+    hot = codes.filter(step >= least).select("gram", F.col("code").cast("float").alias("code")).toArrow().sort_by("gram")
+    return step >= least, (hot["gram"].to_numpy(), hot["code"].to_numpy())
+
+
+def _deep_scores(texts: list[bytes], hot: tuple[np.ndarray, np.ndarray], order: int) -> tuple[np.ndarray, pa.Array]:
+    """Sum over the hot grams (sorted, and their codes) of each text, and its other grams with their counts."""
+    keys, codes = hot
+    sums, rest = np.zeros(len(texts)), [np.empty((3, 0), dtype=np.int64)]
+    for grams, owner in _windows(texts, order):
+        # grams first, so that the search goes through the keys in order
+        both, n = np.unique(grams * _SLICE + owner, return_counts=True)
+        found, owner = both // _SLICE, both % _SLICE
+        at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+        hit = keys[at] == found if len(keys) else np.zeros(len(found), dtype=bool)
+        sums += np.bincount(owner[hit], weights=codes[at[hit]] * n[hit], minlength=len(texts))
+        rest.append(np.stack([owner[~hit], found[~hit], n[~hit]]))
+    owner, found, n = np.concatenate(rest, axis=1)
+    by_text = np.argsort(owner, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+    pairs = pa.StructArray.from_arrays([pa.array(found[by_text]), pa.array(n[by_text])], names=["gram", "n"])
+    return sums, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+
+
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter = Counter()
@@ -145,18 +341,21 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_pydict({"token": words, "n": pa.array([*counts.values(), batch.num_rows], pa.int64())})
 
 
-_SCORED = "n_tokens bigint, hot_known bigint, hot_sum double, cold array<struct<token:string,n:bigint>>, score double"
+_SCORED = "n_tokens bigint, hot_known bigint, hot_sum double, cold array<struct<token:string,n:bigint>>, score double, grams array<struct<gram:bigint,n:bigint>>"
+
 
+def _scorer(model, hot: dict[bytes, float], columns: int):
+    """Function that adds to rows (others..., text) the sums over hot tokens and grams, and the other tokens and grams.
 
-def _scorer(leaves: bytes, trie_counts: bytes, hot: dict[bytes, float], columns: int):
-    """Function that adds to rows (others..., text) the model's score, the sum over hot tokens and the other tokens."""
+    `model` makes in the task the function from texts to their scores and the grams still to be added.
+    """
     cold_type = pa.list_(pa.struct([("token", pa.string()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table_of(leaves, trie_counts)
+        scores = model()
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, _SLICE):
+                batch = whole.slice(at, _SLICE)
                 texts = [t.as_py() for t in batch.column(columns)]
                 totals, known, sums, ends, tokens, counts = [], [], [], [0], [], []
                 for text in texts:
@@ -175,15 +374,32 @@ def _scorer(leaves: bytes, trie_counts: bytes, hot: dict[bytes, float], columns:
                 )
                 added = [
                     pa.array(totals, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs), pa.array(ppm_scores(texts, table)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
                 ]
-                names = [*batch.schema.names[:columns], "n_tokens", "hot_known", "hot_sum", "cold", "score"]
+                score, grams = scores(texts)
+                added += [pa.array(score), grams]
+                names = [*batch.schema.names[:columns], "n_tokens", "hot_known", "hot_sum", "cold", "score", "grams"]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:columns], *added], names=names)
 
     return run
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1) -> DataFrame:
+def _flat_model(leaves: bytes, trie_counts: bytes):
+    def made():
+        table = _table_of(leaves, trie_counts)
+        none = pa.scalar([], pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())])))
+        return lambda texts: (ppm_scores(texts, table), pa.repeat(none, len(texts)))
+
+    return made
+
+
+def _deep_model(hot: tuple[np.ndarray, np.ndarray], order: int):
+    return lambda: lambda texts: _deep_scores(texts, hot, order)
+
+
+def score_texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, order: int = ORDER
+) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; null texts count as empty.
 
     Both models learn from the rows outside the held-out fold. `score` is the trie's log10 probability of the text and its end.
@@ -191,8 +407,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and each counts; without training rows every count is zero; an empty table gives an empty one.
 
     Token counts are combined per batch before the shuffle. Scoring joins each text's distinct tokens to them, but for the
-    frequent ones (at most 1 / HOT_SHARE), whose counts go along, so that no token is a hot key of the join.
+    frequent ones (at most 1 / HOT_SHARE), whose counts go along, so that no token is a hot key of the join. Contexts
+    are up to `order` bytes long; above ORDER, grams are joined as tokens are, but for the HOT_GRAMS most frequent.
     """
+    if not ORDER <= order <= 6:
+        raise ValueError("contexts are 2 to 6 bytes long")
     spark: SparkSession = docs.sparkSession
     is_held_out = fold(id_col, folds) == held_out
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -204,18 +423,31 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     log_share = lambda c: F.log10((c + 0.5) / F.lit(whole))
     hot_rows = vocabulary.filter(F.col("c") >= floor).select("token", log_share(F.col("c")).alias("x")).collect()
     hot = {r["token"].encode(): r["x"] for r in hot_rows}
-    leaves, trie_counts = train_ppm(training, text_col)
+    if order > ORDER:
+        grams, path = gram_counts(docs, ~is_held_out, text_col, order)
+        codes = gram_codes(grams, *_trie_of(grams), order)
+        delete(spark, path)
+        is_hot, hot_grams = _hot_grams(codes)
+        model = _deep_model(hot_grams, order)
+    else:
+        leaves, trie_counts = train_ppm(training, text_col)
+        model = _flat_model(leaves.tobytes(), trie_counts.tobytes())
 
     rows = docs.select(F.col(id_col).alias("id"), is_held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:3])
-    scored, _ = staged(rows.mapInArrow(_scorer(leaves.tobytes(), trie_counts.tobytes(), hot, 3), f"{kept}, {_SCORED}"), "scored")
+    scored, _ = staged(rows.mapInArrow(_scorer(model, hot, 3), f"{kept}, {_SCORED}"), "scored")
     tokens = scored.select("row", F.inline("cold"))
     counts = vocabulary.filter(F.col("c") < floor)
     found = tokens.join(counts, "token", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
     cold = found.groupBy("row").agg(
         F.sum(F.col("n") * log_share(F.col("c"))).alias("cold_sum"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("cold_known")
     )
-    return scored.drop("cold").join(cold, "row", "left").select(
+    if order > ORDER:
+        wanted = scored.select("row", F.inline("grams")).withColumnRenamed("n", "times")
+        added = wanted.join(codes.filter(~is_hot).select("gram", "code"), "gram")
+        rare = added.groupBy("row").agg(F.sum(F.col("times") * F.col("code")).alias("rare"))
+        scored = scored.join(rare, "row", "left").withColumn("score", F.col("score") + F.coalesce("rare", F.lit(0.0)))
+    return scored.drop("cold", "grams").join(cold, "row", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("hot_known") + F.coalesce("cold_known", F.lit(0))).alias("n_known"), F.lit(sizes["N"]).cast("bigint").alias("train_tokens"),
         (F.col("hot_sum") + F.coalesce("cold_sum", F.lit(0.0))).alias("base_score"), "score",

@@ -114,7 +114,7 @@ def op1_personal_data(spark, sf):
 
 @query
 def op4_lm_scores(spark, sf):
-    return ppm.score_texts(table(spark, sf, "documents"))
+    return ppm.score_texts(table(spark, sf, "documents"), order=ppm.DEEP_ORDER)
 
 
 @query
