@@ -58,6 +58,15 @@ def test_awkward_rows(spark):
     assert kept.filter("doc_id is null").count() == 2
 
 
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    copied, other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in ("copied", "other", "third"))
+    rows = [(None, copied, "en", "a")] * 3 + [(90, other, "en", "a"), (90, third, "en", "a"), (91, other, "en", "a"), (80, third, "en", "b")]
+    rows += [(70, "unlike " + other[:90], "en", "a"), (70, "its " + third[:50], "en", "a")]
+    kept = S.keep_one_per_group(awkward(spark, rows)).filter("doc_id >= 70 or text like 'copied%'").collect()
+    want = [(None, copied), (90, other), (80, third), (70, rows[-2][1]), (70, rows[-1][1])]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(want, key=repr)
+
+
 def linked(spark, fps, **options):
     df = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp bigint")
     links = S.fingerprint_links(df, **options).collect()

@@ -212,23 +212,36 @@ def simhash_groups(
     """
     narrow = docs.select(F.col(id_col).alias(id_col), fingerprint(F.col(text_col), words).alias("fp"))
     marked, _ = staged(narrow, "simhash")
+    component = _components(marked, id_col, max_bits).select("fp", "component_id")
+    return marked.join(component, "fp").select(id_col, "fp", "component_id")
+
+
+def _components(marked: DataFrame, id_col: str, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of `marked`; the root names its group, with ids or without."""
     firsts, _ = staged(marked.groupBy("fp").agg(F.min(id_col).alias("first")), "simhash-first")
     roots = connected_components(fingerprint_links(firsts.select("fp"), max_bits), "simhash-links")
     rooted = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    component = rooted.join(smallest, "root").select("fp", "component_id")
-    return marked.join(component, "fp").select(id_col, "fp", "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of every group: the one with the smallest id. Rows without an id stay, and of rows that share an id one."""
-    groups = simhash_groups(docs.select(id_col, text_col), id_col, text_col)
-    copies = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(copies, id_col, "left_anti").select(docs.columns)
-    repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns)
-    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(once)
+    """One row of every group: the one with the smallest id, or the smallest hash of its text where ids are equal or missing.
+
+    Rows are told apart by a key of their own, so none goes for sharing the id of another. A row that has neither
+    id nor words is no copy of anything and stays.
+    """
+    stored = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"), fingerprint(F.col(text_col)).alias("fp"),
+        F.xxhash64(text_col).alias("hash"), F.monotonically_increasing_id().alias("key"),
+    )
+    rows, _ = staged(stored, "simhash-rows")
+    narrow = rows.select("fp", "hash", "key", F.col("row").getField(id_col).alias("id"))
+    components = _components(narrow, "id", MAX_BITS)
+    order = F.struct(F.col("id").isNull().alias("without"), "id", "hash", "key")
+    first = narrow.join(components.select("fp", "root"), "fp").groupBy("root").agg(F.min(order)["key"].alias("key"))
+    bare = narrow.filter("id is null and fp = 0").select("key")
+    kept = rows.join(first.select("key").union(bare), "key", "left_semi")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
