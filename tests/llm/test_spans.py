@@ -128,3 +128,27 @@ def test_redaction_replaces_secrets_and_nothing_else(spark):
     others = lambda df: sorted((tuple(r) for r in df.filter("doc_id is null or doc_id < 20").collect()), key=repr)
     assert others(out) == others(docs)
     assert secret_scan.redact_secrets(empty(spark)).count() == 0
+
+
+def found_random(spark, rows):
+    got = secret_scan.secret_digest(secret_scan.scan_secrets(awkward(spark, rows))).collect()
+    return {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("random")] for r in got}
+
+
+@pytest.mark.parametrize("digests", [0, 1500])
+def test_recall_of_short_keys_per_alphabet(spark, digests):
+    rng = random.Random(3)
+    kinds = {"HEX": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567", "base36": string.digits + string.ascii_lowercase}
+    asked = [(k, n) for k in kinds for n in (20, 32, 40) for _ in range(60)]
+    keys = ["".join(rng.choice(kinds[k]) for _ in range(n)) for k, n in asked]
+    rows = [(1000 + i, f"key {key} end", "en", "a") for i, key in enumerate(keys)]
+    rows += [(5000 + i, "sum " + "".join(rng.choice("0123456789abcdef") for _ in range(40)), "en", "a") for i in range(digests)]
+    words = ["international", "configuration", "management", "development", "Quality", "SYSTEM", "network", "zebra", "jazz", "query"]
+    plain = ["".join(rng.sample(words, 3)) + str(rng.randrange(100)) for _ in range(600)]
+    plain += ["_".join(rng.sample(words, 3)) + str(rng.randrange(100)) for _ in range(600)]
+    rows += [(9000 + i, f"see {p} there", "en", "a") for i, p in enumerate(plain)]
+    found = found_random(spark, rows)
+    for kind in asked[::60]:
+        at = [i for i, k in enumerate(asked) if k == kind]
+        assert sum(found[1000 + i] == [(4, 4 + len(keys[i]))] for i in at) >= 0.9 * len(at), kind
+    assert sum(bool(found[9000 + i]) for i in range(len(plain))) <= 6

@@ -3,14 +3,17 @@
 Every run of 20 or more characters of base64 with letters and digits is a candidate. Its encoding is the smallest
 alphabet that holds it. Three tests ask whether its symbols are random in that alphabet: chi-squared uniformity, the
 number of runs of low and high symbols, and serial correlation of neighbours. A candidate that none of them
-rejects (Bonferroni) is tested against ordinary text: its chi-squared is compared with the noncentral one that a token of
-that length would have if its symbols were as uneven as those of the corpus's non-random candidates. These
-p-values shrink with length, and Benjamini-Hochberg over all candidates of the corpus sets the limit.
+rejects (Bonferroni) is tested against ordinary text, whose letters are as frequent as in words and which seldom goes from
+letters to digits or from small to capital ones: the token's chance there over its chance when random. A ratio
+is below p with a chance of at most p for ordinary tokens, so it is a p-value whatever the length and the
+alphabet, and shrinks with length. Benjamini-Hochberg over the candidates of an encoding sets that one's limit;
+candidates that overlap a fixed pattern's match are reported anyway and do not count.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import exp, inf, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,21 +48,26 @@ _ALPHABETS = {
     "base64url": _UPPER + _LOWER + _DIGITS + "-_",
 }
 
-# Fixed value: the squared letter shares of ordinary text add up to about this.
-_LETTER_SQUARES = 0.065
-# Unevenness of ordinary tokens, (chi-squared - freedom) per character, before any were seen; its weight in characters.
-_PRIOR_UNEVEN = {name: max(0.5, len(alphabet) * _LETTER_SQUARES - 1) for name, alphabet in _ALPHABETS.items()}
-_PRIOR_CHARS = 2000.0
+# Shares of a to z in words, in units of 0.1 %; a tenth of the letters are taken to be any.
+_SHARES = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+_LETTER = {c: 0.9 * n / sum(_SHARES) + 0.1 / 26 for c, n in zip(_LOWER, _SHARES)}
+_CHANCE = _LETTER | {c.upper(): x for c, x in _LETTER.items()} | {c: 0.1 for c in _DIGITS} | {c: 0.25 for c in "+/-_"}
+# Classes of symbols (digit, lower, upper, separator) and how ordinary tokens go from one to the next.
+_CLASSES = {"d": _DIGITS, "l": _LOWER, "u": _UPPER, "s": "+/-_"}
+_NEXT = {
+    "d": {"d": 0.75, "l": 0.10, "u": 0.08, "s": 0.07}, "l": {"d": 0.03, "l": 0.88, "u": 0.05, "s": 0.04},
+    "u": {"d": 0.05, "l": 0.40, "u": 0.50, "s": 0.05}, "s": {"d": 0.25, "l": 0.50, "u": 0.15, "s": 0.10},
+}
+_FIRST = 0.25  # chance of any class at the start
 _STEPS = 50  # p-values are counted in steps of 1/50 of a natural logarithm
 _LAST_STEP = 50 * 60
 
 
 @dataclass(frozen=True)
 class Limits:
-    """What the corpus says: unevenness per encoding and the largest p-value that counts as a discovery."""
+    """What the corpus says: the largest p-value that counts as a discovery, per encoding; none where nothing does."""
 
-    uneven: dict[str, float]
-    p_value: float
+    p_value: dict[str, float]
 
 
 def _inferred(token: Column) -> Column:
@@ -72,10 +80,21 @@ def _inferred(token: Column) -> Column:
 
 
 def _tested(candidates: Column) -> Column:
-    """Candidates with a letter and a digit: their encoding, length, freedom, chi-squared and the tests' p-value."""
+    """Candidates with a letter and a digit: their encoding, the tests' p-value and the logarithm of the ordinary one."""
     alphabet_of = F.create_map(*[F.lit(x) for pair in _ALPHABETS.items() for x in pair])
     halves_of = F.create_map(*[F.lit(x) for n, a in _ALPHABETS.items() for x in (n, "0" * (len(a) // 2) + "1" * (len(a) - len(a) // 2))])
 
+    symbols, classes = "".join("".join(x) for x in _CLASSES.values()), "".join(k * len(x) for k, x in _CLASSES.items())
+    chance_of = F.create_map(*[F.lit(x) for c, p in _CHANCE.items() for x in (c, log(p))])
+    step_of = F.create_map(*[F.lit(x) for a, to in _NEXT.items() for b, p in to.items() for x in (a + b, log(p))])
+
+    def ordinary(token: Column) -> Column:
+        """Logarithm of the chance of an ordinary token to be this one."""
+        steps = lambda c: F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda a, b: step_of[F.concat(a, b)])
+        total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+        codes = F.split(F.call_function("translate", token, F.lit(symbols), F.lit(classes)), "")
+        return total(F.transform(F.split(token, ""), lambda x: chance_of[x])) + total(steps(codes)) + log(_FIRST)
+
     def encoded(c: Column) -> Column:
         token = F.rtrim(c["match"], F.lit("="))
         return F.struct(c["start"].alias("start"), c["end"].alias("end"), token.alias("token"), _inferred(token).alias("encoding"))
@@ -89,6 +108,7 @@ def _tested(candidates: Column) -> Column:
         return F.struct(
             c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"),
             F.length(token).cast("double").alias("n"), F.length(alphabet).cast("double").alias("symbols"), squares.alias("squares"),
+            ordinary(token).alias("ordinary"),
             F.call_function("translate", token, alphabet, halves_of[c["encoding"]]).alias("halves"),
             F.transform(F.split(token, ""), lambda x: F.call_function("instr", alphabet, x).cast("double")).alias("codes"),
         )
@@ -101,7 +121,7 @@ def _tested(candidates: Column) -> Column:
             (c["symbols"] - 1).alias("freedom"), (c["symbols"] / c["n"] * c["squares"] - c["n"]).alias("chi"),
             F.length(F.replace(c["halves"], F.lit("0"), F.lit(""))).cast("double").alias("high"),
             F.length(F.regexp_replace(c["halves"], "0+|1+", "x")).cast("double").alias("runs"),
-            c["codes"].alias("codes"), mean.alias("mean"),
+            c["codes"].alias("codes"), mean.alias("mean"), (c["ordinary"] + c["n"] * F.ln(c["symbols"])).alias("ordinary"),
         )
 
     def judged(c: Column) -> Column:
@@ -120,8 +140,8 @@ def _tested(candidates: Column) -> Column:
         serial = F.when(squares == 0, F.lit(0.0)).otherwise(two_sided((products / squares + 1 / n) * F.sqrt(n)))
         combined = F.least(F.lit(1.0), 3 * F.least(uniform, runs, serial))
         return F.struct(
-            c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"), n.alias("n"),
-            freedom.alias("freedom"), c["chi"].alias("chi"), combined.alias("p"),
+            c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"),
+            combined.alias("p"), c["ordinary"].alias("ordinary"),
         )
 
     known = F.filter(F.transform(candidates, encoded), lambda c: c["encoding"].isNotNull() & (F.length(c["token"]) >= 20)
@@ -129,16 +149,6 @@ def _tested(candidates: Column) -> Column:
     return F.transform(F.transform(F.transform(known, measured), summed), judged)
 
 
-def _ordinary_p(c: Column, uneven: Column) -> Column:
-    """Chance that an ordinary token of this length has so low a chi-squared: its noncentral form, taken as normal."""
-    extra = c["n"] * uneven
-    return normal_cdf((c["chi"] - (c["freedom"] + extra)) / F.sqrt(2 * (c["freedom"] + 2 * extra)))
-
-
-def _of(encoding: Column, uneven: dict[str, float]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in uneven.items() for x in pair])[encoding]
-
-
 def _ranked(spans: Column, kind: str) -> Column:
     """Spans of one kind as (start, rank, kind, end), which sort by start and then by kind as listed."""
     return F.transform(spans, lambda s: F.struct(
@@ -155,35 +165,33 @@ def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
         "hex": lambda s: F.lit(True),
     }
     base = F.array_sort(F.concat(*[_ranked(F.filter(kind, valid[kind]), kind) for kind in KINDS[:3]]))
-    return matched.select("row", "text", base.alias("base"), _tested(F.col("random")).alias("tested"))
+    based = matched.select("row", "text", base.alias("base"), "random")
+    return based.select("row", "text", "base", _tested(apart_from(F.col("random"), F.col("base"))).alias("tested"))
 
 
 def corpus_limits(tested: DataFrame) -> Limits:
-    """Unevenness and discovery limit from all candidates of the column `tested`; two aggregates of bounded size."""
+    """Discovery limits from all candidates of the column `tested`; an aggregate of bounded size."""
     candidates = tested.select(F.explode("tested").alias("c"))
-    sums = candidates.filter(F.col("c.p") < RANDOM_ALPHA).groupBy("c.encoding").agg(
-        F.sum(F.col("c.chi") - F.col("c.freedom")).alias("extra"), F.sum("c.n").alias("chars")
-    )
-    uneven = dict(_PRIOR_UNEVEN)
-    for row in sums.collect():
-        extra, chars = row["extra"] + uneven[row["encoding"]] * _PRIOR_CHARS, row["chars"] + _PRIOR_CHARS
-        uneven[row["encoding"]] = max(extra / chars, 0.05)
-    p = _ordinary_p(F.col("c"), _of(F.col("c.encoding"), uneven))
-    step = F.least(F.floor(-F.ln(F.greatest(p, F.lit(1e-30))) * _STEPS), F.lit(_LAST_STEP)).cast("int")
+    step = F.least(F.floor(F.greatest(-F.col("c.ordinary"), F.lit(0.0)) * _STEPS), F.lit(_LAST_STEP)).cast("int")
     # tokens that a test rejects are tested too, and are not discoveries
-    steps = candidates.select(F.when(F.col("c.p") < RANDOM_ALPHA, F.lit(0)).otherwise(step).alias("step")).groupBy("step").count()
-    counts = {row["step"]: row["count"] for row in steps.collect()}
-    total, passed, limit = sum(counts.values()), 0, 0.0
-    for step in sorted(counts, reverse=True):
-        passed += counts[step]
-        largest = 2.718281828459045 ** (-step / _STEPS)  # no p-value of this step is larger
-        if largest * total <= DISCOVERY_RATE * passed:
-            limit = largest
-    return Limits(uneven, limit)
+    steps = F.when(F.col("c.p") < RANDOM_ALPHA, F.lit(0)).otherwise(step).alias("step")
+    counts: dict[str, dict[int, int]] = {}
+    for row in candidates.groupBy(F.col("c.encoding").alias("encoding"), steps).count().collect():
+        counts.setdefault(row["encoding"], {})[row["step"]] = row["count"]
+    limits = {}
+    for encoding, of in counts.items():
+        total, passed = sum(of.values()), 0
+        for step in sorted(of, reverse=True):
+            passed += of[step]
+            largest = exp(-step / _STEPS)  # no p-value of this step is larger
+            if largest * total <= DISCOVERY_RATE * passed:
+                limits[encoding] = largest
+    return Limits(limits)
 
 
 def _all_spans(limits: Limits) -> Column:
-    random = F.filter("tested", lambda c: (c["p"] >= RANDOM_ALPHA) & (_ordinary_p(c, _of(c["encoding"], limits.uneven)) <= limits.p_value))
+    limit_of = F.create_map(*[F.lit(x) for name in _ALPHABETS for x in (name, log(limits.p_value[name]) if name in limits.p_value else -inf)])
+    random = F.filter("tested", lambda c: (c["p"] >= RANDOM_ALPHA) & (c["ordinary"] <= limit_of[c["encoding"]]))
     return F.array_sort(F.concat("base", apart_from(_ranked(random, "random"), F.col("base"))))
 
 
