@@ -152,3 +152,24 @@ def test_recall_of_short_keys_per_alphabet(spark, digests):
         at = [i for i, k in enumerate(asked) if k == kind]
         assert sum(found[1000 + i] == [(4, 4 + len(keys[i]))] for i in at) >= 0.9 * len(at), kind
     assert sum(bool(found[9000 + i]) for i in range(len(plain))) <= 6
+
+
+def test_keys_inside_paths_and_compounds(spark):
+    rng = random.Random(4)
+    key = lambda symbols, n=40: "".join(rng.choice(symbols) for _ in range(n))
+    alnum = string.ascii_letters + string.digits
+    rows, want = [], {}
+    for i in range(40):
+        for j, (before, symbols, after) in enumerate([
+            ("my_app/", alnum, ""), ("x-y/", alnum, "/z_z"), ("usr/share/documentation/language/", alnum, "/configuration/settings"),
+            ("name=", alnum, ""), ("my_", alnum + "+/", "-end"), ("a/", alnum + "-_", "+b"),
+        ]):
+            k = key(symbols)
+            rows.append((1000 + 10 * i + j, f"{before}{k}{after} here", "en", "a"))
+            want[1000 + 10 * i + j] = (len(before), len(before) + 40)
+    rows += [(9000 + i, f"usr/share_all/documentation-{i}/configuration/settings_of_the_network/file{i}.txt", "en", "a") for i in range(100)]
+    found = found_random(spark, rows)
+    for j in range(6):
+        hit = [any(a <= want[d][0] and want[d][1] <= b for a, b in found[d]) for d in want if d % 10 == j]
+        assert sum(hit) >= (36 if j < 4 else 30), (j, sum(hit))
+    assert not any(found[9000 + i] for i in range(100))

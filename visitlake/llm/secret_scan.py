@@ -1,6 +1,7 @@
 """Secrets in texts: fixed patterns, and strings that a battery of randomness tests takes for random.
 
-Every run of 20 or more characters of base64 with letters and digits is a candidate. Its encoding is the smallest
+Every run of 20 or more characters of base64 with letters and digits is a candidate, and so are its pieces of that length
+between separators, as a secret may stand in a path or a compound; of what is found, the longest counts. Its encoding is the smallest
 alphabet that holds it. Three tests ask whether its symbols are random in that alphabet: chi-squared uniformity, the
 number of runs of low and high symbols, and serial correlation of neighbours. A candidate that none of them
 rejects (Bonferroni) is tested against ordinary text, whose letters are as frequent as in words and which seldom goes from
@@ -34,6 +35,12 @@ _PATTERNS = {
     "hex": (r"[0-9a-f]{16,}", ()),
     "random": (r"[A-Za-z0-9+/_=-]{20,}", ()),
 }
+# Pieces of such runs: the characters beside them that make them pieces, and those that a piece without would be one of another kind.
+_PIECES = {
+    "plain": (r"[A-Za-z0-9]{20,}", "[+/_=-]", ""),
+    "path": (r"[A-Za-z0-9+/]{20,}", "[_=-]", "[+/]"),
+    "compound": (r"[A-Za-z0-9_-]{20,}", "[+/=]", "[_-]"),
+}
 
 # Alphabets in the order of their symbols' values.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -65,7 +72,7 @@ _LAST_STEP = 50 * 60
 
 @dataclass(frozen=True)
 class Limits:
-    """What the corpus says: the largest p-value that counts as a discovery, per encoding; none where nothing does."""
+    """What the corpus says: logarithm of the largest p-value that counts as a discovery, per encoding; none where nothing does."""
 
     p_value: dict[str, float]
 
@@ -158,15 +165,19 @@ def _ranked(spans: Column, kind: str) -> Column:
 def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
     """(row, text, base, tested): every row of `docs` with its base spans and its tested candidates."""
     packed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    matched = with_matches(packed, "text", _PATTERNS)
+    matched = with_matches(packed, "text", _PATTERNS | {f"_{name}": (pattern, ()) for name, (pattern, _, _) in _PIECES.items()})
+    def pieces_of(name: str) -> Column:
+        _, beside, inside = _PIECES[name]
+        return F.filter(f"_{name}", lambda c: F.concat(c["left"], c["right"]).rlike(beside) & c["match"].rlike(inside))
+
     valid = {
         "assign": lambda s: F.length(F.regexp_extract(s["match"], f"^{_ASSIGN}([A-Za-z0-9+/_.=-]+)$", 1)) >= 12,
         "access": lambda s: F.lit(True),
         "hex": lambda s: F.lit(True),
     }
     base = F.array_sort(F.concat(*[_ranked(F.filter(kind, valid[kind]), kind) for kind in KINDS[:3]]))
-    based = matched.select("row", "text", base.alias("base"), "random")
-    return based.select("row", "text", "base", _tested(apart_from(F.col("random"), F.col("base"))).alias("tested"))
+    based = matched.select("row", "text", base.alias("base"), F.concat("random", *map(pieces_of, _PIECES)).alias("candidates"))
+    return based.select("row", "text", "base", _tested(apart_from(F.col("candidates"), F.col("base"))).alias("tested"))
 
 
 def corpus_limits(tested: DataFrame) -> Limits:
@@ -183,16 +194,25 @@ def corpus_limits(tested: DataFrame) -> Limits:
         total, passed = sum(of.values()), 0
         for step in sorted(of, reverse=True):
             passed += of[step]
-            largest = exp(-step / _STEPS)  # no p-value of this step is larger
-            if largest * total <= DISCOVERY_RATE * passed:
+            largest = -step / _STEPS  # no p-value of this step is larger
+            if exp(largest) * total <= DISCOVERY_RATE * passed:
                 limits[encoding] = largest
     return Limits(limits)
 
 
+def _longest(spans: Column) -> Column:
+    """The spans that lie inside no longer one of them."""
+    def inside(s: Column, o: Column) -> Column:
+        return (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
+
+    # in an array of one, since an expression inside a lambda is evaluated anew for each element
+    return F.flatten(F.transform(F.array(spans), lambda all_: F.filter(all_, lambda s: ~F.exists(all_, lambda o: inside(s, o)))))
+
+
 def _all_spans(limits: Limits) -> Column:
-    limit_of = F.create_map(*[F.lit(x) for name in _ALPHABETS for x in (name, log(limits.p_value[name]) if name in limits.p_value else -inf)])
+    limit_of = F.create_map(*[F.lit(x) for name in _ALPHABETS for x in (name, limits.p_value.get(name, -inf))])
     random = F.filter("tested", lambda c: (c["p"] >= RANDOM_ALPHA) & (c["ordinary"] <= limit_of[c["encoding"]]))
-    return F.array_sort(F.concat("base", apart_from(_ranked(random, "random"), F.col("base"))))
+    return F.array_sort(F.concat("base", apart_from(_ranked(_longest(random), "random"), F.col("base"))))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
