@@ -268,9 +268,9 @@ damaged as (
     unnest(range(case when k = 3 then 2 else 1 end)) as copy from cased where k <> 0),
 placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as pos from damaged),
 judged as (
-  select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+  select *, case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 'blank'
       when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
-      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault,
+      when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') then 'truncated' else '' end as fault,
     lag(left(role, 1)) over (partition by conv_id order by pos) || left(role, 1) as pair from placed),
 counted as (
   select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(fault = 'blank') as blank,
@@ -307,7 +307,7 @@ def op13_repeated_passages(spark, sf):
 
 ORACLES["op13_repeated_passages"] = """
 with docs as (
-  select doc_id, row_number() over () as row, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+  select doc_id, row_number() over () as row, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
 windows as (select doc_id, row, s, md5(array_to_string(w[s:s + 19], ' ')) as k from (select *, unnest(range(1, len(w) - 18)) as s from docs) t),
 judged as (select *, first_value(doc_id) over earliest as d, first_value(s) over earliest as f from windows
   window earliest as (partition by k order by doc_id nulls first, s rows between unbounded preceding and current row)),
