@@ -10,19 +10,22 @@ from helpers import LONG, agrees_with_sql, awkward, empty
 
 
 def brute(rows, window=20):
-    """(id, words, words removed, what is left); null ids count as one that comes first."""
+    """(id, words, words removed, what is left); rows without id come last, rows that share one do not count as earlier."""
     split = [(i, (t or "").encode().split()) for i, t in rows]
-    first, place = {}, lambda i, s: (i is not None, i or 0, s)
+    rank = lambda i: (i is None, i or 0)
+    first = {}
     for i, words in split:
         for s in range(len(words) - window + 1):
             key = tuple(words[s : s + window])
-            first[key] = min(first.get(key, place(i, s)), place(i, s))
+            first[key] = min(first.get(key, rank(i)), rank(i))
     out = []
     for i, words in split:
-        gone = set()
+        gone, seen = set(), set()
         for s in range(len(words) - window + 1):
-            if place(i, s) > first[tuple(words[s : s + window])]:
+            key = tuple(words[s : s + window])
+            if rank(i) > first[key] or key in seen:
                 gone |= set(range(s, s + window))
+            seen.add(key)
         out.append((i, len(words), len(gone), b" ".join(w for n, w in enumerate(words) if n not in gone).decode()))
     return sorted(out, key=repr)
 

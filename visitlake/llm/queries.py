@@ -309,9 +309,8 @@ ORACLES["op13_repeated_passages"] = """
 with docs as (
   select doc_id, row_number() over () as row, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
 windows as (select doc_id, row, s, md5(array_to_string(w[s:s + 19], ' ')) as k from (select *, unnest(range(1, len(w) - 18)) as s from docs) t),
-judged as (select *, first_value(doc_id) over earliest as d, first_value(s) over earliest as f from windows
-  window earliest as (partition by k order by doc_id nulls first, s rows between unbounded preceding and current row)),
-gone as (select row, n from (select distinct row, unnest(range(s, s + 20)) as n from judged where d is distinct from doc_id or f <> s) t),
+judged as (select *, min(doc_id) over (partition by k) as d, min(s) over (partition by k, row) as f from windows),
+gone as (select distinct row, unnest(range(s, s + 20)) as n from judged where d is distinct from doc_id or f < s),
 lists as (select row, list(n) as gone from gone group by row)
 select doc_id, len(w) as n_words, len(coalesce(gone, [])) as n_removed,
   sha256(array_to_string(case when gone is null then w else list_filter(w, lambda x, i: not list_contains(gone, i)) end, ' ')) as kept_sha256

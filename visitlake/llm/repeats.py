@@ -144,68 +144,60 @@ def _candidates(bitmap: np.ndarray, words: list[list[bytes]], window: int) -> tu
     return owner, at - bounds[owner], a.view(np.int64), b.view(np.int64)
 
 
-def _mark(a: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """One number for a window and its place in a document."""
-    return a ^ (start.astype(np.int64) * np.int64(0x5851F42D4C957F2D))
-
-
-def _lists(owner: np.ndarray, rows: int, values: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))]), pa.int32()), values)
-
-
-def _extender(anchors: Broadcast, window: int, with_candidates: bool):
-    """Function from rows (id, text) to the texts that hold candidates, with these, or to the other texts as they stay."""
+def _windows(anchors: Broadcast, window: int):
+    """Function from rows (id, text) to each text's distinct windows around anchors, as 96 bits of hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(anchors.value, dtype=np.uint8)
         for batch in batches:
             for at, words in _slices(batch.column(1)):
-                owner, start, a, b = _candidates(bitmap, words, window)
-                counts = np.bincount(owner, minlength=len(words))
-                chosen = np.flatnonzero((counts > 0) == with_candidates)
-                ids = batch.column(0).slice(at, len(words)).take(pa.array(chosen))
-                columns = {"id": ids, "text": pa.array([b" ".join(words[n]) for n in chosen], pa.binary()).cast(pa.string())}
-                if with_candidates:
-                    places = np.cumsum(counts > 0) - 1
-                    names = {"a": pa.array(a), "b": pa.array(b), "start": pa.array(start.astype(np.int32))}
-                    columns["windows"] = _lists(places[owner], len(chosen), pa.StructArray.from_arrays(list(names.values()), names=list(names)))
-                else:
-                    columns["n_words"] = pa.array([len(words[n]) for n in chosen], pa.int64())
-                yield pa.RecordBatch.from_pydict(columns)
+                owner, _, a, b = _candidates(bitmap, words, window)
+                order = np.lexsort((a, owner))
+                new = (np.diff(a[order], prepend=0) != 0) | (np.diff(owner[order], prepend=-1) != 0)
+                chosen = order[new]
+                ids = batch.column(0).take(pa.array(at + owner[chosen]))
+                yield pa.RecordBatch.from_pydict({"id": ids, "a": pa.array(a[chosen]), "b": pa.array((b[chosen] >> 32).astype(np.int32))})
 
     return run
 
 
-def _spans(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+def _spans(starts: np.ndarray, window: int) -> tuple[list[int], list[int]]:
     """First words and ends of the maximal runs that sorted windows cover."""
     if not len(starts):
-        return starts, starts
+        return [], []
     new = np.concatenate([[True], starts[1:] > starts[:-1] + window])
     last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(starts) - 1]])
-    return starts[new], starts[last] + window
+    return starts[new].tolist(), (starts[last] + window).tolist()
 
 
-def _cutter(window: int):
-    """Function from rows (id, text, windows, firsts) to (id, text left, n_words, spans removed)."""
+def _cutter(anchors: Broadcast, window: int):
+    """Function from rows (id, text, windows that are nowhere earlier) to (id, n_words, spans removed, text left)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(anchors.value, dtype=np.uint8)
         for batch in batches:
-            texts, counts, spans = [], [], []
-            for text, windows, firsts in zip(batch.column(1), batch.column(2), batch.column(3)):
-                words = text.as_py().split(b" ")
-                fields = windows.values
-                a, start = (fields.field(name).to_numpy() for name in ("a", "start"))
-                kept = [f.to_numpy() for f in firsts.values.flatten()] if firsts.is_valid else (start[:0], start[:0])
-                begins, ends = _spans(start[~np.isin(_mark(a, start), _mark(*kept))], window)
-                borders = [0, *(x for pair in zip(begins.tolist(), ends.tolist()) for x in pair), len(words)]
-                left = [w for n in range(0, len(borders), 2) for w in words[borders[n] : borders[n + 1]]]
-                texts.append(b" ".join(left))
-                counts.append(len(words))
-                spans.append([{"first": x, "end": y} for x, y in zip(begins.tolist(), ends.tolist())])
-            yield pa.RecordBatch.from_pydict({
-                "id": batch.column(0), "text": pa.array(texts, pa.binary()).cast(pa.string()), "n_words": pa.array(counts, pa.int64()),
-                "removed": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
-            })
+            firsts = batch.column(2)
+            for at, words in _slices(batch.column(1)):
+                owner, start, a, _ = _candidates(bitmap, words, window)
+                borders = np.searchsorted(owner, np.arange(len(words) + 1))
+                left, spans = [], []
+                for n, text in enumerate(words):
+                    own, places = a[borders[n] : borders[n + 1]], start[borders[n] : borders[n + 1]]
+                    kept = np.zeros(len(own), dtype=bool)
+                    kept[np.unique(own, return_index=True)[1]] = True
+                    if firsts[at + n].is_valid:
+                        kept &= np.isin(own, firsts[at + n].values.to_numpy())
+                    else:
+                        kept[:] = False
+                    begins, ends = _spans(places[~kept], window)
+                    cuts = [0, *(x for pair in zip(begins, ends) for x in pair), len(text)]
+                    left.append(b" ".join(w for c in range(0, len(cuts), 2) for w in text[cuts[c] : cuts[c + 1]]))
+                    spans.append([{"first": x, "end": y} for x, y in zip(begins, ends)])
+                yield pa.RecordBatch.from_pydict({
+                    "id": batch.column(0).slice(at, len(words)), "n_words": pa.array(map(len, words), pa.int64()),
+                    "removed": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
+                    "kept": pa.array(left, pa.binary()).cast(pa.string()),
+                })
 
     return run
 
@@ -214,12 +206,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, n_words, removed, kept) of every row: spans of words that went, and the words left, joined by one space.
 
     Words are what stands between ASCII white space. A word goes if a run of `window` words that covers it stands earlier
-    as well: in a smaller id, or earlier in the same one; runs are those of the input, also where parts of them go. `removed` lists maximal spans
-    (first word, end) in order. Null, empty and shorter texts lose nothing. Rows that share an id count as one document, of
-    whose runs those that begin earlier come first, so exact copies of a row lose nothing to one another; rows
-    without id count as one that comes before all others. An empty table gives an empty one.
+    as well: in a smaller id, or earlier in the same row; runs are those of the input, also where parts of them go.
+    `removed` lists maximal spans (first word, end) in order. Null, empty and shorter texts lose nothing. Rows without id
+    come after all others. Rows that share an id, or have none, lose nothing to one another. An empty table
+    gives an empty one.
 
-    A document's windows must fit a task; nothing else is gathered by document, passage or anchor.
+    What repeats inside a row is told there, so a window meets others as (hash, id) and the smallest id is found by an
+    aggregation. A document's windows must fit a task; nothing else is gathered by document, passage or anchor.
     """
     if window < 2 * BLOCK - 1:
         raise ValueError(f"windows of fewer than {2 * BLOCK - 1} words may hold no block")
@@ -232,18 +225,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bitmap = _bitmap(anchors, anchors.count())
     delete(docs.sparkSession, path)
 
-    found = rows.mapInArrow(
-        _extender(bitmap, window, True), f"id {id_type}, text string, windows array<struct<a:bigint,b:bigint,start:int>>"
-    )
-    marked, _ = staged(found, "repeat-windows")
-    places = marked.select("id", F.inline("windows")).groupBy("a", "b").agg(F.min(F.struct("id", "start")).alias("first"))
-    earliest = places.select(F.col("first.id").alias("of"), "a", F.col("first.start").alias("start"))
-    firsts = earliest.groupBy("of").agg(F.collect_list(F.struct("a", "start")).alias("firsts"))
-    joined = marked.join(firsts, F.col("id").eqNullSafe(F.col("of")), "left")
-    cut = joined.select("id", F.col("text").cast("binary").alias("text"), "windows", "firsts").mapInArrow(
-        _cutter(window), f"id {id_type}, text string, n_words bigint, removed array<struct<first:int,end:int>>"
+    places = rows.mapInArrow(_windows(bitmap, window), f"id {id_type}, a bigint, b int")
+    earliest = places.groupBy("a", "b").agg(F.min("id").alias("of"))
+    firsts = earliest.groupBy("of").agg(F.collect_list("a").alias("firsts"))
+    joined = rows.join(firsts, F.col("id").eqNullSafe(F.col("of")), "left").select("id", "text", "firsts")
+    cut = joined.mapInArrow(
+        _cutter(bitmap, window), f"id {id_type}, n_words bigint, removed array<struct<first:int,end:int>>, kept string"
     )
-    whole = rows.mapInArrow(_extender(bitmap, window, False), f"id {id_type}, text string, n_words bigint")
-    nothing = F.array().cast("array<struct<first:int,end:int>>")
-    both = cut.unionByName(whole.withColumn("removed", nothing))
-    return both.select(F.col("id").alias(id_col), "n_words", "removed", F.col("text").alias("kept"))
+    return cut.withColumnRenamed("id", id_col)
