@@ -78,6 +78,19 @@ def test_awkward_rows(spark):
         repeats.remove_repeats(df, window=18)
 
 
+def test_edited_copies_share_stretches(spark):
+    """Copies with single words changed, their windows mostly known from the stretches of an earlier one."""
+    rnd = random.Random(6)
+    base = [f"w{rnd.randint(0, 5000)}" for _ in range(1200)]
+    rows = []
+    for n in range(40):
+        words = list(base)
+        for _ in range(rnd.randint(0, 6)):
+            words[rnd.randrange(len(words))] = f"edit{n}"
+        rows.append((rnd.choice([None, 3, 100 + n]), " ".join(words)))
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
+
+
 def test_results_hold_with_full_bitmaps(spark, monkeypatch):
     """Bitmaps far too small let everything through and change nothing."""
     monkeypatch.setattr(repeats, "MAX_BITS", repeats.MIN_BITS)

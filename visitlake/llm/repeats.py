@@ -3,12 +3,15 @@
 Every document is cut into blocks of BLOCK words that do not overlap, and the blocks' hashes are indexed. Every rolling
 window of BLOCK words of every document probes the index. A passage of `window` >= 2 BLOCK - 1 words holds a whole block
 of each document it stands in, so two equal passages always meet in an anchor: the first one's block, hit by the other's
-probe. Blocks that are met from nowhere else are no anchors. Hits are then extended: the windows around them are compared
-as wholes, the earliest place of each stays, and runs of repeated windows join to maximal repeats.
-
-Groups of copies of any size cost their rows and no more: places of one anchor or window meet in an aggregation that is
-combined before the shuffle, never in pairs. Both indexes go to the tasks as bitmaps of at most MAX_BITS; a full bitmap
-lets more probes and windows through, which the aggregations then tell apart, so results are exact at any size.
+probe. Blocks that are met from nowhere else are no anchors. Hits are then extended, first by stretches: runs of windows
+around anchors, cut where a window's own hash says so, so that copies are cut alike. A stretch that a smaller id holds
+as well repeats as a whole. In the other stretches windows are compared one by one. Runs of repeated windows join to
+maximal repeats.
+
+Groups of copies of any size cost their rows and no more: places of one anchor, stretch or window meet in an aggregation
+that is combined before the shuffle, never in pairs. Blocks, anchors and first stretches go to the tasks as bitmaps of at
+most MAX_BITS. A bitmap only ever holds too much; that lets more probes, windows and stretches through, which the
+aggregations then tell apart, so results are exact at any size.
 """
 
 from __future__ import annotations
@@ -27,11 +30,13 @@ from visitlake.sources.files import delete, staged
 WINDOW = 20
 BLOCK = 10
 # Bits of a bitmap: some for each entry, in powers of two up to 64 MB.
-BITS_PER_ENTRY = 32
+BITS_PER_ENTRY = 16
 MAX_BITS = 1 << 29
 MIN_BITS = 1 << 15
 _SLICE = 1 << 20  # bytes of text taken into arrays at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that a changed word always changes the sum
+# One window in so many ends a stretch.
+STRETCH = 32
 _PAGE = 32768  # bits of one row of a bitmap that is being made
 
 
@@ -144,19 +149,72 @@ def _candidates(bitmap: np.ndarray, words: list[list[bytes]], window: int) -> tu
     return owner, at - bounds[owner], a.view(np.int64), b.view(np.int64)
 
 
-def _windows(anchors: Broadcast, window: int):
-    """Function from rows (id, text) to each text's distinct windows around anchors, as 96 bits of hash."""
+def _id_hashes(ids: pa.Array) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(str(x).encode()) for x in ids.to_pylist()], dtype=np.uint64)
+
+
+def _stretches(owner: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The stretch of each window (sorted by text and place); of each stretch its first window and two hashes."""
+    new = (np.diff(owner, prepend=-1) != 0) | (np.diff(start, prepend=-2) != 1) | (a.view(np.uint64) % np.uint64(STRETCH) == 0)
+    first, of = np.flatnonzero(new), np.cumsum(new) - 1
+    if not len(first):
+        return of, first, a, b
+    weights = np.cumprod(np.full(np.diff(np.append(first, len(a))).max(), _STEP, dtype=np.uint64))
+    weight = weights[np.arange(len(a)) - first[of]]
+    return of, first, *(np.add.reduceat(x.view(np.uint64) * weight, first).view(np.int64) for x in (a, b))
+
+
+def _entries(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """What stands in the bitmap of first stretches for a stretch (96 bits of hash) of an id."""
+    return a.view(np.uint64) + b.astype(np.int64).view(np.uint64) * _STEP + ids
+
+
+def _stretch_rows(anchors: Broadcast, window: int):
+    """Function from rows (id, text) to (id, a, b) of the texts' stretches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(anchors.value, dtype=np.uint8)
         for batch in batches:
             for at, words in _slices(batch.column(1)):
-                owner, _, a, b = _candidates(bitmap, words, window)
+                owner, *found = _candidates(bitmap, words, window)
+                _, first, a, b = _stretches(owner, *found)
+                yield pa.RecordBatch.from_pydict({
+                    "id": batch.column(0).take(pa.array(at + owner[first])), "a": pa.array(a), "b": pa.array((b >> 32).astype(np.int32))
+                })
+
+    return run
+
+
+def _stretch_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        yield pa.RecordBatch.from_pydict({"hash": pa.array(_entries(a, b, _id_hashes(batch.column(0))).view(np.int64))})
+
+
+def _open_windows(bitmap: np.ndarray, stretches: np.ndarray, ids: pa.Array, words: list[list[bytes]], window: int):
+    """As `_candidates`, and whether each window lies in a stretch that may be the first of its kind."""
+    owner, start, a, b = _candidates(bitmap, words, window)
+    of, first, x, y = _stretches(owner, start, a, b)
+    may_be_first = _test(stretches, _entries(x, y >> 32, _id_hashes(ids)[owner[first]]))
+    return owner, start, a, b, may_be_first[of]
+
+
+def _windows(anchors: Broadcast, stretches: Broadcast, window: int):
+    """Function from rows (id, text) to each text's distinct windows in stretches that may be first, as 96 bits of hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, open_ = np.frombuffer(anchors.value, dtype=np.uint8), np.frombuffer(stretches.value, dtype=np.uint8)
+        for batch in batches:
+            for at, words in _slices(batch.column(1)):
+                ids = batch.column(0).slice(at, len(words))
+                owner, _, a, b, may_be_first = _open_windows(bitmap, open_, ids, words, window)
+                owner, a, b = owner[may_be_first], a[may_be_first], b[may_be_first]
                 order = np.lexsort((a, owner))
                 new = (np.diff(a[order], prepend=0) != 0) | (np.diff(owner[order], prepend=-1) != 0)
                 chosen = order[new]
-                ids = batch.column(0).take(pa.array(at + owner[chosen]))
-                yield pa.RecordBatch.from_pydict({"id": ids, "a": pa.array(a[chosen]), "b": pa.array((b[chosen] >> 32).astype(np.int32))})
+                yield pa.RecordBatch.from_pydict({
+                    "id": ids.take(pa.array(owner[chosen])), "a": pa.array(a[chosen]), "b": pa.array((b[chosen] >> 32).astype(np.int32))
+                })
 
     return run
 
@@ -170,25 +228,23 @@ def _spans(starts: np.ndarray, window: int) -> tuple[list[int], list[int]]:
     return starts[new].tolist(), (starts[last] + window).tolist()
 
 
-def _cutter(anchors: Broadcast, window: int):
+def _cutter(anchors: Broadcast, stretches: Broadcast, window: int):
     """Function from rows (id, text, windows that are nowhere earlier) to (id, n_words, spans removed, text left)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(anchors.value, dtype=np.uint8)
+        bitmap, open_ = np.frombuffer(anchors.value, dtype=np.uint8), np.frombuffer(stretches.value, dtype=np.uint8)
         for batch in batches:
             firsts = batch.column(2)
             for at, words in _slices(batch.column(1)):
-                owner, start, a, _ = _candidates(bitmap, words, window)
+                owner, start, a, _, may_be_first = _open_windows(bitmap, open_, batch.column(0).slice(at, len(words)), words, window)
                 borders = np.searchsorted(owner, np.arange(len(words) + 1))
                 left, spans = [], []
                 for n, text in enumerate(words):
                     own, places = a[borders[n] : borders[n + 1]], start[borders[n] : borders[n + 1]]
                     kept = np.zeros(len(own), dtype=bool)
                     kept[np.unique(own, return_index=True)[1]] = True
-                    if firsts[at + n].is_valid:
-                        kept &= np.isin(own, firsts[at + n].values.to_numpy())
-                    else:
-                        kept[:] = False
+                    listed = firsts[at + n].values.to_numpy() if firsts[at + n].is_valid else own[:0]
+                    kept &= may_be_first[borders[n] : borders[n + 1]] & np.isin(own, listed)
                     begins, ends = _spans(places[~kept], window)
                     cuts = [0, *(x for pair in zip(begins, ends) for x in pair), len(text)]
                     left.append(b" ".join(w for c in range(0, len(cuts), 2) for w in text[cuts[c] : cuts[c + 1]]))
@@ -222,14 +278,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     index = _bitmap(texts.mapInArrow(_blocks, "hash bigint"), size // (6 * BLOCK))
     met = texts.mapInArrow(_probes(index), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
     anchors, path = staged(met.filter((F.col("n").bitwiseAND(0xFFFFFFFF) > 1) & (F.shiftright("n", 32) > 0)).select("hash"), "anchors")
+    index.destroy()
     bitmap = _bitmap(anchors, anchors.count())
     delete(docs.sparkSession, path)
 
-    places = rows.mapInArrow(_windows(bitmap, window), f"id {id_type}, a bigint, b int")
+    hashed = f"id {id_type}, a bigint, b int"
+    first_stretches = rows.mapInArrow(_stretch_rows(bitmap, window), hashed).groupBy("a", "b").agg(F.min("id").alias("id"))
+    entries, path = staged(first_stretches.select("id", "a", "b").mapInArrow(_stretch_entries, "hash bigint"), "stretches")
+    stretches = _bitmap(entries, entries.count())
+    delete(docs.sparkSession, path)
+
+    places = rows.mapInArrow(_windows(bitmap, stretches, window), hashed)
     earliest = places.groupBy("a", "b").agg(F.min("id").alias("of"))
     firsts = earliest.groupBy("of").agg(F.collect_list("a").alias("firsts"))
     joined = rows.join(firsts, F.col("id").eqNullSafe(F.col("of")), "left").select("id", "text", "firsts")
     cut = joined.mapInArrow(
-        _cutter(bitmap, window), f"id {id_type}, n_words bigint, removed array<struct<first:int,end:int>>, kept string"
+        _cutter(bitmap, stretches, window), f"id {id_type}, n_words bigint, removed array<struct<first:int,end:int>>, kept string"
     )
     return cut.withColumnRenamed("id", id_col)
