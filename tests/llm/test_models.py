@@ -1,10 +1,13 @@
 """Language identification, quality ranking and language-model scores."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from helpers import awkward, empty, table
 from pyspark.sql import functions as F
@@ -185,14 +188,12 @@ def slow_deep_ppm(training, text, order):
 @pytest.mark.parametrize("hot, order", [(1 << 21, 5), (0, 5), (200, 4)])
 def test_contexts_of_higher_orders(spark, monkeypatch, hot, order):
     monkeypatch.setattr(ppm, "HOT_GRAMS", hot)
-    monkeypatch.setattr(ppm, "_WINDOW", 1000)
-    monkeypatch.setattr(ppm, "_HELD", 300)
     more = [(100 + i, f"passage {i % 7} that comes again, with number {i} and \x00 odd ñ bytes", "en", "a") for i in range(40)]
-    docs = awkward(spark, more).filter("doc_id is null or doc_id <> 5")
+    docs = awkward(spark, more)
     texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
     training = [t for d, t in texts if remainder(d, 5) != 1]
-    want = Counter((d, round(slow_deep_ppm(training, t, order), 3)) for d, t in texts)
-    assert Counter((r.doc_id, round(r.score, 3)) for r in ppm.score_texts(docs, order=order).collect()) == want
+    want = Counter((d, float(f"{slow_deep_ppm(training, t, order):.5g}")) for d, t in texts)
+    assert Counter((r.doc_id, float(f"{r.score:.5g}")) for r in ppm.score_texts(docs, order=order).collect()) == want
     assert ppm.score_texts(empty(spark), order=order).count() == 0
 
 
@@ -203,3 +204,45 @@ def test_the_query_uses_contexts_of_more_than_two_bytes(spark, sf_dir):
     assert deep.keys() == flat.keys() and all(deep[d].base_score == pytest.approx(flat[d].base_score) for d in flat)
     held = [d for d in flat if flat[d].held_out]
     assert sum(deep[d].score for d in held) > sum(flat[d].score for d in held)
+
+
+@pytest.mark.parametrize("window", [1, 50, 1 << 18])
+def test_windows_of_contexts_change_no_code(monkeypatch, window):
+    """The coder, run here on rows in its order, whose windows split contexts of three bytes."""
+    monkeypatch.setattr(ppm, "_WINDOW", window)
+    rnd, order = random.Random(12), 5
+    texts = ["".join(rnd.choice("abc ") for _ in range(600)).encode(), b"x" * 300, b"", "ñandú, ".encode() * 9]
+    found = [g for grams, _ in ppm._windows(texts, order) for g in grams.tolist()]
+    counts = Counter(found)
+    nodes = Counter()
+    for gram, n in counts.items():
+        nodes[gram & 0xFFFFFFFF] += n
+    rows = [(0, g, n) for g, n in nodes.items()] + [(1, g, n) for g, n in counts.items()]
+    rows.sort(key=lambda r: (r[1] >> 16 & 0xFF, r[1] >> 8 & 0xFFFFFF, r[0], r[1] >> 8 & 0xFFFFFFFF))
+    trie = Counter()
+    for gram, n in counts.items():
+        trie[gram & 0xFFFFFF] += n
+    leaves = np.array(sorted(trie), dtype=np.int32)
+    leaf_counts = np.array([trie[x] for x in leaves.tolist()], dtype=np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[at : at + 40])], names=["kind", "gram", "n"]) for at in range(0, len(rows), 40)]
+    codes = {}
+    for batch in ppm._coder(leaves.tobytes(), leaf_counts.tobytes(), order)(iter(batches)):
+        codes.update(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+    assert codes.keys() == counts.keys()
+    for text in texts:
+        grams = [g for found, _ in ppm._windows([text], order) for g in found.tolist()]
+        assert sum(codes[g] for g in grams) == pytest.approx(slow_deep_ppm(texts, text, order), rel=1e-6)
+
+
+def test_slices_go_by_bytes():
+    texts = pa.array([*[b"a" * 900] * 600, b"b" * 2_000_000, None, *[b"c" * 700_000] * 3], pa.binary())
+    assert list(ppm._byte_slices(texts)) == [(0, 512), (512, 89), (601, 3), (604, 1)]
+
+
+def test_parts_of_a_text_are_bounded():
+    rnd = random.Random(2)
+    text = bytes(rnd.randrange(97, 123) for _ in range(3_000_000))
+    none = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.float32)
+    parts = [grams for _, grams in ppm._deep_scores([text], none, 5)]
+    assert len(parts) > 3 and max(len(p.values) for p in parts) <= ppm._PART + ppm._WINDOW
+    assert sum(pa.compute.sum(p.values.field("n")).as_py() for p in parts) == len(text) + 1

@@ -39,8 +39,10 @@ HOT_GRAMS = 1 << 21
 END = ""  # the end token; no word is empty
 _CHUNK = 1 << 22  # bytes taken into arrays at once
 _WINDOW = 1 << 18  # grams, or rows of grams, taken into arrays at once
-_HELD = 1 << 20  # counted grams that a task holds before it passes them on
-_SLICE = 512  # rows scored at once
+_HELD = 1 << 19  # counted grams that a task holds before it passes them on
+_SLICE = 512  # rows scored at once, at most
+_SLICE_BYTES = 1 << 20  # bytes of text scored at once, unless one text has more
+_PART = 1 << 19  # grams of texts that are passed on at once
 
 
 def _leaves(data: np.ndarray) -> np.ndarray:
@@ -92,37 +94,39 @@ def _count_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_pydict({"leaf": pa.array(part, pa.int32()), "n": pa.array(counts[part])})
 
 
-def code_table(leaves: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 probability of every symbol in every context of two bytes (256 x 256 x 256), from the counted leaves.
+def code_grid(first: int, leaves: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """log10 probability of every symbol in every context of two bytes that begins with `first` (256 x 256), from the counted leaves.
 
     Orders 2, 1, 0 and a uniform one. In a context with total T and D symbols whose longer context has excluded
     symbols with X of the total and E in number, a symbol counted c times has c / (T - X + D - E) and escape has
-    (D - E) / (T - X + D - E); where nothing new is left, escape is certain.
+    (D - E) / (T - X + D - E); where nothing new is left, escape is certain. The leaves are sorted.
     """
-    two = np.zeros(256**3, dtype=np.int64)
-    two[leaves] = counts
-    two = two.reshape(256, 256, 256)
-    one, zero = two.sum(axis=0), two.sum(axis=(0, 1))
-    table = np.empty((256, 256, 256), dtype=np.float32)
-    for first in range(256):
-        grids = [np.broadcast_to(zero, (256, 256)), one, two[first]]
-        left = np.zeros((256, 256))  # log10 chance of having escaped so far
-        out = np.full((256, 256), np.nan)
-        excluded = np.zeros((256, 256), dtype=bool)
-        for grid in reversed(grids):
-            fresh = (grid > 0) & ~excluded
-            total, distinct = (grid * fresh).sum(axis=1), fresh.sum(axis=1)
-            whole = np.maximum(total + distinct, 1)[:, None]
-            # a symbol of several orders has its code from the longest
-            found = fresh & np.isnan(out)
-            out[found] = (left + np.log10(np.maximum(grid, 1) / whole))[found]
-            left = left + np.where(distinct[:, None] > 0, np.log10(np.maximum(distinct, 1)[:, None] / whole), 0.0)
-            excluded = excluded | (grid > 0)
-        rest = np.maximum((~excluded).sum(axis=1), 1)[:, None]
-        unseen = ~excluded
-        out[unseen] = (left - np.log10(rest))[unseen]
-        table[first] = out
-    return table
+    one = np.bincount(leaves & 0xFFFF, weights=counts, minlength=1 << 16).astype(np.int64).reshape(256, 256)
+    here = slice(*np.searchsorted(leaves, [first << 16, (first + 1) << 16]))
+    two = np.zeros(1 << 16, dtype=np.int64)
+    two[leaves[here] & 0xFFFF] = counts[here]
+    grids = [np.broadcast_to(one.sum(axis=0), (256, 256)), one, two.reshape(256, 256)]
+    left = np.zeros((256, 256))  # log10 chance of having escaped so far
+    out = np.full((256, 256), np.nan)
+    excluded = np.zeros((256, 256), dtype=bool)
+    for grid in reversed(grids):
+        fresh = (grid > 0) & ~excluded
+        total, distinct = (grid * fresh).sum(axis=1), fresh.sum(axis=1)
+        whole = np.maximum(total + distinct, 1)[:, None]
+        # a symbol of several orders has its code from the longest
+        found = fresh & np.isnan(out)
+        out[found] = (left + np.log10(np.maximum(grid, 1) / whole))[found]
+        left = left + np.where(distinct[:, None] > 0, np.log10(np.maximum(distinct, 1)[:, None] / whole), 0.0)
+        excluded = excluded | (grid > 0)
+    rest = np.maximum((~excluded).sum(axis=1), 1)[:, None]
+    unseen = ~excluded
+    out[unseen] = (left - np.log10(rest))[unseen]
+    return out.astype(np.float32)
+
+
+def code_table(leaves: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """`code_grid` of all first bytes (256 x 256 x 256): 67 MB, for models of order 2 only."""
+    return np.stack([code_grid(first, leaves, counts) for first in range(256)])
 
 
 @lru_cache(maxsize=1)
@@ -202,16 +206,20 @@ def _count_grams(order: int):
     return run
 
 
-def deep_codes(grams: np.ndarray, counts: np.ndarray, leaves: np.ndarray, leaf_counts: np.ndarray, table: np.ndarray, order: int) -> np.ndarray:
-    """log10 probability of each gram's symbol in its context, escapes and exclusion as in `code_table`.
+def deep_codes(
+    grams: np.ndarray, counts: np.ndarray, nodes3: np.ndarray, counts3: np.ndarray, leaves: np.ndarray, leaf_counts: np.ndarray,
+    grid, order: int,
+) -> np.ndarray:
+    """log10 probability of each gram's symbol in its context, escapes and exclusion as in `code_grid`.
 
-    The grams are distinct and all there are with the same last three bytes of context, counted or not; `leaves`
-    (sorted), their counts and `table` are the trie of order 2 and its codes.
+    The grams are distinct and all there are with the same last four bytes of context, counted or not. `nodes3` (sorted)
+    are all nodes of order 3 in their contexts with their counts, `leaves` (sorted) those of order 2 likewise; `grid` gives the
+    codes of a first byte.
     """
     leaves, leaf_counts = np.append(leaves, np.int32(0x7FFFFFFF)), np.append(leaf_counts, 0)
     sizes = {2: np.bincount(leaves[:-1] >> 8, weights=leaf_counts[:-1], minlength=1 << 16)}
     kinds = {2: np.bincount(leaves[:-1] >> 8, minlength=1 << 16)}
-    nodes, n, in_context, rows = {}, {}, {}, {}
+    nodes, n, in_context, rows = {3: nodes3}, {3: counts3}, {}, {}
 
     def counted(found: np.ndarray, k: int) -> np.ndarray:
         """Counts of nodes of order k."""
@@ -221,12 +229,13 @@ def deep_codes(grams: np.ndarray, counts: np.ndarray, leaves: np.ndarray, leaf_c
         return np.where(leaves[at] == found, leaf_counts[at], 0)
 
     for k in range(3, order + 1):
-        nodes[k], at = np.unique(grams & _low(k), return_inverse=True)
-        n[k] = np.bincount(at, weights=counts, minlength=len(nodes[k]))
+        if k > 3:
+            nodes[k], at = np.unique(grams & _low(k), return_inverse=True)
+            n[k] = np.bincount(at, weights=counts, minlength=len(nodes[k]))
         contexts, in_context[k] = np.unique(nodes[k] >> 8, return_inverse=True)
         sizes[k] = np.bincount(in_context[k], weights=n[k], minlength=len(contexts))
         kinds[k] = np.bincount(in_context[k], weights=n[k] > 0, minlength=len(contexts))
-        rows[k] = in_context[k][at]
+        rows[k] = np.searchsorted(contexts, (grams & _low(k)) >> 8)
     rows[2] = grams >> 8 & 0xFFFF
     left, out = np.zeros(len(grams)), np.full(len(grams), np.nan)
     for k in range(order, 1, -1):
@@ -239,23 +248,39 @@ def deep_codes(grams: np.ndarray, counts: np.ndarray, leaves: np.ndarray, leaf_c
         own = counted(grams & _low(k), k)
         out = np.where(np.isnan(out) & (own > 0), left + np.log10(np.maximum(own, 1) / whole), out)
         left = left + np.where(distinct > 0, np.log10(np.maximum(distinct, 1) / whole), 0.0)
-    # below order 2 as in the table, without its escape from order 2
+    # below order 2 as in the grids, without their escape from order 2
     total, distinct = sizes[2][rows[2]], kinds[2][rows[2]]
     escape = np.where(distinct > 0, np.log10(np.maximum(distinct, 1) / np.maximum(total + distinct, 1)), 0.0)
-    return np.where(np.isnan(out), left + table[grams & _low(2)] - escape, out)
+    first = grams >> 16 & 0xFF
+    low = np.empty(len(grams))
+    for byte in np.unique(first):
+        low[first == byte] = grid(int(byte))[grams[first == byte] >> 8 & 0xFF, grams[first == byte] & 0xFF]
+    return np.where(np.isnan(out), left + low - escape, out)
 
 
 def _coder(leaves: bytes, leaf_counts: bytes, order: int):
-    """Function that adds codes to the rows (tail, gram, n) of a partition, sorted by tail; holds whole tails."""
+    """Function from rows (is gram, gram or node of order 3, n) of a partition to grams with codes.
+
+    Rows are sorted by the context's second last byte, its last three, nodes before grams, and its last four. Whole groups
+    of the last are coded together, at most 256^2 grams at order 5, beside at most 256 nodes for each context of three
+    bytes among them, and one grid of codes is held.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = np.frombuffer(leaves, np.int32), np.frombuffer(leaf_counts, np.int64), _table_of(leaves, leaf_counts)
+        trie = np.frombuffer(leaves, np.int32), np.frombuffer(leaf_counts, np.int64)
+        grid = lru_cache(maxsize=1)(lambda first: code_grid(first, *trie))
+        heads = np.empty((2, 0), dtype=np.int64)
 
         def coded(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            codes = deep_codes(rows[1], rows[2], *trie, order)
-            for at in range(0, len(codes), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_pydict({"gram": pa.array(rows[1, part]), "n": pa.array(rows[2, part]), "code": pa.array(codes[part])})
+            nonlocal heads
+            heads = np.concatenate([heads, rows[1:, rows[0] == 0]], axis=1)
+            heads = heads[:, np.argsort(heads[0])]
+            _, grams, n = rows[:, rows[0] == 1]
+            if len(grams):
+                codes = deep_codes(grams, n, *heads, *trie, grid, order)
+                for at in range(0, len(codes), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    yield pa.RecordBatch.from_pydict({"gram": pa.array(grams[part]), "n": pa.array(n[part]), "code": pa.array(codes[part])})
 
         parts, held, limit = [], 0, _WINDOW
         for batch in batches:
@@ -264,9 +289,13 @@ def _coder(leaves: bytes, leaf_counts: bytes, order: int):
             if held < limit:
                 continue
             rows = np.concatenate(parts, axis=1)
-            cut = int(np.searchsorted(rows[0], rows[0, -1]))
+            last = rows[:, -1]
+            context = _low(4 if last[0] else 3) & ~0xFF
+            group = (rows[0] == last[0]) & ((rows[1] ^ last[1]) & context == 0)
+            cut = len(group) - int(np.argmin(group[::-1])) if not group.all() else 0
             if cut:
                 yield from coded(rows[:, :cut])
+                heads = heads[:, heads[0] >> 8 == (last[1] & _low(3)) >> 8]
             parts, held = [rows[:, cut:].copy()], held - cut
             limit = held + _WINDOW
         if held:
@@ -291,9 +320,12 @@ def _trie_of(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_codes(grams: DataFrame, leaves: np.ndarray, leaf_counts: np.ndarray, order: int) -> DataFrame:
     """(gram, n, code) of all grams, stored."""
-    tail = F.shiftright("gram", 8).bitwiseAND(0xFFFFFF).alias("tail")
-    dealt = grams.select(tail, "gram", "n").repartition("tail").sortWithinPartitions("tail")
-    return staged(dealt.mapInArrow(_coder(leaves.tobytes(), leaf_counts.tobytes(), order), "gram bigint, n bigint, code double"), "gram-codes")[0]
+    bits = lambda low, size: F.shiftright("gram", low).bitwiseAND((1 << size) - 1)
+    nodes = grams.groupBy(F.col("gram").bitwiseAND(_low(3)).alias("gram")).agg(F.sum("n").alias("n"))
+    rows = nodes.select(F.lit(0).alias("kind"), "gram", "n").unionByName(grams.select(F.lit(1).alias("kind"), "gram", "n"))
+    dealt = rows.repartition(bits(8, 24)).sortWithinPartitions(bits(16, 8), bits(8, 24), "kind", bits(8, 32))
+    coded = dealt.mapInArrow(_coder(leaves.tobytes(), leaf_counts.tobytes(), order), "gram bigint, n bigint, code double")
+    return staged(coded, "gram-codes")[0]
 
 
 def _hot_grams(codes: DataFrame) -> tuple[Column, tuple[np.ndarray, np.ndarray]]:
@@ -313,11 +345,25 @@ def _hot_grams(codes: DataFrame) -> tuple[Column, tuple[np.ndarray, np.ndarray]]
     return step >= least, (hot["gram"].to_numpy(), hot["code"].to_numpy())
 
 
-def _deep_scores(texts: list[bytes], hot: tuple[np.ndarray, np.ndarray], order: int) -> tuple[np.ndarray, pa.Array]:
-    """Sum over the hot grams (sorted, and their codes) of each text, and its other grams with their counts."""
+def _deep_scores(texts: list[bytes], hot: tuple[np.ndarray, np.ndarray], order: int) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Sum over the hot grams (sorted, and their codes) of each text, and its other grams with their counts.
+
+    Long texts come in parts: all but the last result hold sums of zero, and grams to be added to the last one's.
+    """
     keys, codes = hot
-    sums, rest = np.zeros(len(texts)), [np.empty((3, 0), dtype=np.int64)]
+    sums, rest, held = np.zeros(len(texts)), [np.empty((3, 0), dtype=np.int64)], 0
+
+    def lists() -> pa.Array:
+        owner, found, n = np.concatenate(rest, axis=1)
+        by_text = np.argsort(owner, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+        pairs = pa.StructArray.from_arrays([pa.array(found[by_text]), pa.array(n[by_text])], names=["gram", "n"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+
     for grams, owner in _windows(texts, order):
+        if held > _PART:
+            yield np.zeros(len(texts)), lists()
+            rest, held = [np.empty((3, 0), dtype=np.int64)], 0
         # grams first, so that the search goes through the keys in order
         both, n = np.unique(grams * _SLICE + owner, return_counts=True)
         found, owner = both // _SLICE, both % _SLICE
@@ -325,11 +371,8 @@ def _deep_scores(texts: list[bytes], hot: tuple[np.ndarray, np.ndarray], order:
         hit = keys[at] == found if len(keys) else np.zeros(len(found), dtype=bool)
         sums += np.bincount(owner[hit], weights=codes[at[hit]] * n[hit], minlength=len(texts))
         rest.append(np.stack([owner[~hit], found[~hit], n[~hit]]))
-    owner, found, n = np.concatenate(rest, axis=1)
-    by_text = np.argsort(owner, kind="stable")
-    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
-    pairs = pa.StructArray.from_arrays([pa.array(found[by_text]), pa.array(n[by_text])], names=["gram", "n"])
-    return sums, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        held += int((~hit).sum())
+    yield sums, lists()
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +388,7 @@ _SCORED = "n_tokens bigint, hot_known bigint, hot_sum double, cold array<struct<
 
 
 def _scorer(model, hot: dict[bytes, float], columns: int):
-    """Function that adds to rows (others..., text) the sums over hot tokens and grams, and the other tokens and grams.
+    """Function that adds to rows (others..., row number, text) the sums over hot tokens and grams, and the other tokens and grams.
 
     `model` makes in the task the function from texts to their scores and the grams still to be added.
     """
@@ -354,8 +397,9 @@ def _scorer(model, hot: dict[bytes, float], columns: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = model()
         for whole in batches:
-            for at in range(0, whole.num_rows, _SLICE):
-                batch = whole.slice(at, _SLICE)
+            names = [*whole.schema.names[:columns], "n_tokens", "hot_known", "hot_sum", "cold", "score", "grams"]
+            for at, size in _byte_slices(whole.column(columns)):
+                batch = whole.slice(at, size)
                 texts = [t.as_py() for t in batch.column(columns)]
                 totals, known, sums, ends, tokens, counts = [], [], [], [0], [], []
                 for text in texts:
@@ -376,19 +420,35 @@ def _scorer(model, hot: dict[bytes, float], columns: int):
                     pa.array(totals, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
                 ]
-                score, grams = scores(texts)
-                added += [pa.array(score), grams]
-                names = [*batch.schema.names[:columns], "n_tokens", "hot_known", "hot_sum", "cold", "score", "grams"]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:columns], *added], names=names)
+                score, grams = None, None
+                for more in scores(texts):
+                    if grams is not None:  # a part of long texts' grams, under their row numbers alone
+                        nothing = [pa.nulls(size, t) for t in (pa.int64(), pa.int64(), pa.float64(), cold_type, pa.float64())]
+                        others = [pa.nulls(size, c.type) for c in batch.columns[: columns - 1]]
+                        yield pa.RecordBatch.from_arrays([*others, batch.column(columns - 1), *nothing, grams], names=names)
+                    score, grams = more
+                yield pa.RecordBatch.from_arrays([*batch.columns[:columns], *added, pa.array(score), grams], names=names)
 
     return run
 
 
+def _byte_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where slices begin and how many rows they have."""
+    first, size = 0, 0
+    for n, text in enumerate(texts):
+        size += len(text.as_buffer() or b"") if text.is_valid else 0
+        if size >= _SLICE_BYTES or n + 1 - first == _SLICE:
+            yield first, n + 1 - first
+            first, size = n + 1, 0
+    if first < len(texts):
+        yield first, len(texts) - first
+
+
 def _flat_model(leaves: bytes, trie_counts: bytes):
     def made():
         table = _table_of(leaves, trie_counts)
         none = pa.scalar([], pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())])))
-        return lambda texts: (ppm_scores(texts, table), pa.repeat(none, len(texts)))
+        return lambda texts: [(ppm_scores(texts, table), pa.repeat(none, len(texts)))]
 
     return made
 
@@ -435,7 +495,8 @@ def score_texts(
 
     rows = docs.select(F.col(id_col).alias("id"), is_held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:3])
-    scored, _ = staged(rows.mapInArrow(_scorer(model, hot, 3), f"{kept}, {_SCORED}"), "scored")
+    parts, _ = staged(rows.mapInArrow(_scorer(model, hot, 3), f"{kept}, {_SCORED}"), "scored")
+    scored = parts.filter("n_tokens is not null")
     tokens = scored.select("row", F.inline("cold"))
     counts = vocabulary.filter(F.col("c") < floor)
     found = tokens.join(counts, "token", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
@@ -443,7 +504,7 @@ def score_texts(
         F.sum(F.col("n") * log_share(F.col("c"))).alias("cold_sum"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("cold_known")
     )
     if order > ORDER:
-        wanted = scored.select("row", F.inline("grams")).withColumnRenamed("n", "times")
+        wanted = parts.select("row", F.inline("grams")).withColumnRenamed("n", "times")
         added = wanted.join(codes.filter(~is_hot).select("gram", "code"), "gram")
         rare = added.groupBy("row").agg(F.sum(F.col("times") * F.col("code")).alias("rare"))
         scored = scored.join(rare, "row", "left").withColumn("score", F.col("score") + F.coalesce("rare", F.lit(0.0)))
