@@ -29,14 +29,16 @@ from visitlake.sources.files import delete, staged
 
 WINDOW = 20
 BLOCK = 10
-# Bits of a bitmap: some for each entry, in powers of two up to 64 MB.
-BITS_PER_ENTRY = 16
+# Bits of a bitmap: some for each entry, in powers of two up to 64 MB. An entry sets two of them. Of anchors and stretches
+# few may pass by chance, as every anchor makes a dozen windows candidates.
+BITS_PER_BLOCK, BITS_PER_ENTRY = 16, 64
 MAX_BITS = 1 << 29
 MIN_BITS = 1 << 15
 _SLICE = 1 << 20  # bytes of text taken into arrays at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that a changed word always changes the sum
 # One window in so many ends a stretch.
 STRETCH = 32
+_OTHER_STEP = np.uint64(0xD6E8FEB86659FD93)
 _PAGE = 32768  # bits of one row of a bitmap that is being made
 
 
@@ -80,13 +82,20 @@ def _inside(bounds: np.ndarray, size: int) -> np.ndarray:
     return np.stack([bounds[owner] + np.arange(len(owner)) - before[owner], owner])
 
 
-def _bit(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes * _STEP) >> np.uint64(64 - bits.bit_length() + 1)
+def _bit(hashes: np.ndarray, bits: int, step: np.uint64) -> np.ndarray:
+    return (hashes * step) >> np.uint64(64 - bits.bit_length() + 1)
 
 
 def _test(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = _bit(hashes, len(bitmap) * 8)
-    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    """Whether both bits of each hash are set; the second is looked up only where the first is."""
+
+    def found(some: np.ndarray, step: np.uint64) -> np.ndarray:
+        bit = _bit(some, len(bitmap) * 8, step)
+        return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+    out = found(hashes, _STEP)
+    out[out] = found(hashes[out], _OTHER_STEP)
+    return out
 
 
 def _blocks(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,13 +126,14 @@ def _probes(index: Broadcast):
     return run
 
 
-def _bitmap(hashes: DataFrame, entries: int) -> tuple[Broadcast, bytes]:
+def _bitmap(hashes: DataFrame, entries: int, bits_per_entry: int = BITS_PER_ENTRY) -> Broadcast:
     """Bitmap of a column of hashes, for the tasks: pages are made where the hashes meet and put together here."""
-    bits = min(MAX_BITS, max(MIN_BITS, 1 << (BITS_PER_ENTRY * max(entries, 1) - 1).bit_length()))
+    bits = min(MAX_BITS, max(MIN_BITS, 1 << (bits_per_entry * max(entries, 1) - 1).bit_length()))
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = _bit(batch.column(0).to_numpy().view(np.uint64), bits).astype(np.int64)
+            values = batch.column(0).to_numpy().view(np.uint64)
+            bit = np.unique(np.concatenate([_bit(values, bits, step) for step in (_STEP, _OTHER_STEP)])).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"page": pa.array((bit // _PAGE).astype(np.int32)), "bit": pa.array(bit % _PAGE)})
 
     # dealt by page first, so that no task holds more than its own pages
@@ -275,7 +285,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     texts, id_type = rows.select("text"), rows.schema["id"].dataType.simpleString()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    index = _bitmap(texts.mapInArrow(_blocks, "hash bigint"), size // (6 * BLOCK))
+    index = _bitmap(texts.mapInArrow(_blocks, "hash bigint"), size // (6 * BLOCK), BITS_PER_BLOCK)
     met = texts.mapInArrow(_probes(index), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
     anchors, path = staged(met.filter((F.col("n").bitwiseAND(0xFFFFFFFF) > 1) & (F.shiftright("n", 32) > 0)).select("hash"), "anchors")
     index.destroy()
