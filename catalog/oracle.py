@@ -400,6 +400,10 @@ ORACLES["stream_then_batch_scan"] = _with(**VALID) + """
   select streamed, en, pl, count(*) as events, cast(sum(s_time) as bigint) as time_sum
   from valid, (values (true), (false)) t(streamed) group by all"""
 
+ORACLES["shared_day_scan"] = _with(**VALID) + """
+  select en, pl, count(*) as events, cast(sum(s_time) as bigint) as time_sum from valid group by all"""
+ORACLES["stream_distinct_events"] = ORACLES["etl_events"]
+
 # --------------------------------------------------------------------- jobs
 
 ORACLES["etl_job_counts"] = _with(**CLASSIFIED) + """
@@ -410,6 +414,7 @@ ORACLES["etl_job_counts"] = _with(**CLASSIFIED) + """
 ORACLES["kpi_job"] = _install(X.RUN_DATE, f"""
   select kpi_name, platform_name, platform_version, type, calendar, browser_name, browser_version, new_install_users,
     date '2024-01-10' as created from ({BOTH_KPIS})""")
+ORACLES["kpi_job_by_days"] = ORACLES["kpi_job"]
 ORACLES["hourly_two_days"] = _with(**HOURLY_PARTS, **HOURLY_IDS) + f"""
   select source, platform_name, platform_version, date as calendar, kpi as kpi_name, {HOURS}
   from named, (values ('table'), ('tsv')) t(source) where date in (date '2024-01-01', date '2024-01-02')"""

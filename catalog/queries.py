@@ -20,8 +20,9 @@ from visitlake.operators import ip_ranges as I
 from visitlake.operators import lines as L
 from visitlake.operators import rollups as R
 from visitlake.operators import visitors as V
-from visitlake.plans.jobs import etl, run_etl, run_hourly, run_kpis
-from visitlake.sources.files import scratch_dir, staged
+from visitlake.plans.jobs import etl, run_etl, run_hourly, run_kpis, run_kpis_by_days
+from visitlake.sources.event_table import compact_day, put_events
+from visitlake.sources.files import children, scratch_dir, staged
 from visitlake.sources.readers import (
     current_version, load_ip_ranges, read_event_logs, read_facts, read_hourly, read_raw_logs,
 )
@@ -468,6 +469,39 @@ def stream_then_batch_scan(spark, sf):
     return both.groupBy("streamed", "en", "pl").agg(F.count("*").alias("events"), F.sum("s_time").alias("time_sum"))
 
 
+@query
+def shared_day_scan(spark, sf):
+    """One day's events from a stream and from a batch job that runs twice, each with lines of its own; then compacted."""
+    src, root, raw, checkpoint = (scratch_dir(spark, n) for n in ("lines", "events", "raw", "ckpt"))
+    lines, ranges = X.raw(spark, sf).select("value"), X.ip_ranges(spark, sf)
+    part = F.pmod(F.xxhash64("value"), F.lit(4))
+    for n in range(3):
+        lines.filter(part == n).coalesce(1).write.mode("append").text(src)
+        etl_stream(spark, src, root, checkpoint, ranges).awaitTermination()
+    # the stream decides which day it is
+    today = max(date.fromisoformat(name.removeprefix("dt=")) for name in children(spark, root) if name.startswith("dt="))
+    lines.filter(part == 3).write.text(f"{raw}/{today:%Y/%m/%d}")
+    for _ in range(2):
+        run_etl(spark, raw, root, today, ranges)
+    compact_day(spark, root, today)
+    events = read_event_logs(spark, root, today - timedelta(days=1), today + timedelta(days=1))
+    return events.groupBy("en", "pl").agg(F.count("*").alias("events"), F.sum("s_time").alias("time_sum"))
+
+
+@query
+def stream_distinct_events(spark, sf):
+    """Lines that come twice in a batch, again in the next one, and again after a restart: one event each."""
+    src, root, checkpoint = (scratch_dir(spark, n) for n in ("lines", "events", "ckpt"))
+    lines, ranges = X.raw(spark, sf).select("value"), X.ip_ranges(spark, sf)
+    some = F.pmod(F.xxhash64("value"), F.lit(3))
+    for part in (lines.filter(some < 2).unionByName(lines.filter(some == 0)), lines.filter(some > 0), lines):
+        part.coalesce(2).write.mode("append").text(src)
+        etl_stream(spark, src, root, checkpoint, ranges, max_files_per_trigger=1).awaitTermination()
+    now = datetime.now(timezone.utc).date()
+    events = read_event_logs(spark, root, now - timedelta(days=1), now + timedelta(days=2))
+    return events.select("time_in_day", *_ROW, F.size("extra").alias("n_extra"))
+
+
 # --------------------------------------------------------------------- jobs
 
 
@@ -495,6 +529,11 @@ def kpi_job(spark, sf):
     write_event_logs(_as_event_rows(X.fx(spark, sf)), events, X.RUN_DATE)
     for _ in range(2):
         stats = run_kpis(spark, events, facts, X.RUN_DATE, date(2024, 2, 5))
+    return _named_stats(spark, facts, stats)
+
+
+def _named_stats(spark, facts: str, stats: dict[str, DataFrame]) -> DataFrame:
+    """Both fact tables with the names that their ids stand for."""
     dim = {n: spark.read.parquet(current_version(spark, f"{facts}/{n}")) for n in ("dimension_platform", "dimension_date", "dimension_browser")}
     parts = []
     for kpi, table in stats.items():
@@ -508,6 +547,21 @@ def kpi_job(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def kpi_job_by_days(spark, sf):
+    """As `kpi_job`, from events stored by day and visitor bitmaps made by an earlier run, for all days but late ones."""
+    events, days, first, second = (scratch_dir(spark, n) for n in ("events", "days", "facts", "facts"))
+    rows = _as_event_rows(X.fx(spark, sf)).withColumn("dt", TP.event_date(F.col("s_time")))
+    late = F.pmod(F.xxhash64("u_ud"), F.lit(5)) == 0
+    put_events(rows.filter(~late | (F.col("dt") != F.lit(X.RUN_DATE))), events, "early")
+    run_kpis_by_days(spark, events, first, days, X.RUN_DATE - timedelta(days=1), date(2024, 2, 5))
+    put_events(rows.filter(late & (F.col("dt") == F.lit(X.RUN_DATE))), events, "late")
+    stats, read = run_kpis_by_days(spark, events, second, days, X.RUN_DATE, date(2024, 2, 5))
+    if read != [X.RUN_DATE]:
+        raise AssertionError(f"read {read}")
+    return _named_stats(spark, second, stats)
+
+
 @query
 def hourly_two_days(spark, sf):
     """The hourly report after runs for two days and one of them again: the stored table and its TSV, with names."""

@@ -177,6 +177,30 @@ def dedupe_events(events: DataFrame) -> DataFrame:
     return unique.withColumns({c: F.map_from_entries(c) for c in maps}) if maps else unique
 
 
+def with_agent_fields(valid: DataFrame) -> DataFrame:
+    """Puts browser and operating system into `fields` in place of the raw user agent, as `add_user_agent` does in columns."""
+    fields = F.col("fields")
+    parsed = with_user_agent(valid.withColumn("_text", fields[S.USER_AGENT]), "_text", "_agent", BROWSER_RULES, OS_RULES)
+    found = F.map_from_arrays(F.array(*[F.lit(c) for c in S.AGENT_COLUMNS]), F.array(*[F.col("_agent")[c] for c in S.AGENT_COLUMNS]))
+    others = F.map_filter(fields, lambda k, v: ~k.isin(S.USER_AGENT, *S.AGENT_COLUMNS))
+    kept = F.map_filter(fields, lambda k, v: k != S.USER_AGENT)
+    named = F.when(F.col("_agent").isNotNull(), F.map_concat(others, found)).otherwise(kept)
+    return parsed.withColumn("fields", named).drop("_agent", "_text")
+
+
+def event_digest(valid: DataFrame, located: bool) -> Column:
+    """SHA-256 of what tells events of `with_agent_fields` apart: as `dedupe_events`, all but what follows from the rest.
+
+    Regions are left out where they will be looked up from the address (`located`).
+    """
+    fields = F.col("fields")
+    left_out = ["s_time", *(S.REGION_COLUMNS if located else [])]
+    entries = F.array_sort(F.map_entries(F.map_filter(fields, lambda k, v: v.isNotNull() & ~k.isin(left_out))))
+    text = lambda e: F.concat_ws("\x01", F.length(e["key"]), F.length(e["value"]), F.concat(e["key"], e["value"]))
+    content = F.concat_ws("\x01", whole_number(fields["s_time"]).cast("string"), F.transform(entries, text))
+    return F.sha2(F.encode(content, "UTF-8"), 256)
+
+
 def drop_blanks(events: DataFrame) -> DataFrame:
     """Blank values become null; blank names and values leave `extra`."""
     cleaned = {c: blank_to_null(F.col(c)) for c in S.TEXT_COLUMNS}

@@ -34,14 +34,18 @@ def launches(events: DataFrame, run_date: date, tz: str = "UTC") -> DataFrame:
     """
     periods = [period(run_date).millis(tz) for period in GRAINS.values()]
     first, last = min(p[0] for p in periods), max(p[1] for p in periods)
-    usable = (
-        events.withColumn("s_time", F.col("s_time").try_cast("bigint"))
-        .filter((F.col("en") == S.LAUNCH) & (F.col("s_time") >= first) & (F.col("s_time") < last))
-        .filter(~is_blank(F.col("pl")) & ~is_blank(F.col("u_ud")))
-    )
+    usable = usable_launches(events).filter((F.col("s_time") >= first) & (F.col("s_time") < last))
     return with_date_buckets(usable, run_date, tz).filter(F.col("buckets") > 0)
 
 
+def usable_launches(events: DataFrame) -> DataFrame:
+    """Launch events with a time, a platform and a visitor."""
+    numbered = events.withColumn("s_time", F.col("s_time").try_cast("bigint"))
+    return numbered.filter(
+        (F.col("en") == S.LAUNCH) & F.col("s_time").isNotNull() & ~is_blank(F.col("pl")) & ~is_blank(F.col("u_ud"))
+    )
+
+
 def _same_label_twice(by_browser: bool) -> Column:
     """True on a level whose own value reads `all`, where a coarser level with the same labels covers its rows."""
 
@@ -75,17 +79,31 @@ def install_kpis(
         .groupBy(*names, "u_ud").agg(F.bit_or("buckets").alias("buckets"))
     )
 
+    rolled = count_levels(visitors, "u_ud", kpis, [F.bit_or("buckets").alias("buckets")])
+    counted = rolled.groupBy("kpi_name", *S.PLATFORM_KEYS, *S.BROWSER_KEYS).agg(
+        *[F.count_if(F.col("buckets").bitwiseAND(1 << i) != 0).alias(g) for i, g in enumerate(GRAINS)]
+    )
+    return period_rows(counted, run_date)
+
+
+def count_levels(finest: DataFrame, subject: str, kpis: tuple[str, ...], merged: list[Column]) -> DataFrame:
+    """Rows of every platform level and, for the browser KPI, browser level: `merged` of each subject, under its labels.
+
+    `finest` has platform and, where needed, browser as normalised, and the subject, which every grouping carries.
+    """
+    by_browser = S.KPI_BROWSER_NEW_USERS in kpis
+    names = ["pl", "ver", *(["browser", "browser_v"] if by_browser else [])]
     levels = []
     if S.KPI_NEW_USERS in kpis:
-        levels += [(*p, "u_ud") for p in PLATFORM_LEVELS]
+        levels += [(*p, subject) for p in PLATFORM_LEVELS]
     if by_browser:
-        levels += [(*p, *b, "u_ud") for p in PLATFORM_LEVELS for b in BROWSER_LEVELS]
+        levels += [(*p, *b, subject) for p in PLATFORM_LEVELS for b in BROWSER_LEVELS]
     no_browser = F.grouping("browser") == 1 if by_browser else F.lit(True)
     empty = F.lit("")
-    rolled = (
-        visitors.groupingSets(levels, *names, "u_ud")
+    return (
+        finest.groupingSets(levels, *names, subject)
         .agg(
-            F.bit_or("buckets").alias("buckets"),
+            *merged,
             _same_label_twice(by_browser).alias("_twice"),
             F.when(no_browser, F.lit(S.KPI_NEW_USERS)).otherwise(F.lit(S.KPI_BROWSER_NEW_USERS)).alias("kpi_name"),
             level_label("pl").alias("platform_name"),
@@ -96,9 +114,10 @@ def install_kpis(
         )
         .filter(~F.col("_twice"))
     )
-    counted = rolled.groupBy("kpi_name", *S.PLATFORM_KEYS, *S.BROWSER_KEYS).agg(
-        *[F.count_if(F.col("buckets").bitwiseAND(1 << i) != 0).alias(g) for i, g in enumerate(GRAINS)]
-    )
+
+
+def period_rows(counted: DataFrame, run_date: date) -> DataFrame:
+    """One row per group and grain whose count is above zero, with the period's date columns."""
     day = F.lit(run_date)
     periods = F.array(*[
         F.struct(date_dimension(day, g).alias("period"), F.col(g).alias("new_install_users")) for g in GRAINS

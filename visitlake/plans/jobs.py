@@ -14,8 +14,11 @@ from visitlake.operators.hourly import hourly_kpis
 from visitlake.operators.lines import (
     classify_events, parse_log_lines, rejected_lines, to_event_rows, valid_events,
 )
+from visitlake.operators.visitor_days import install_kpis_of_days
 from visitlake.operators.visitors import install_kpis
+from visitlake.sources.event_table import has_day, manifest_number
 from visitlake.sources.files import delete, staged
+from visitlake.sources.visitor_table import day_version, read_visitor_days, write_visitor_days
 from visitlake.sources.readers import read_event_logs, read_hourly, read_raw_logs
 from visitlake.sources.writers import (
     export_tsv, update_dimension, write_event_logs, write_facts, write_periods, write_rejected_lines,
@@ -82,6 +85,42 @@ def run_kpis(
         delete(spark, path)
 
 
+def run_kpis_by_days(
+    spark: SparkSession, event_root: str, fact_root: str, day_root: str, run_date: date, today: date, tz: str = "UTC"
+) -> tuple[dict[str, DataFrame], list[date]]:
+    """As `run_kpis`, from stored visitor bitmaps of single days; also returns the days whose events were read.
+
+    Read are only days whose bitmaps are missing or older than the day's manifest: in a daily run the newest day, and a
+    past one only if late events came. Weeks and months are merged from bitmaps.
+    """
+    window = scan_window(run_date, today)
+    days = [window.start + timedelta(days=n) for n in range((window.end - window.start).days)]
+    there = {d: manifest_number(spark, event_root, d) for d in days if has_day(spark, event_root, d)}
+    if not there:
+        raise FileNotFoundError(f"no events from {window.start} to {window.end} under {event_root}")
+    stale = [d for d, number in there.items() if day_version(spark, day_root, d) != number]
+    for first, last in _runs(stale):
+        events = read_event_logs(spark, event_root, first, last + timedelta(days=1))
+        write_visitor_days(events, day_root, {d: there[d] for d in stale if first <= d <= last}, tz)
+    stored = read_visitor_days(spark, day_root, sorted(there))
+    kpis, path = staged(install_kpis_of_days(stored, run_date), "install-kpis")
+    try:
+        return write_facts(spark, fact_root, kpis, run_date), stale
+    finally:
+        delete(spark, path)
+
+
+def _runs(days: list[date]) -> list[tuple[date, date]]:
+    """First and last day of each run of consecutive days."""
+    runs: list[tuple[date, date]] = []
+    for day in sorted(days):
+        if runs and day - runs[-1][1] == timedelta(days=1):
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((day, day))
+    return runs
+
+
 def run_hourly(
     spark: SparkSession, event_root: str, fact_root: str, run_date: date, tsv_path: str | None = None, tz: str = "UTC"
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,6 +44,45 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def claim(spark: SparkSession, source: str, target: str) -> bool:
+    """Gives a file or directory its place only if nothing is there yet: of several writers of a place one succeeds."""
+    jvm = spark._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs, _ = _path(spark, target)
+    fs.mkdirs(new.getParent())
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    no_overwriting = spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+    try:
+        files.rename(old, new, no_overwriting)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _path(spark, path)
+    source = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a directory."""
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory name in the shared folder the cluster names for checkpoints.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from visitlake import schema as S
 from visitlake.operators.dimensions import first_ids
 from visitlake.operators.ip_ranges import find_overlaps
+from visitlake.sources.event_table import day_dir, has_day, live_paths, read_paths
 from visitlake.sources.files import children, exists, matching, spread
 
 
@@ -32,17 +33,16 @@ def read_raw_logs(spark: SparkSession, root: str, run_date: date) -> DataFrame:
 
 
 def read_event_logs(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Events of the days in [start, end), stored by the batch job, the stream or both; only those days are listed.
+    """Events of the days in [start, end), stored by batch jobs, streams or both; only those days are listed.
 
-    Days without a table are skipped; none at all is an error.
+    What counts is what a day's manifest names. Days without a table are skipped; none at all is an error.
     """
-    base = root.rstrip("/")
-    days = [f"{base}/dt={(start + timedelta(days=n)).isoformat()}" for n in range((end - start).days)]
-    there = [d for d in days if exists(spark, d)]
+    days = [start + timedelta(days=n) for n in range((end - start).days)]
+    there = [d for d in days if has_day(spark, root, d)]
     if not there:
         raise FileNotFoundError(f"no events from {start} to {end} under {root}")
-    events = spark.read.schema(S.EVENT_SCHEMA).option("basePath", base).parquet(*there).select(*S.EVENT_SCHEMA.names)
-    return events.filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
+    paths = [path for d in there for path in live_paths(spark, day_dir(root, d))]
+    return read_paths(spark, root, paths).filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
 
 
 def load_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:

@@ -12,23 +12,21 @@ from visitlake import schema as S
 from visitlake.operators.dimensions import (
     assign_dim_ids, to_stats_device_browser, to_stats_user, upsert_facts,
 )
-from visitlake.sources.files import children, delete, matching, move, staged
+from visitlake.sources.event_table import BATCH_SLOT, put_events
+from visitlake.sources.files import children, claim, delete, matching, move, staged
 from visitlake.sources.readers import read_dimension, read_facts
 
 # Versions of a table, or of one of its periods, that stay after a write.
 KEEP_VERSIONS = 5
 
 
-def write_event_logs(events: DataFrame, root: str, run_date: date) -> None:
-    """Replaces the event table of one day, also when the new one is empty.
+def write_event_logs(events: DataFrame, root: str, run_date: date, writer: str = BATCH_SLOT) -> None:
+    """Replaces what this writer stored for a day, also when the new rows are none; other writers' events stay.
 
     The day is the one the lines were collected on. Inside a day events lie apart by kind, so that reports on
     one kind read nothing else.
     """
-    rows = events.select(*[c for c in S.EVENT_COLUMNS])
-    rows.write.mode("overwrite").partitionBy("en").option("partitionOverwriteMode", "static").parquet(
-        f"{root.rstrip('/')}/dt={run_date.isoformat()}"
-    )
+    put_events(events.withColumn("dt", F.lit(run_date)), root, writer, always=run_date)
 
 
 def write_rejected_lines(rejected: DataFrame, root: str, run_date: date) -> None:
@@ -38,17 +36,29 @@ def write_rejected_lines(rejected: DataFrame, root: str, run_date: date) -> None
 def write_version(df: DataFrame, table: str) -> str:
     """Writes the next version of a small table beside the current one, which stays readable meanwhile.
 
-    A version counts once its `_SUCCESS` mark is there, so a failed write leaves the table as it was. The last
-    KEEP_VERSIONS are kept.
+    A version is written aside and counts once it is in its place. The last KEEP_VERSIONS are kept. Another
+    writer's version that came first is written over by none: this one takes the number after it.
     """
     spark = df.sparkSession
-    path = f"{table}/v={_next_version(spark, table):08d}"
-    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
+    while True:
+        path = try_version(df, table, next_version(spark, table))
+        if path:
+            return path
+
+
+def try_version(df: DataFrame, table: str, number: int) -> str | None:
+    """Writes a version of a table; None if another writer has taken its number meanwhile."""
+    spark = df.sparkSession
+    path, incoming = f"{table}/v={number:08d}", f"{table}/_incoming/{uuid.uuid4().hex}"
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(incoming)
+    if not claim(spark, incoming, path):
+        delete(spark, incoming)
+        return None
     _drop_old_versions(spark, table)
     return path
 
 
-def _next_version(spark: SparkSession, table: str) -> int:
+def next_version(spark: SparkSession, table: str) -> int:
     return max((int(v[2:]) for v in children(spark, table) if v.startswith("v=")), default=0) + 1
 
 
@@ -73,7 +83,7 @@ def write_periods(df: DataFrame, table: str, period: str, always: tuple[str, ...
             df.limit(0).write.parquet(parts[name])
     for name, path in parts.items():
         place = f"{table}/period={name}"
-        move(spark, path, f"{place}/v={_next_version(spark, place):08d}")
+        move(spark, path, f"{place}/v={next_version(spark, place):08d}")
         _drop_old_versions(spark, place)
     delete(spark, incoming)
     return sorted(parts)
@@ -93,10 +103,19 @@ def append_batch(writer: DataFrameWriter, spark: SparkSession, root: str, levels
 
 
 def update_dimension(spark: SparkSession, root: str, name: str, candidates: DataFrame) -> DataFrame:
-    """Adds missing natural keys to a dimension table and returns the table as written."""
-    keys = S.DIM_KEYS[name]
-    grown = assign_dim_ids(read_dimension(spark, root, name), candidates, keys)
-    return spark.read.parquet(write_version(grown, f"{root.rstrip('/')}/{name}"))
+    """Adds missing natural keys to a dimension table and returns the table as written.
+
+    Any number of writers may do so at once: ids are given on top of the version that was read, and if another writer has
+    added the next one meanwhile, that is read and the keys still missing are numbered anew. So a key that has an id in a
+    written table keeps it, and no id is given twice.
+    """
+    keys, table = S.DIM_KEYS[name], f"{root.rstrip('/')}/{name}"
+    while True:
+        number = next_version(spark, table)
+        grown = assign_dim_ids(read_dimension(spark, root, name), candidates, keys)
+        path = try_version(grown, table, number)
+        if path:
+            return spark.read.parquet(path)
 
 
 def upsert_table(spark: SparkSession, root: str, fact: S.FactTable, new: DataFrame) -> DataFrame:

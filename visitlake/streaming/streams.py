@@ -12,7 +12,10 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from visitlake import schema as S
 from visitlake.functions.timeparts import arrival_date
-from visitlake.operators.lines import classify_events, parse_log_lines, to_event_rows, valid_events
+from visitlake.operators.lines import (
+    classify_events, event_digest, parse_log_lines, to_event_rows, valid_events, with_agent_fields,
+)
+from visitlake.sources.event_table import put_events
 from visitlake.sources.writers import append_batch, upsert_table
 
 
@@ -28,7 +31,14 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> St
     """Runs until stopped every `trigger`, or once over what is there when no trigger is given."""
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
-    return writer.start()
+    # state is cleared with the next lines; batches without any would only repeat the whole plan
+    spark, setting = writer._spark, "spark.sql.streaming.noDataMicroBatches.enabled"
+    former = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, former)
 
 
 def _batch_label(checkpoint: str, batch_id: int) -> str:
@@ -75,20 +85,29 @@ def etl_stream(
     strict: bool = False,
     trigger: str | None = None,
     max_files_per_trigger: int | None = None,
+    distinct_within: str | None = "1 day",
     **join_options,
 ) -> StreamingQuery:
     """Appends the events of new lines to the event table `dst`, by date of arrival and kind.
 
-    Every batch is written the same way, into directories of its own inside `dt=/en=`, whatever the number of IP
-    ranges, so the batch job and the stream can share one table and `read_event_logs` reads both. The date of arrival
-    belongs to the batch: a repeated one finds the same date and replaces its own files.
+    Every batch fills a slot of its own in the manifest of its day, whatever the number of IP ranges, so batch jobs
+    and streams share one table and `read_event_logs` reads all. The date of arrival belongs to the batch: a repeated one
+    finds the same date and replaces its own files.
+
+    Of lines with the same content that arrive within `distinct_within` of the first, in one batch, in several or after a
+    restart, one event stays, as `dedupe_events` keeps one in a batch job. The stream's state holds a digest of each event
+    for that long; late events are never dropped, since it goes by arrival. None keeps all lines.
     """
-    lines = read_line_stream(spark, src, max_files_per_trigger).withColumn("dt", arrival_date(tz))
+    arrived = read_line_stream(spark, src, max_files_per_trigger).withColumns({"dt": arrival_date(tz), "arrived": F.current_timestamp()})
+    valid = with_agent_fields(valid_events(classify_events(parse_log_lines(arrived), strict)))
+    if distinct_within:
+        told = valid.withColumn("digest", event_digest(valid, ip_ranges is not None)).withWatermark("arrived", distinct_within)
+        valid = told.dropDuplicatesWithinWatermark(["digest"])
+    lines = valid.select("dt", "fields")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = etl_lines(batch, ip_ranges, tz, strict, ["dt"], **join_options)
-        writer = rows.write.format("parquet").partitionBy("dt", "en")
-        append_batch(writer, batch.sparkSession, dst, 2, _batch_label(checkpoint, batch_id))
+        rows = to_event_rows(batch, ip_ranges, tz, dedupe=False, keep=["dt"], **join_options)
+        put_events(rows, dst, _batch_label(checkpoint, batch_id))
 
     return _start(lines.writeStream.foreachBatch(write_batch), checkpoint, trigger)
 
