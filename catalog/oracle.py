@@ -415,6 +415,7 @@ ORACLES["kpi_job"] = _install(X.RUN_DATE, f"""
   select kpi_name, platform_name, platform_version, type, calendar, browser_name, browser_version, new_install_users,
     date '2024-01-10' as created from ({BOTH_KPIS})""")
 ORACLES["kpi_job_by_days"] = ORACLES["kpi_job"]
+ORACLES["hourly_increments"] = ORACLES["hourly_kpis"]
 ORACLES["hourly_two_days"] = _with(**HOURLY_PARTS, **HOURLY_IDS) + f"""
   select source, platform_name, platform_version, date as calendar, kpi as kpi_name, {HOURS}
   from named, (values ('table'), ('tsv')) t(source) where date in (date '2024-01-01', date '2024-01-02')"""

@@ -20,9 +20,10 @@ from visitlake.operators import ip_ranges as I
 from visitlake.operators import lines as L
 from visitlake.operators import rollups as R
 from visitlake.operators import visitors as V
-from visitlake.plans.jobs import etl, run_etl, run_hourly, run_kpis, run_kpis_by_days
+from visitlake.plans.jobs import etl, run_etl, run_hourly, run_hourly_increment, run_kpis, run_kpis_by_days
 from visitlake.sources.event_table import compact_day, put_events
 from visitlake.sources.files import children, scratch_dir, staged
+from visitlake.sources.hour_table import read_hours
 from visitlake.sources.readers import (
     current_version, load_ip_ranges, read_event_logs, read_facts, read_hourly, read_raw_logs,
 )
@@ -580,6 +581,19 @@ def hourly_two_days(spark, sf):
     return both.select("source", *S.PLATFORM_KEYS, "calendar", "kpi_name", *S.HOUR_COLUMNS)
 
 
+@query
+def hourly_increments(spark, sf):
+    """Hourly values of a day whose events come in three parts, the last of them anew, each merged as it comes."""
+    events, facts, state = (scratch_dir(spark, n) for n in ("events", "facts", "state"))
+    rows = _as_event_rows(X.fx_dense(spark, sf)).withColumn("dt", F.lit(X.RUN_DATE))
+    part = F.pmod(F.xxhash64("s_time", "u_ud"), F.lit(3))
+    for puts in ({"first": part == 0, "second": part > 0}, {"second": part == 1}, {"late": part == 2}):
+        for slot, chosen in puts.items():
+            put_events(rows.filter(chosen), events, slot)
+        run_hourly_increment(spark, events, facts, state, X.RUN_DATE)
+    return read_hours(spark, state, X.RUN_DATE)
+
+
 # ---------------------------------------------------------- other raw lines
 
 

@@ -21,6 +21,10 @@ _SUBJECTS = (
 )
 
 
+# What tells subjects of an hour apart; `slot` is the hour's number.
+SUBJECT_KEYS = ["subject", "pl", "ver", "slot", "id"]
+
+
 def stage_hourly(events: DataFrame, tz: str = "UTC") -> DataFrame:
     """Page views and launches with their date and hour."""
     s_time = F.col("s_time").cast("bigint")
@@ -37,10 +41,22 @@ def hourly_kpis(events: DataFrame, kpis: tuple[str, ...] = S.HOURLY_KPIS, tz: st
     their first and last time, then roll up to the three platform levels. A level recomputes the span of
     each of its sessions, so levels do not add up. Null platforms and versions form groups of their own.
     """
+    return kpis_of_subjects(hourly_subjects(events, kpis, tz), kpis)
+
+
+def _wanted(kpis: tuple[str, ...]) -> dict[int, tuple]:
     unknown = set(kpis) - set(S.HOURLY_KPIS)
     if unknown or not kpis:
         raise ValueError(f"no such KPI: {sorted(unknown)}")
-    wanted = {code: v for code, v in enumerate(_SUBJECTS) if set(v[2]) & set(kpis)}
+    return {code: v for code, v in enumerate(_SUBJECTS) if set(v[2]) & set(kpis)}
+
+
+def hourly_subjects(events: DataFrame, kpis: tuple[str, ...] = S.HOURLY_KPIS, tz: str = "UTC") -> DataFrame:
+    """SUBJECT_KEYS of what the KPIs count, with first and last time: one row per subject, platform, version and hour.
+
+    Rows of several sets of events merge by `merge_subjects` to the rows of all of them.
+    """
+    wanted = _wanted(kpis)
     staged = stage_hourly(events, tz).filter(F.col("en").isin(sorted({v[0] for v in wanted.values()})))
     subjects = None
     for en in sorted({v[0] for v in wanted.values()}):
@@ -51,13 +67,22 @@ def hourly_kpis(events: DataFrame, kpis: tuple[str, ...] = S.HOURLY_KPIS, tz: st
         subjects = (F.when if subjects is None else subjects.when)(F.col("en") == en, told)
     # short keys: a code for the subject and one number for date and hour
     slot = F.datediff("date", F.lit(_EPOCH)) * 24 + F.col("hour")
-    group = ["subject", "pl", "ver", "slot", "id"]
-    finest = (
+    return (
         staged.select("pl", "ver", slot.alias("slot"), "s_time", F.inline(subjects))
-        .groupBy(*group).agg(F.min("s_time").alias("first"), F.max("s_time").alias("last"))
+        .groupBy(*SUBJECT_KEYS).agg(F.min("s_time").alias("first"), F.max("s_time").alias("last"))
     )
+
+
+def merge_subjects(subjects: DataFrame) -> DataFrame:
+    """One row per subject of rows that several sets of events gave."""
+    return subjects.groupBy(*SUBJECT_KEYS).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def kpis_of_subjects(finest: DataFrame, kpis: tuple[str, ...] = S.HOURLY_KPIS) -> DataFrame:
+    """The KPIs of `hourly_subjects`, hour by hour; an hour's values follow from its subjects alone."""
+    wanted = _wanted(kpis)
     levels = [("subject", *p, "slot", "id") for p in PLATFORM_LEVELS]
-    rolled = finest.groupingSets(levels, *group).agg(
+    rolled = finest.groupingSets(levels, *SUBJECT_KEYS).agg(
         F.min("first").alias("first"), F.max("last").alias("last"),
         F.grouping_id().alias("level"), level_label("pl").alias("_pl"), level_label("ver").alias("_ver"),
     )

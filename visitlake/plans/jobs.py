@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from visitlake import schema as S
 from visitlake.functions.timeparts import scan_window
 from visitlake.operators.dimensions import hourly_dimension_rows, to_stats_hourly
-from visitlake.operators.hourly import hourly_kpis
+from visitlake.operators.hourly import hourly_kpis, hourly_subjects
 from visitlake.operators.lines import (
     classify_events, parse_log_lines, rejected_lines, to_event_rows, valid_events,
 )
 from visitlake.operators.visitor_days import install_kpis_of_days
 from visitlake.operators.visitors import install_kpis
-from visitlake.sources.event_table import has_day, manifest_number
+from visitlake.sources.event_table import day_dir, has_day, live_paths, manifest_number, read_manifest, read_paths
 from visitlake.sources.files import delete, staged
+from visitlake.sources.hour_table import merge_hours, merged_slots, read_hours, set_merged_slots
 from visitlake.sources.visitor_table import day_version, read_visitor_days, write_visitor_days
 from visitlake.sources.readers import read_event_logs, read_hourly, read_raw_logs
 from visitlake.sources.writers import (
@@ -127,18 +128,45 @@ def run_hourly(
     """Writes the hourly report of one day's events and returns it; reports and TSV files of other days stay."""
     events = read_event_logs(spark, event_root, run_date, run_date + timedelta(days=1))
     hourly, path = staged(hourly_kpis(events, tz=tz), "hourly-kpis")
-    day = run_date.isoformat()
     try:
-        platforms, dates, kpis = hourly_dimension_rows(hourly)
-        report = to_stats_hourly(
-            hourly,
-            update_dimension(spark, fact_root, "dimension_platform", platforms),
-            update_dimension(spark, fact_root, "dimension_date", dates),
-            update_dimension(spark, fact_root, "dimension_kpi", kpis),
-        )
-        write_periods(report, f"{fact_root.rstrip('/')}/stats_hourly", f"'{day}'", (day,))
+        return _write_report(spark, hourly, fact_root, run_date, tsv_path)
     finally:
         delete(spark, path)
+
+
+def run_hourly_increment(
+    spark: SparkSession, event_root: str, fact_root: str, state_root: str, run_date: date, tsv_path: str | None = None, tz: str = "UTC"
+) -> tuple[DataFrame, list[int]]:
+    """As `run_hourly`, from the subjects of each hour that earlier runs stored; also returns the hours that changed.
+
+    Read are only events that were committed to the day since. They are merged into the subjects of their hours, and only
+    those hours are counted again. Where events that were merged no longer count, since a writer replaced or packed
+    them, the day is made anew.
+    """
+    if not has_day(spark, event_root, run_date):
+        raise FileNotFoundError(f"no events of {run_date} under {event_root}")
+    place = day_dir(event_root, run_date)
+    slots = read_manifest(spark, place)[1]["slots"]
+    merged = merged_slots(spark, state_root, run_date)
+    grown = all(slots.get(slot) == label for slot, label in merged.items())
+    fresh = {slot for slot, label in slots.items() if not grown or merged.get(slot) != label}
+    events = read_paths(spark, event_root, live_paths(spark, place, fresh))
+    changed = merge_hours(hourly_subjects(events, tz=tz), state_root, run_date, anew=not grown)
+    set_merged_slots(spark, state_root, run_date, slots)
+    return _write_report(spark, read_hours(spark, state_root, run_date), fact_root, run_date, tsv_path), changed
+
+
+def _write_report(spark: SparkSession, hourly: DataFrame, fact_root: str, run_date: date, tsv_path: str | None) -> DataFrame:
+    """Gives the day's long hourly table ids and columns, stores it, exports it and returns it as stored."""
+    day = run_date.isoformat()
+    platforms, dates, kpis = hourly_dimension_rows(hourly)
+    report = to_stats_hourly(
+        hourly,
+        update_dimension(spark, fact_root, "dimension_platform", platforms),
+        update_dimension(spark, fact_root, "dimension_date", dates),
+        update_dimension(spark, fact_root, "dimension_kpi", kpis),
+    )
+    write_periods(report, f"{fact_root.rstrip('/')}/stats_hourly", f"'{day}'", (day,))
     stored = read_hourly(spark, fact_root, run_date)
     if tsv_path:
         export_tsv(stored, f"{tsv_path.rstrip('/')}/dt={day}")
