@@ -18,7 +18,7 @@ groups of those, and the trie of order 2 gives the rest. Texts are joined to the
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -60,7 +60,7 @@ def _marked(texts: list[bytes]) -> np.ndarray:
     return np.frombuffer(mark * 2 + (mark * 2).join(texts) + mark, dtype=np.uint8)
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+def _chunks(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
     part, size = [], 0
     for text in texts:
         part.append(text)
@@ -85,7 +85,7 @@ def _symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _count_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(256 ** (ORDER + 1), dtype=np.int64)
     for batch in batches:
-        for texts in _chunks([t.as_py() for t in batch.column(0)]):
+        for texts in _chunks(t.as_py() for t in batch.column(0)):
             leaves, _ = _symbols(texts)
             counts += np.bincount(leaves, minlength=len(counts))
     seen = np.flatnonzero(counts)
@@ -188,7 +188,7 @@ def _count_grams(order: int):
         for batch in batches:
             training = np.array(batch.column(1).to_pylist(), dtype=np.int64)
             done = 0
-            for texts in _chunks([t.as_py() for t in batch.column(0)]):
+            for texts in _chunks(t.as_py() for t in batch.column(0)):
                 for grams, owner in _windows(texts, order):
                     found, counts = np.unique(grams << 1 | training[done + owner], return_counts=True)
                     parts.append((found >> 1, counts * (found & 1)))

@@ -126,23 +126,30 @@ def _probes(index: Broadcast):
     return run
 
 
-def _bitmap(hashes: DataFrame, entries: int, bits_per_entry: int = BITS_PER_ENTRY) -> Broadcast:
-    """Bitmap of a column of hashes, for the tasks: pages are made where the hashes meet and put together here."""
+def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return batches
+
+
+def _bitmap(rows: DataFrame, entries: int, hashes_of=_same, bits_per_entry: int = BITS_PER_ENTRY) -> Broadcast:
+    """Bitmap of the hashes that a function makes of rows, for the tasks.
+
+    Pages are made where their bits meet and put together here.
+    """
     bits = min(MAX_BITS, max(MIN_BITS, 1 << (bits_per_entry * max(entries, 1) - 1).bit_length()))
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in hashes_of(batches):
             values = batch.column(0).to_numpy().view(np.uint64)
             bit = np.unique(np.concatenate([_bit(values, bits, step) for step in (_STEP, _OTHER_STEP)])).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"page": pa.array((bit // _PAGE).astype(np.int32)), "bit": pa.array(bit % _PAGE)})
 
     # dealt by page first, so that no task holds more than its own pages
-    dealt = hashes.mapInArrow(pages, "page int, bit bigint").repartition("page")
+    dealt = rows.mapInArrow(pages, "page int, bit bigint").repartition("page")
     found = dealt.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
     whole = np.zeros((bits // _PAGE, _PAGE // 8), dtype=np.uint8)
     for page, part in zip(found["page"].to_pylist(), found["bits"]):
         whole[page] = np.frombuffer(part.as_py(), dtype=np.uint8)
-    return hashes.sparkSession.sparkContext.broadcast(whole.tobytes())
+    return rows.sparkSession.sparkContext.broadcast(whole.tobytes())
 
 
 def _candidates(bitmap: np.ndarray, words: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -285,7 +292,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     texts, id_type = rows.select("text"), rows.schema["id"].dataType.simpleString()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    index = _bitmap(texts.mapInArrow(_blocks, "hash bigint"), size // (6 * BLOCK), BITS_PER_BLOCK)
+    index = _bitmap(texts, size // (6 * BLOCK), _blocks, BITS_PER_BLOCK)
     met = texts.mapInArrow(_probes(index), "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
     anchors, path = staged(met.filter((F.col("n").bitwiseAND(0xFFFFFFFF) > 1) & (F.shiftright("n", 32) > 0)).select("hash"), "anchors")
     index.destroy()
@@ -294,8 +301,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     hashed = f"id {id_type}, a bigint, b int"
     first_stretches = rows.mapInArrow(_stretch_rows(bitmap, window), hashed).groupBy("a", "b").agg(F.min("id").alias("id"))
-    entries, path = staged(first_stretches.select("id", "a", "b").mapInArrow(_stretch_entries, "hash bigint"), "stretches")
-    stretches = _bitmap(entries, entries.count())
+    known, path = staged(first_stretches.select("id", "a", "b"), "stretches")
+    stretches = _bitmap(known, known.count(), _stretch_entries)
     delete(docs.sparkSession, path)
 
     places = rows.mapInArrow(_windows(bitmap, stretches, window), hashed)
