@@ -120,6 +120,9 @@ def test_command_line(spark, sf_dir, tmp_path):
     assert main(["etl", "--date", day, "--raw", raw, "--events", events], spark) == 0
     assert main(["hourly", "-date", day, "--events", events, "--facts", facts], spark) == 0
     assert main(["kpi", "--date", day, "--events", events, "--facts", facts], spark) == 0
+    assert main(["kpi", "--date", day, "--events", events, "--facts", facts, "--days", str(tmp_path / "days")], spark) == 0
+    assert main(["hourly", "--date", day, "--events", events, "--facts", facts, "--state", str(tmp_path / "state")], spark) == 0
+    assert main(["compact", "--date", day, "--events", events], spark) == 0
     assert main(["etl", "--date", "2001-01-01", "--raw", raw, "--events", events], spark) == 1
 
 
