@@ -1,10 +1,11 @@
 """Benchmark decontamination: rare word n-grams seed candidates, local alignment decides.
 
 Words are runs of letters and digits, lower-cased, so punctuation and layout do not matter. A pass over the corpus notes
-where it holds n-grams of the benchmark; a Bloom filter of fixed size keeps all others inside the scan. Every item then
+which n-grams of the benchmark each text holds; a Bloom filter of fixed size keeps all others inside the scan. Every item then
 takes the rarest of its n-grams that the corpus holds as seeds, whatever their count, so that an item that thousands of
-documents copied keeps its seeds too; only the commonest fifth is left out. Seeds join documents to items, and
-Smith-Waterman alignment over words scores the passage around them. A copy with words changed, left out or put in keeps
+documents copied keeps its seeds too; the commoner half is left out. Items shorter than an n-gram are seeds as a whole.
+Seeds join documents to items, and only texts that a Bloom filter of the joined keys lets pass are read again for them.
+Smith-Waterman alignment over words scores the passage around the seeds. A copy with words changed, left out or put in keeps
 most of the score.
 """
 
@@ -22,7 +23,7 @@ from visitlake.sources.files import staged
 
 GRAM_WORDS = 3
 SEEDS = 16  # n-grams per item, the rarest first, or
-SEED_SHARE = 0.8  # this share of them, if more: edits make rarer those that a copy has lost
+SEED_SHARE = 0.5  # this share of them, if more: edits make rarer those that a copy has lost
 MIN_SEEDS = 2  # seeds of an item that a document must hold to be aligned with it
 MIN_SCORE = 0.5  # alignment score as a share of the item's own
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -92,24 +93,26 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 
 def item_score(
-    item: np.ndarray, words: np.ndarray, places: np.ndarray, offsets: np.ndarray, min_seeds: int = 1
+    item: np.ndarray, words: np.ndarray, places: np.ndarray, seeds: np.ndarray, first: np.ndarray, last: np.ndarray, min_seeds: int = 1
 ) -> tuple[float, int, int]:
     """Best score of an item around its seeds in a text, as a share of the item's own score, and its word span.
 
-    `places` are seeds' word positions in the text and `offsets` those in the item. Seeds whose passages overlap
-    share one passage, which reaches half an item beyond the copy they suggest. Passages with fewer than `min_seeds`
-    different seeds are not aligned.
+    `places` are seeds' word positions in the text, `seeds` which ones stand there, `first` and `last` the positions where the
+    item has that seed first and last. Seeds whose passages overlap share one passage, which reaches half an item beyond the
+    copies they suggest. Passages with fewer than `min_seeds` different seeds are not aligned.
     """
+    if not len(places):
+        return 0.0, 0, 0
     slack = len(item) // 2 + 4
-    begin = np.maximum(places - offsets - slack, 0)
-    end = np.minimum(places - offsets + len(item) + slack, len(words))
+    begin = np.maximum(places - last - slack, 0)
+    end = np.minimum(places - first + len(item) + slack, len(words))
     order = np.argsort(begin, kind="stable")
-    begin, end, offsets = begin[order], np.maximum.accumulate(end[order]), offsets[order]
+    begin, end, seeds = begin[order], np.maximum.accumulate(end[order]), seeds[order]
     firsts = np.flatnonzero(np.append(True, begin[1:] >= end[:-1]))
     found = (0.0, 0, 0)
-    for first, last in zip(firsts, np.append(firsts[1:], len(begin)) - 1):
-        a, b = begin[first], end[last]
-        if len(np.unique(offsets[first : last + 1])) < min_seeds:
+    for left, right in zip(firsts, np.append(firsts[1:], len(begin)) - 1):
+        a, b = begin[left], end[right]
+        if len(np.unique(seeds[left : right + 1])) < min_seeds:
             continue
         # long unions are taken in pieces that overlap by the longest passage one copy can fill
         width, step = 8 * len(item) + 4 * slack, 4 * len(item)
@@ -122,52 +125,81 @@ def item_score(
     return found
 
 
-def _bloom(grams: DataFrame) -> np.ndarray:
-    """Bit set of the grams' low bits; collected as at most 2^18 words of 64 bits."""
-    bit = F.col("gram").bitwiseAND(F.lit((1 << _BLOOM_BITS) - 1))
+def _seed_places(item: np.ndarray, words: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, seeds, first, last) for `item_score`: where the text has which of the hashed `seeds`, a row per place."""
+    n = min(GRAM_WORDS, len(item))
+    of_item, of_text = gram_hashes(item, n), gram_hashes(words, n)
+    seeds = np.intersect1d(seeds, of_item)
+    here = np.isin(of_item, seeds)
+    offsets, which = np.flatnonzero(here), np.searchsorted(seeds, of_item[here])
+    first, last = np.full(len(seeds), len(item)), np.zeros(len(seeds), dtype=np.int64)
+    np.minimum.at(first, which, offsets)
+    np.maximum.at(last, which, offsets)
+    places = np.flatnonzero(np.isin(of_text, seeds))
+    found = np.searchsorted(seeds, of_text[places])
+    return places, found, first[found], last[found]
+
+
+def _bloom(rows: DataFrame, column: str) -> np.ndarray:
+    """Bit set of the column's low bits; collected as at most 2^18 words of 64 bits."""
+    bit = F.col(column).bitwiseAND(F.lit((1 << _BLOOM_BITS) - 1))
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
-    words = grams.select(F.shiftright(bit, 6).alias("word"), mask.alias("mask"))
+    words = rows.select(F.shiftright(bit, 6).alias("word"), mask.alias("mask"))
     collected = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     bits = np.zeros(1 << (_BLOOM_BITS - 6), dtype=np.int64)
     bits[collected["word"].to_numpy()] = collected["mask"].to_numpy()
     return bits.view(np.uint64)
 
 
-def _corpus_hits(bits: bytes):
-    """Rows (key, text) -> (key, gram, place) of the n-grams that pass the filter."""
+def _passes(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes & np.uint64((1 << _BLOOM_BITS) - 1)
+    return ((bloom[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def _corpus_hits(bits: bytes, sizes: list[int]):
+    """Rows (key, text) -> (key, gram) of the different n-grams of the given sizes that pass the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = np.frombuffer(bits, dtype=np.uint64)
-        low = np.uint64((1 << _BLOOM_BITS) - 1)
         for batch in batches:
-            keys, grams, places = [], [], []
+            keys, grams = [], []
             for key, text in zip(batch.column(0).to_numpy(), batch.column(1)):
-                hashes = gram_hashes(word_hashes(text.as_py()))
-                bit = hashes & low
-                hit = np.flatnonzero((bloom[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1))
+                words = word_hashes(text.as_py())
+                hashes = np.concatenate([gram_hashes(words, n) for n in sizes])
+                hit = np.unique(hashes[_passes(bloom, hashes)])
                 if len(hit):
                     keys.append(np.full(len(hit), key))
-                    grams.append(hashes[hit].view(np.int64))
-                    places.append(hit)
+                    grams.append(hit.view(np.int64))
             if keys:
-                yield pa.RecordBatch.from_pydict({
-                    "key": np.concatenate(keys).astype(np.int64), "gram": np.concatenate(grams), "place": np.concatenate(places).astype(np.int32),
-                })
+                yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys).astype(np.int64), "gram": np.concatenate(grams)})
+
+    return run
+
+
+def _with_keys(bits: bytes):
+    """The rows whose first column, the key, passes the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom = np.frombuffer(bits, dtype=np.uint64)
+        for batch in batches:
+            yield batch.filter(pa.array(_passes(bloom, batch.column(0).to_numpy().view(np.uint64))))
 
     return run
 
 
 def _item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, grams, places = [], [], []
+        ids, grams, sizes = [], [], []
         for item, text in zip(batch.column(0), batch.column(1)):
-            hashes = gram_hashes(word_hashes(text.as_py()))
+            words = word_hashes(text.as_py())
+            size = min(GRAM_WORDS, len(words))
+            hashes = np.unique(gram_hashes(words, size)) if size else words
             ids += [item.as_py()] * len(hashes)
             grams.append(hashes.view(np.int64))
-            places.append(np.arange(len(hashes)))
+            sizes.append(np.full(len(hashes), size))
         yield pa.RecordBatch.from_pydict({
             "item": pa.array(ids, batch.schema.field(0).type), "gram": np.concatenate([np.empty(0, np.int64), *grams]).astype(np.int64),
-            "offset": np.concatenate([np.empty(0, np.int64), *places]).astype(np.int32),
+            "size": np.concatenate([np.empty(0, np.int64), *sizes]).astype(np.int32),
         })
 
 
@@ -182,9 +214,9 @@ def _aligned(min_score: float):
                 text, item_text = batch.column(2)[k].as_py(), batch.column(4)[k].as_py()
                 if text != last_text:
                     last_text, words = text, word_hashes(text)
-                seeds = batch.column(5)[k].values
-                places, offsets = (seeds.field(n).to_numpy().astype(np.int64) for n in ("place", "offset"))
-                best = item_score(word_hashes(item_text), words, places, offsets, batch.column(6)[k].as_py())
+                item = word_hashes(item_text)
+                seeds = batch.column(5)[k].values.to_numpy().view(np.uint64)
+                best = item_score(item, words, *_seed_places(item, words, seeds), batch.column(6)[k].as_py())
                 if best[0] >= min_score:
                     kept.append(k)
                     found.append(best)
@@ -210,20 +242,24 @@ def _contaminated(
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("item_text")).filter("item_text is not null").distinct()
     id_type, item_type = rows.schema["id"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
 
-    grams, _ = staged(items.mapInArrow(_item_grams, f"item {item_type}, gram bigint, offset int"), "benchmark-grams")
-    bloom = _bloom(grams).tobytes()
-    hits, _ = staged(rows.select("key", "text").mapInArrow(_corpus_hits(bloom), "key bigint, gram bigint, place int"), "gram-hits")
+    grams, _ = staged(items.mapInArrow(_item_grams, f"item {item_type}, gram bigint, size int"), "benchmark-grams")
+    sizes = sorted(r["size"] for r in grams.select("size").distinct().collect()) or [GRAM_WORDS]
+    find = _corpus_hits(_bloom(grams, "gram").tobytes(), sizes)
+    # copies of a row are one key, so that none of them meets an item twice
+    hits, _ = staged(rows.select("key", "text").mapInArrow(find, "key bigint, gram bigint").distinct(), "gram-hits")
     counts = hits.groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = Window.partitionBy("item").orderBy("n", "gram", "offset")
+    grams = grams.select("item", "gram").distinct()  # items of one id take their seeds together
+    rarest = Window.partitionBy("item").orderBy("n", "gram")
     of_item = Window.partitionBy("item")
     present = grams.join(counts, "gram").withColumns({"rank": F.row_number().over(rarest), "present": F.count("*").over(of_item)})
     ranked = present.filter(F.col("rank") <= F.greatest(F.lit(seeds), F.ceil(F.col("present") * SEED_SHARE)))
     needed = F.least(F.lit(min_seeds), F.count("*").over(of_item)).alias("needed")
-    chosen = ranked.select("gram", "item", "offset", needed)
-    pairs = hits.join(chosen, "gram").groupBy("key", "item").agg(
-        F.collect_list(F.struct("place", "offset")).alias("seeds"), F.countDistinct("offset").alias("hit"), F.max("needed").alias("needed")
-    ).filter("hit >= needed")
-    joined = pairs.join(items, pairs["item"].eqNullSafe(items["item"])).drop(items["item"]).join(rows, "key")
+    chosen = ranked.select("gram", "item", needed)
+    # as many seeds as an item has n-grams at most
+    met = hits.join(chosen, "gram").groupBy("key", "item").agg(F.collect_list("gram").alias("seeds"), F.max("needed").alias("needed"))
+    pairs, _ = staged(met.filter(F.size("seeds") >= F.col("needed")), "seeded-pairs")
+    texts = rows.mapInArrow(_with_keys(_bloom(pairs, "key").tobytes()), rows.schema)
+    joined = pairs.join(items, pairs["item"].eqNullSafe(items["item"])).drop(items["item"]).join(texts, "key")
     wanted = joined.select("key", "id", "text", "item", "item_text", "seeds", "needed")
     out = f"key bigint, id {id_type}, item {item_type}, score double, first_word bigint, last_word bigint"
     return wanted.mapInArrow(_aligned(min_score), out).distinct()
@@ -237,8 +273,8 @@ def find_contamination(
 
     Pairs with `min_seeds` different seeds (fewer where the item has fewer) are aligned. The score is the alignment's as a
     share of what a verbatim copy has, and the words are the passage it covers. Null and empty texts hold nothing; an
-    item of fewer than GRAM_WORDS words has no seed and is never found. Rows of equal id and text are one; equal items are
-    found each; an empty table on either side gives an empty result. Null ids are reported as null.
+    item of fewer than GRAM_WORDS words is found where a text holds all of it, one without words nowhere. A very long text meets an
+    item once, with a passage per stretch of seeds. Rows of equal id and text are one; equal items are found each; an empty table on either side gives an empty result. Null ids are reported as null.
     """
     found = _contaminated(docs, benchmark, id_col, text_col, item_col, item_text, seeds, min_seeds, min_score)
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first_word", "last_word")

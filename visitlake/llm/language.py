@@ -13,7 +13,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -161,12 +161,16 @@ def train_language_model(
 ) -> LanguageModel:
     """Learns from the rows with a language and at least one letter.
 
-    Document frequencies cover all of them. The regression sees about `sample_rows` rows, drawn by a hash of the text
-    and in equal shares per language, as far as a language has them; only their feature counts reach the driver.
-    Each distinct language value is a class. Without any learnable row the model knows no language.
+    Document frequencies cover all of them. The regression sees at most `sample_rows` different texts (one per language, if
+    there are more languages), those that come first in a hashed order and in equal shares per language, as far as a language
+    has them; only their feature counts reach the driver. Copies of a text are drawn once. Each distinct language value is a class;
+    one whose drawn texts are all held back for calibration is learned from those. Without any learnable row the
+    model knows no language.
     """
     known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}
+    order = fraction("text", "lang")
+    different = F.approx_count_distinct(order, 0.02).alias("n")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(different).orderBy("lang").collect()}
     size = 1 << bits
     df = np.zeros(size)
     total = 0
@@ -180,8 +184,12 @@ def train_language_model(
     if not sizes:
         return LanguageModel((), idf, np.zeros((size, 0)), 1.0, bits)
     share = max(1, sample_rows // len(sizes))
-    rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, share / n))])
-    drawn = known.filter(fraction("text", "lang") < rate[F.col("lang")])
+    # some more than the share by the estimated number of texts, then exactly the first of those
+    rates = {lang: 1.0 if n <= 2 * share + 100 else (1.2 * share + 60) / n for lang, n in sizes.items()}
+    rate = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])
+    texts = known.withColumn("order", order).filter(F.col("order") < rate[F.col("lang")]).dropDuplicates(["lang", "text"])
+    first = Window.partitionBy("lang").orderBy("order", F.xxhash64("text"))
+    drawn = texts.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= share)
     held_back = fraction("lang", "text") < options.calibration_share
     vectors = drawn.select("text", "lang", held_back.alias("calibrates")).mapInArrow(
         _vectors(bits), "lang string, calibrates boolean, features array<int>, counts array<int>"
@@ -196,7 +204,8 @@ def train_language_model(
             rows[calibrates.as_py()].append(row)
     for part in rows.values():  # an order that does not depend on how rows were read
         part.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))
-    weights = train_ftrl(rows[False] or rows[True], size, len(languages), options)
+    learned = {r[2] for r in rows[False]}
+    weights = train_ftrl(rows[False] + [r for r in rows[True] if r[2] not in learned], size, len(languages), options)
     logits = np.array([values @ weights[features] for features, values, _ in rows[True]]).reshape(-1, len(languages))
     temperature = fit_temperature(logits, np.array([r[2] for r in rows[True]], dtype=int))
     return LanguageModel(languages, idf, weights.astype(np.float32), temperature, bits)

@@ -88,15 +88,16 @@ def mix_sources(
 
     Documents without words (null, empty, blank) have no tokens and no use; a null source is a source. A row that is repeated
     is used as often as each of its copies. Copies count from 0; ties in the hashed order go by id. An
-    empty table gives an empty mixture.
+    empty table gives an empty mixture. The order hashes the text too, so rows without id spread over their source's buckets.
 
     A source is sorted in buckets of its hashed order of about _BUCKET_TOKENS tokens, whose totals give every
     bucket its start, so no task sorts a whole source; blocks hold about `block_tokens` tokens.
     """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), count_tokens(F.col(text_col)).alias("n_tokens"),
+        _place(options.seed, source_col, id_col, text_col).alias("place"),
     ).filter("n_tokens > 0")
-    stored, _ = staged(rows.withColumn("place", _place(options.seed, "source", "id")), "mix-documents")
+    stored, _ = staged(rows, "mix-documents")
     totals, _ = staged(stored.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "mix-sources")
     exponent = solve_exponent(totals, options)
     sums = totals.agg(F.coalesce(F.sum("tokens"), F.lit(1)).alias("t")).first()["t"]

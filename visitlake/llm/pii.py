@@ -24,6 +24,7 @@ from visitlake.sources.files import staged
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "structure", "gazetteer", "context", "border")
 ACCEPT = 0.9  # probability from which the classifier adds a candidate
+SHAPES = 64  # values that shapes of spans are hashed to
 CONTEXT = 40  # characters looked at beside a match
 EM_ROUNDS = 50
 PRIOR_RIGHT, PRIOR_WRONG = 8.0, 2.0
@@ -125,13 +126,16 @@ def _votes(kind: str, s: Column, wide: bool, valid: Column) -> Column:
 
 
 def _features(kind: str, s: Column, wide: bool) -> Column:
-    """What the span classifier looks at: binned shape and surroundings, `kind|name=value`."""
+    """What the span classifier looks at: binned shape and surroundings, `kind|name=value`.
+
+    Shapes are hashed to SHAPES values, so a kind has at most SHAPES + 45 features whatever the texts hold.
+    """
     match = s["match"]
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(match, r"[0-9]+", "9"), r"\p{L}+", "a"), r"(.{12}).+", "$1~")
     values = {
         "wide": F.lit(str(wide)),
         "length": F.least(F.floor(F.length(match) / 4), F.lit(10)).cast("string"),
-        "shape": shape if kind != "email" else F.lit("-"),
+        "shape": F.pmod(F.xxhash64(shape), F.lit(SHAPES)).cast("string") if kind != "email" else F.lit("-"),
         "digits": F.floor(4 * F.length(_digits(match)) / F.length(match)).cast("string"),
         "before": F.regexp_replace(F.regexp_replace(F.right(s["left"], F.lit(1)), r"\p{L}", "a"), r"[^a\x20\n(:=,;\"]", "?"),
         "after": F.regexp_replace(F.regexp_replace(F.left(s["right"], F.lit(1)), r"\p{L}", "a"), r"[^a\x20\n).,;:\"]", "?"),
@@ -260,7 +264,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = F.filter("candidates", lambda c: c["base"])
     added = F.filter("candidates", lambda c: c["wide"] & _accepted(model, c))
     split = stored.select(id_col, _bare(base).alias("base"), _bare(added).alias("added"))
-    extra = apart_from(F.col("added"), F.col("base"))
+    extra = apart_from(F.col("added"), F.col("base"), KINDS)
     by_kind = [F.array_sort(F.filter(F.concat("base", extra), of_kind(kind))) for kind in KINDS]
     return split.select(id_col, "base", F.concat(*by_kind).alias("spans"))
 

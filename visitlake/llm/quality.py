@@ -144,12 +144,15 @@ def fit_ranking(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Ranking of the rows of `docs` (id, text) that a sample of `labels` (id, quality) names.
 
     The sample is the SAMPLE_ROWS labels of either kind that come first in a hashed order, so it is small enough to
-    broadcast, and no text is shuffled.
+    broadcast, and no text but theirs is shuffled. Of rows that share an id, the one whose text hashes least
+    teaches, so the driver gets a row per drawn label at most.
     """
     drawn = [
         labels.filter(F.col("quality") == q).orderBy(fraction("id", "quality"), "id").limit(SAMPLE_ROWS) for q in (0, 1)
     ]
-    marked = docs.join(F.broadcast(drawn[0].unionByName(drawn[1])), "id").select("text", "quality")
+    marked = docs.join(F.broadcast(drawn[0].unionByName(drawn[1]).distinct()), "id")
+    first = F.min(F.struct(F.xxhash64("text").alias("order"), "text")).alias("first")
+    marked = marked.groupBy("id", "quality").agg(first).select("first.text", "quality")
     sample = marked.mapInArrow(_vectors, "quality int, x array<double>").toArrow()
     rows = np.array([x.values.to_numpy() for x in sample["x"]]).reshape(-1, len(NAMES) + HASHED)
     order = np.lexsort(rows.T[::-1]) if len(rows) else np.array([], dtype=int)  # not the order in which rows were read

@@ -138,8 +138,8 @@ def op8_source_mix(spark, sf):
 MIX_SQL = """
 with recursive
 docs as (
-  select doc_id, source, n_tokens, ('0x' || substr(md5(concat_ws(':', 'mix', coalesce(source, ''), coalesce(cast(doc_id as varchar), ''))), 1, 15))::bigint as place
-  from (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as n_tokens from {documents}) t
+  select doc_id, source, n_tokens, ('0x' || substr(md5(concat_ws(':', 'mix', coalesce(source, ''), coalesce(cast(doc_id as varchar), ''), coalesce(text, ''))), 1, 15))::bigint as place
+  from (select doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as n_tokens from {documents}) t
   where n_tokens > 0),
 totals as (select source, cast(sum(n_tokens) as bigint) as tokens from docs group by source),
 sizes as (select cast(sum(tokens) as bigint) as t, count(*) as n, min(tokens) as least, list(ln(tokens / s.total)) as logs

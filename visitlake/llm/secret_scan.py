@@ -19,7 +19,7 @@ from math import exp, inf, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.spans import apart_from, count_kind, digest, normal_cdf, with_matches, written
+from visitlake.llm.spans import apart_from, count_kind, digest, longest, normal_cdf, with_matches, written
 from visitlake.sources.files import staged
 
 KINDS = ("assign", "access", "hex", "random")
@@ -104,7 +104,7 @@ def _tested(candidates: Column) -> Column:
 
     def encoded(c: Column) -> Column:
         token = F.rtrim(c["match"], F.lit("="))
-        return F.struct(c["start"].alias("start"), c["end"].alias("end"), token.alias("token"), _inferred(token).alias("encoding"))
+        return F.struct(c["start"].alias("start"), c["end"].alias("end"), c["cut"].alias("cut"), token.alias("token"), _inferred(token).alias("encoding"))
 
     def measured(c: Column) -> Column:
         token, alphabet = c["token"], alphabet_of[c["encoding"]]
@@ -113,7 +113,7 @@ def _tested(candidates: Column) -> Column:
             lambda acc, symbol: acc + F.pow(F.length(token) - F.length(F.replace(token, symbol, F.lit(""))), F.lit(2.0)),
         )
         return F.struct(
-            c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"),
+            c["start"].alias("start"), c["end"].alias("end"), c["cut"].alias("cut"), c["encoding"].alias("encoding"),
             F.length(token).cast("double").alias("n"), F.length(alphabet).cast("double").alias("symbols"), squares.alias("squares"),
             ordinary(token).alias("ordinary"),
             F.call_function("translate", token, alphabet, halves_of[c["encoding"]]).alias("halves"),
@@ -124,7 +124,7 @@ def _tested(candidates: Column) -> Column:
         # a field of its own, since an expression inside a lambda is evaluated anew for each element
         mean = F.aggregate(c["codes"], F.lit(0.0), lambda a, x: a + x) / c["n"]
         return F.struct(
-            c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"), c["n"].alias("n"),
+            c["start"].alias("start"), c["end"].alias("end"), c["cut"].alias("cut"), c["encoding"].alias("encoding"), c["n"].alias("n"),
             (c["symbols"] - 1).alias("freedom"), (c["symbols"] / c["n"] * c["squares"] - c["n"]).alias("chi"),
             F.length(F.replace(c["halves"], F.lit("0"), F.lit(""))).cast("double").alias("high"),
             F.length(F.regexp_replace(c["halves"], "0+|1+", "x")).cast("double").alias("runs"),
@@ -147,7 +147,7 @@ def _tested(candidates: Column) -> Column:
         serial = F.when(squares == 0, F.lit(0.0)).otherwise(two_sided((products / squares + 1 / n) * F.sqrt(n)))
         combined = F.least(F.lit(1.0), 3 * F.least(uniform, runs, serial))
         return F.struct(
-            c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"),
+            c["start"].alias("start"), c["end"].alias("end"), c["cut"].alias("cut"), c["encoding"].alias("encoding"),
             combined.alias("p"), c["ordinary"].alias("ordinary"),
         )
 
@@ -166,9 +166,14 @@ def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
     """(row, text, base, tested): every row of `docs` with its base spans and its tested candidates."""
     packed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     matched = with_matches(packed, "text", _PATTERNS | {f"_{name}": (pattern, ()) for name, (pattern, _, _) in _PIECES.items()})
+
+    def cut_as(name: str, spans: Column) -> Column:
+        return F.transform(spans, lambda c: F.struct(
+            c["start"].alias("start"), c["end"].alias("end"), F.lit(name).alias("cut"), c["match"].alias("match")))
+
     def pieces_of(name: str) -> Column:
         _, beside, inside = _PIECES[name]
-        return F.filter(f"_{name}", lambda c: F.concat(c["left"], c["right"]).rlike(beside) & c["match"].rlike(inside))
+        return cut_as(name, F.filter(f"_{name}", lambda c: F.concat(c["left"], c["right"]).rlike(beside) & c["match"].rlike(inside)))
 
     valid = {
         "assign": lambda s: F.length(F.regexp_extract(s["match"], f"^{_ASSIGN}([A-Za-z0-9+/_.=-]+)$", 1)) >= 12,
@@ -176,8 +181,8 @@ def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
         "hex": lambda s: F.lit(True),
     }
     base = F.array_sort(F.concat(*[_ranked(F.filter(kind, valid[kind]), kind) for kind in KINDS[:3]]))
-    based = matched.select("row", "text", base.alias("base"), F.concat("random", *map(pieces_of, _PIECES)).alias("candidates"))
-    return based.select("row", "text", "base", _tested(apart_from(F.col("candidates"), F.col("base"))).alias("tested"))
+    based = matched.select("row", "text", base.alias("base"), F.concat(cut_as("random", F.col("random")), *map(pieces_of, _PIECES)).alias("candidates"))
+    return based.select("row", "text", "base", _tested(apart_from(F.col("candidates"), F.col("base"), KINDS[:3])).alias("tested"))
 
 
 def corpus_limits(tested: DataFrame) -> Limits:
@@ -200,19 +205,11 @@ def corpus_limits(tested: DataFrame) -> Limits:
     return Limits(limits)
 
 
-def _longest(spans: Column) -> Column:
-    """The spans that lie inside no longer one of them."""
-    def inside(s: Column, o: Column) -> Column:
-        return (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
-
-    # in an array of one, since an expression inside a lambda is evaluated anew for each element
-    return F.flatten(F.transform(F.array(spans), lambda all_: F.filter(all_, lambda s: ~F.exists(all_, lambda o: inside(s, o)))))
-
-
 def _all_spans(limits: Limits) -> Column:
     limit_of = F.create_map(*[F.lit(x) for name in _ALPHABETS for x in (name, limits.p_value.get(name, -inf))])
     random = F.filter("tested", lambda c: (c["p"] >= RANDOM_ALPHA) & (c["ordinary"] <= limit_of[c["encoding"]]))
-    return F.array_sort(F.concat("base", apart_from(_ranked(_longest(random), "random"), F.col("base"))))
+    found = longest(random, "cut", ("random", *_PIECES))
+    return F.array_sort(F.concat("base", apart_from(_ranked(found, "random"), F.col("base"), KINDS[:3])))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -83,10 +84,45 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
-def apart_from(spans: Column, kept: Column) -> Column:
-    """The spans that overlap none of `kept`."""
-    overlaps = lambda s: F.exists(kept, lambda k: (s["start"] < k["end"]) & (k["start"] < s["end"]))
-    return F.filter(spans, lambda s: ~overlaps(s))
+def _searchable(spans: Column) -> Column:
+    """Spans in order that do not overlap, with the steps of a binary search over them."""
+    steps = F.filter(F.array(*[F.lit(1 << b) for b in range(24, -1, -1)]), lambda p: p <= F.size(spans))
+    return F.struct(spans.alias("spans"), steps.alias("steps"))
+
+
+def _last_before(ordered: Column, place: Column) -> Column:
+    """The last span of a `_searchable` that starts before `place`; null if there is none."""
+    ahead = lambda at, step: F.coalesce(F.try_element_at(ordered["spans"], at + step)["start"] < place, F.lit(False))
+    number = F.aggregate(ordered["steps"], F.lit(0), lambda at, step: F.when(ahead(at, step), at + step).otherwise(at))
+    return F.when(number > 0, F.try_element_at(ordered["spans"], F.greatest(number, F.lit(1))))
+
+
+def _without(spans: Column, others: Column, field: str, values: tuple[str, ...], hides: Callable[[Column, Column], Column], place) -> Column:
+    """The `spans` that none of `others` hides.
+
+    Those of one value of `field` are in order and do not overlap, so only the last of them that starts before `place(span)` may.
+    """
+    def having(all_: Column, value: str) -> Column:
+        return _searchable(F.filter(all_["others"], lambda o: o[field] == value)).alias(value)
+
+    def hidden(of: Column, s: Column) -> Column:
+        return reduce(operator.or_, [F.coalesce(hides(_last_before(of[v], place(s)), s), F.lit(False)) for v in values])
+
+    # in arrays of one, since an expression inside a lambda is evaluated anew for each element
+    both = F.array(F.struct(spans.alias("spans"), others.alias("others")))
+    ordered = F.transform(both, lambda all_: F.struct(all_["spans"].alias("spans"), *[having(all_, v) for v in values]))
+    return F.flatten(F.transform(ordered, lambda of: F.filter(of["spans"], lambda s: ~hidden(of, s))))
+
+
+def apart_from(spans: Column, kept: Column, kinds: tuple[str, ...]) -> Column:
+    """The spans that overlap none of `kept`, whose spans of one kind are in order and do not overlap."""
+    return _without(spans, kept, "kind", kinds, lambda k, s: k["end"] > s["start"], lambda s: s["end"])
+
+
+def longest(spans: Column, field: str, values: tuple[str, ...]) -> Column:
+    """The spans that lie inside no longer one of them; those of one value of `field` are in order and do not overlap."""
+    longer = lambda o, s: (o["end"] >= s["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
+    return _without(spans, spans, field, values, longer, lambda s: s["start"] + 1)
 
 
 def normal_cdf(z: Column) -> Column:

@@ -21,7 +21,11 @@ QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
 PART_BLOCKS = 4  # blocks of candidates that one group of rows holds
 TILE = 128  # queries bounded together
-LEVELS = (1, 4, 16)  # segments per vector, coarse to fine
+FIRST = 2  # times k: the candidates of a block that a query scores before it prunes the others
+LEVELS = (1, 4, 16, 32)  # segments per vector, coarse to fine; those below its width are used
+_DENSE = 8  # pairs are scored one by one where fewer than one in so many is left
+_PAIRS = 1 << 16  # pairs scored at once
+_LOWEST = np.iinfo(np.int64).min
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -35,56 +39,104 @@ def segment_statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([means, deviations], axis=1)
 
 
+def _largest(values: np.ndarray) -> float:
+    return float(np.abs(values.astype(np.float64)).max(initial=0))
+
+
 def exact_products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Integer inner products; in floating point where that is exact, with Python's integers otherwise."""
-    top = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1])
+    """Integer inner products; in floating point where that is exact, with Python's integers otherwise.
+
+    A product that a 64-bit integer cannot hold ends in an OverflowError.
+    """
+    top = _largest(queries) * _largest(candidates) * max(1, queries.shape[1])
     if top < 2**53:
         return (queries.astype(np.float64) @ candidates.T.astype(np.float64)).astype(np.int64)
     return np.array(queries.astype(object) @ candidates.T.astype(object)).astype(np.int64)
 
 
+def survivors(queries: list[np.ndarray], candidates: list[np.ndarray], floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates that some query still wants after all levels, and which query wants which of them.
+
+    `queries` and `candidates` hold the statistics of each level. A level looks only at candidates that the
+    coarser ones left, and takes a pair away whose bound is below the query's floor.
+    """
+    alive = np.arange(len(candidates[0]))
+    mask = np.ones((len(floor), len(alive)), dtype=bool)
+    for q_stats, v_stats in zip(queries, candidates):
+        if not len(alive) or not np.isfinite(floor).any():
+            break
+        slack = 1e-9 * (1 + np.abs(q_stats).max(initial=0) * np.abs(v_stats).max(initial=0)) * q_stats.shape[1]
+        mask &= q_stats @ v_stats[alive].T + slack >= floor[:, None]
+        some = mask.any(axis=0)
+        alive, mask = alive[some], mask[:, some]
+    return alive, mask
+
+
+def _promising(queries: np.ndarray, candidates: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same as `survivors` gives, for the n candidates of each query with the highest bounds."""
+    mask = np.ones((len(queries), len(candidates)), dtype=bool)
+    if n < len(candidates):
+        mask[:] = False
+        np.put_along_axis(mask, np.argpartition(-(queries @ candidates.T), n, axis=1)[:, :n], True, axis=1)
+    alive = np.flatnonzero(mask.any(axis=0))
+    return alive, mask[:, alive]
+
+
+def _masked_products(queries: np.ndarray, candidates: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Exact products where `mask` holds, the least integer elsewhere; pair by pair where few pairs are left."""
+    scores = np.full(mask.shape, _LOWEST)
+    q, c = np.nonzero(mask)
+    if len(q) * _DENSE > mask.size:
+        return np.where(mask, exact_products(queries, candidates), scores)
+    for at in range(0, len(q), _PAIRS):
+        rows, columns = queries[q[at : at + _PAIRS]], candidates[c[at : at + _PAIRS]]
+        top = _largest(rows) * _largest(columns) * max(1, rows.shape[1])
+        kind = np.int64 if top < 2**62 else object
+        scores[q[at : at + _PAIRS], c[at : at + _PAIRS]] = (rows.astype(kind) * columns.astype(kind)).sum(axis=1)
+    return scores
+
+
 def block_top_k(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, floors: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query_id, vec_id, score) of each query's k best candidates of the block that reach its floor.
 
-    `floors` (changed in place) holds the score that k other candidates are known to reach.
+    `floors` (changed in place) holds the score that k other candidates are known to reach. Without floors each query first
+    scores the candidates with the highest bounds, whose scores then prune the others.
     """
-    wide = [(segment_statistics(queries, n), segment_statistics(vectors, n)) for n in LEVELS]
+    widths = [n for n in LEVELS if n < vectors.shape[1]] or [1]
+    of_candidates = [segment_statistics(vectors, n) for n in widths]
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for at in range(0, len(queries), TILE):
-        rows = slice(at, min(at + TILE, len(queries)))
-        floor = floors[rows]
-        alive = np.arange(len(ids))
-        bound = np.full((rows.stop - at, len(ids)), np.inf)
-        for q_stats, v_stats in wide:
-            slack = 1e-9 * (1 + np.abs(q_stats[rows]).max(initial=0) * np.abs(v_stats).max(initial=0)) * q_stats.shape[1]
-            bound = q_stats[rows] @ v_stats[alive].T + slack
-            keep = (bound >= floor[:, None]).any(axis=0)
-            alive, bound = alive[keep], bound[:, keep]
-        if not len(alive):
-            continue
-        scores = exact_products(queries[rows], vectors[alive])
-        lowest = np.iinfo(np.int64).min
-        scores[(bound < floor[:, None]) | (ids[alive][None, :] == query_ids[rows][:, None])] = lowest
+
+    def score(rows: slice, alive: np.ndarray, mask: np.ndarray) -> None:
+        mask = mask & (ids[alive][None, :] != query_ids[rows][:, None])
+        if not mask.any():
+            return
+        scores = _masked_products(queries[rows], vectors[alive], mask)
         if len(alive) > k:
             kth = np.partition(scores, len(alive) - k, axis=1)[:, len(alive) - k]
-            floors[rows] = np.maximum(floor, kth.astype(np.float64))
-        q, c = np.nonzero((scores >= floors[rows][:, None]) & (scores > lowest))
-        q_best, c_best = _best_k(q, ids[alive][c], scores[q, c], k)
-        found.append((query_ids[rows][q[q_best]], ids[alive][c[c_best]], scores[q[q_best], c[c_best]]))
+            floors[rows] = np.maximum(floors[rows], np.where(kth > _LOWEST, kth.astype(np.float64), -np.inf))
+        q, c = np.nonzero((scores >= floors[rows][:, None]) & (scores > _LOWEST))
+        best = _best_k(q, ids[alive][c], scores[q, c], k)
+        found.append((query_ids[rows][q[best]], ids[alive][c[best]], scores[q[best], c[best]]))
+
+    for at in range(0, len(queries), TILE):
+        rows = slice(at, min(at + TILE, len(queries)))
+        of_queries = [segment_statistics(queries[rows], n) for n in widths]
+        if not np.isfinite(floors[rows]).all():
+            score(rows, *_promising(of_queries[-1], of_candidates[-1], FIRST * k))
+        score(rows, *survivors(of_queries, of_candidates, floors[rows]))
     if not found:
         return (np.empty(0, dtype=np.int64),) * 3
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _best_k(group: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _best_k(group: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best rows of each group: highest scores, ties to the smaller id."""
     order = np.lexsort((ids, -scores, group))
     starts = np.flatnonzero(np.diff(group[order], prepend=-1))
     place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-    kept = order[place < k]
-    return kept, kept
+    return order[place < k]
 
 
 def _search(k: int, dtype: str):
