@@ -8,7 +8,7 @@ import pytest
 from helpers import DOCS, awkward, empty
 from pyspark.sql import functions as F
 
-from visitlake.llm import decontaminate, language, mixing, pii, quality, spans, topk
+from visitlake.llm import decontaminate, language, mixing, pii, quality, secret_scan, spans, topk
 
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
@@ -147,3 +147,34 @@ def test_a_text_of_one_word_meets_an_item_of_that_word_in_bounded_rows(spark):
     words, item = decontaminate.word_hashes("again " * 80_000), decontaminate.word_hashes("again " * 50)
     places, *_ = decontaminate._seed_places(item, words, decontaminate.gram_hashes(item))
     assert len(places) == 80_000 - 2  # one row a place, not one for each pair of places
+
+
+def test_replaced_spans_against_plain_python(spark):
+    """Overlapping, touching and repeated spans, texts of several blocks and code points outside the first plane."""
+    rng = random.Random(4)
+    rows = []
+    for n in range(200):
+        text = "".join(rng.choice("ab 😀é\n") for _ in range(rng.choice([60, 61, 2100])))
+        found = sorted((a, "xyz".index(kind), kind, b) for kind, a, b in some_spans(rng, "xyz", 6))
+        shift = rng.choice([0, len(text) - 60])
+        rows.append((text, [(a + shift, r, k, b + shift) for a, r, k, b in found for _ in range(1 + (n % 7 == 0))]))
+    df = spark.createDataFrame([*rows, ("", []), ("x", [])], "t string, s array<struct<start:int,rank:int,kind:string,end:int>>")
+    for r in df.select("t", "s", spans.replaced(F.col("t"), F.col("s"), ("x", "y", "z"), "[M]").alias("out")).collect():
+        at, expected = 0, ""
+        for s in r.s:
+            expected += r.t[at:s.start] + "[M]" if s.start >= at else ""
+            at = max(at, s.end)
+        assert r.out == expected + r.t[at:]
+
+
+@pytest.mark.parametrize("n", [20_000])
+def test_texts_of_many_findings(spark, n):
+    """One text of 20,000 secrets, another of 20,000 personal data, all found and replaced."""
+    rng = random.Random(3)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(32))
+    secrets = " ".join(key() for _ in range(n))
+    docs = spark.createDataFrame([(1, secrets, len(secrets))], "doc_id bigint, text string, n_chars bigint")
+    assert secret_scan.redact_secrets(docs).first().text == " ".join(["[SECRET]"] * n)
+    people = spark.createDataFrame([(1, " ".join(f"m{i}@ex{i}.com 10.0.{i % 256}.{i % 250}" for i in range(n // 2)))], "doc_id bigint, text string")
+    row = pii.personal_data_digest(pii.find_personal_data(people)).first()
+    assert (row.n_email, row.n_ip) == (n // 2, n // 2)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.spans import apart_from, count_kind, digest, with_matches, written
+from visitlake.llm.spans import apart_from, count_kind, digest, of_kind, with_matches, written
 from visitlake.sources.files import staged
 
 KINDS = ("email", "ip", "card", "phone")
@@ -269,10 +269,6 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return split.select(id_col, "base", F.concat(*by_kind).alias("spans"))
 
 
-def of_kind(kind: str):
-    return lambda s: s["kind"] == kind
-
-
 def personal_data_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts, digest and list of the spans of `find_personal_data`."""
     base = F.col("base")

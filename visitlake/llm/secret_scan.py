@@ -19,7 +19,7 @@ from math import exp, inf, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.spans import apart_from, count_kind, digest, longest, normal_cdf, with_matches, written
+from visitlake.llm.spans import apart_from, count_kind, digest, longest, normal_cdf, replaced, with_matches, written
 from visitlake.sources.files import staged
 
 KINDS = ("assign", "access", "hex", "random")
@@ -233,20 +233,6 @@ def secret_digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def _redacted(text: Column, spans: Column) -> Column:
-    """`text` with every stretch that spans cover replaced by REDACTED."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(REDACTED))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.when(fresh, piece).otherwise("")).alias("out")
-        )
-
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-
-
 def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """`docs` with every secret replaced in its text, and `length_col` (if there) counted anew where it was.
 
@@ -254,7 +240,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n
     """
     stored, _ = staged(_scanned(docs, text_col), "secret-scan")
     spans = stored.withColumn("spans", _all_spans(corpus_limits(stored.select("tested"))))
-    clean = spans.withColumn("clean", F.when(F.size("spans") > 0, _redacted(F.col("text"), F.col("spans"))))
+    clean = spans.withColumn("clean", F.when(F.size("spans") > 0, replaced(F.col("text"), F.col("spans"), KINDS, REDACTED)))
     columns = []
     for c in docs.columns:
         old = F.col("row").getField(c)
