@@ -325,6 +325,10 @@ ORACLES["event_table_scan"] = _with(**VALID) + """
   group by dt, en, pl"""
 ORACLES["raw_log_scan"] = _with(raw=RAW) + "select value from raw"
 ORACLES["ingest_stream_lines"] = ORACLES["raw_log_scan"]
+ORACLES["landing_rolled_by_size"] = f"""
+SELECT CAST(count(*) AS BIGINT) AS lines, CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS oversized
+FROM ({ORACLES["raw_log_scan"]}) t
+"""
 ORACLES["user_agents"] = _with(**RAW_PARTS) + f"select event_id, {AGENTS} from fields where b_iev is not null"
 ORACLES["url_params"] = _with(
     queried=f"select page_id, {_query('url')} as query from pages",

@@ -421,6 +421,20 @@ def ingest_stream_lines(spark, sf):
     return spark.read.text(dst).select("value")
 
 
+@query
+def landing_rolled_by_size(spark, sf):
+    """Lines and bytes landed in files of at most 64 KB, and how many files of several lines are larger (none)."""
+    dst, limit = scratch_dir(spark, "landed"), 64 << 10
+    ckpt = scratch_dir(spark, "ckpt")
+    ingest_stream(spark, _line_files(spark, sf), dst, ckpt, max_bytes_per_file=limit).awaitTermination()
+    size = (F.octet_length("value") + 1).cast("bigint")
+    files = spark.read.text(dst).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+    return files.agg(
+        F.sum("n").alias("lines"), F.sum("bytes").alias("bytes"),
+        F.count_if((F.col("bytes") > limit) & (F.col("n") > 1)).alias("oversized"),
+    )
+
+
 @query
 def etl_stream_events(spark, sf):
     dst = scratch_dir(spark, "stream-events")

@@ -2,6 +2,7 @@
 
 import os
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import plan
@@ -12,6 +13,7 @@ from visitlake import schema as S
 from visitlake.__main__ import main
 from visitlake.operators import hourly as H
 from visitlake.operators import visitors as V
+from visitlake.operators.lines import rolled_by_size
 from visitlake.plans.jobs import etl, run_etl, run_hourly, run_kpis
 from visitlake.sources import writers as W
 from visitlake.sources.readers import current_version, load_ip_ranges, read_event_logs, read_facts, read_raw_logs
@@ -204,6 +206,32 @@ def test_collected_lines_are_read_back(spark, sf_dir, tmp_path):
     assert sum(read_raw_logs(spark, dst, r.arrival_date).count() for r in arrived) == landed.count()
 
 
+def test_landed_files_roll_by_size(spark, tmp_path):
+    """No file above the limit but a longer line alone; every line is kept, files fill up, and a batch adds no column."""
+    src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
+    long = ["x" * 500, "é" * 3000, "y" * 9000]
+    values = [f"line {i} " + "ü" * (i % 90) for i in range(2000)] + long + ["", "last"]
+    spark.createDataFrame([(v,) for v in values], "value string").coalesce(2).write.text(src)
+    ST.ingest_stream(spark, src, dst, ckpt, max_bytes_per_file=4000).awaitTermination()
+    landed = spark.read.text(dst)
+    assert landed.columns == ["value", "arrival_date"]
+    assert sorted(r.value for r in landed.collect()) == sorted(values)
+    files = [p for p in Path(dst).rglob("*.txt") if "_incoming" not in p.parts]
+    sizes = {p: p.stat().st_size for p in files}
+    assert all(n <= 4000 or len(p.read_text().splitlines()) == 1 for p, n in sizes.items())
+    assert sorted(n for n in sizes.values() if n > 4000) == [6001, 9001]
+    total = sum(len(v.encode()) + 1 for v in values)
+    assert sum(sizes.values()) == total and len(files) <= total / 3000 + 5
+
+
+def test_roll_by_size_of_awkward_lines(spark):
+    df = spark.createDataFrame([(None,), ("",), ("a" * 8,)], "value string")
+    assert rolled_by_size(df.coalesce(1), 16).select("roll").distinct().count() == 2
+    assert rolled_by_size(df.limit(0), 16).count() == 0
+    with pytest.raises(ValueError):
+        rolled_by_size(df, 7)
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     fact = S.FactTable("t", ("k",), "n")
     batch = spark.createDataFrame([(1, 5, date(2024, 1, 1)), (2, 6, date(2024, 1, 1))], "k int, n bigint, created date")

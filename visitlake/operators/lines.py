@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake import schema as S
@@ -48,6 +48,26 @@ def parse_log_lines(
     return parsed.select(*lines.columns, "fields", "parse_error")
 
 
+def rolled_by_size(lines: DataFrame, max_bytes: int, value_col: str = "value", roll_col: str = "roll") -> DataFrame:
+    """Adds the name of the text file a line belongs in: none holds over `max_bytes`, newlines counted, but for a longer line alone.
+
+    Every partition fills files of its own, in order, by running sums of bytes; a line that takes over an eighth of a file gets
+    one to itself, so that the others fill seven eighths and the last of them still fits. Null lines take a newline.
+    """
+    if max_bytes < 8:
+        raise ValueError("a file holds at least 8 bytes")
+    size = F.coalesce(F.octet_length(value_col), F.lit(0)).cast("bigint") + 1
+    told = lines.withColumns({"_part": F.spark_partition_id(), "_number": F.monotonically_increasing_id(), "_size": size})
+    short = F.col("_size") <= max_bytes // 8
+    before = F.sum(F.when(short, F.col("_size")).otherwise(0)).over(
+        Window.partitionBy("_part").orderBy("_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_size")
+    part = F.col("_part").cast("string")
+    filled = F.concat_ws("-", part, F.floor(F.col("_before") / (max_bytes - max_bytes // 8)).cast("string"))
+    alone = F.concat_ws("-", part, F.lit("long"), F.col("_number").cast("string"))
+    return told.withColumn("_before", before).withColumn(roll_col, F.when(short, filled).otherwise(alone)).drop(
+        "_part", "_number", "_size", "_before")
+
+
 def required_fields(platform: Column, event: Column, strict: bool = False) -> Column:
     """Names of the fields an event must carry; null when the platform does not send such events."""
     needed = None

@@ -89,14 +89,18 @@ def write_periods(df: DataFrame, table: str, period: str, always: tuple[str, ...
     return sorted(parts)
 
 
-def append_batch(writer: DataFrameWriter, spark: SparkSession, root: str, levels: int, label: str) -> None:
+def append_batch(writer: DataFrameWriter, spark: SparkSession, root: str, levels: int, label: str, inner: str | None = None) -> None:
     """Adds the files of a stream's batch below `levels` partition directories of `root`, in a directory `label` of their own.
 
-    They are written aside and then put in place; a batch that is repeated replaces what it wrote before.
+    They are written aside and then put in place; a batch that is repeated replaces what it wrote before. Directories of a
+    last partition column `inner` become plain ones, so that it is no column of the table.
     """
     base = root.rstrip("/")
     incoming = f"{base}/_incoming/{label}"
     writer.mode("overwrite").save(incoming)
+    for path in matching(spark, incoming + "/*=*" * levels + f"/{inner}=*") if inner else []:
+        above, _, name = path.rpartition(f"/{inner}=")
+        move(spark, path, f"{above}/{name}")
     for path in matching(spark, incoming + "/*=*" * levels):
         move(spark, path, f"{base}/{'/'.join(path.rsplit('/', levels)[1:])}/{label}")
     delete(spark, incoming)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from visitlake import schema as S
 from visitlake.functions.timeparts import arrival_date
 from visitlake.operators.lines import (
-    classify_events, event_digest, parse_log_lines, to_event_rows, valid_events, with_agent_fields,
+    classify_events, event_digest, parse_log_lines, rolled_by_size, to_event_rows, valid_events, with_agent_fields,
 )
 from visitlake.sources.event_table import put_events
 from visitlake.sources.writers import append_batch, upsert_table
@@ -53,15 +53,21 @@ def ingest_stream(
     checkpoint: str,
     tz: str = "UTC",
     trigger: str | None = None,
-    max_records_per_file: int = 1_000_000,
+    max_records_per_file: int = 0,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_file: int = 128 << 20,
 ) -> StreamingQuery:
-    """Lands new lines unchanged in `dst`, one directory per date of arrival."""
+    """Lands new lines unchanged in `dst`, one directory per date of arrival.
+
+    A file is full at `max_bytes_per_file`; only a line longer than that makes a larger one, for itself. `max_records_per_file`
+    bounds lines as well (0: no bound).
+    """
     lines = read_line_stream(spark, src, max_files_per_trigger).withColumn("arrival_date", arrival_date(tz))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.format("text").partitionBy("arrival_date").option("maxRecordsPerFile", max_records_per_file)
-        append_batch(writer, batch.sparkSession, dst, 1, _batch_label(checkpoint, batch_id))
+        rolled = rolled_by_size(batch, max_bytes_per_file)
+        writer = rolled.write.format("text").partitionBy("arrival_date", "roll").option("maxRecordsPerFile", max_records_per_file)
+        append_batch(writer, batch.sparkSession, dst, 1, _batch_label(checkpoint, batch_id), "roll")
 
     return _start(lines.writeStream.foreachBatch(land), checkpoint, trigger)
 
