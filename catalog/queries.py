@@ -342,7 +342,7 @@ def _with_region(df: DataFrame) -> DataFrame:
 
 @query
 def ip_region(spark, sf):
-    return _with_region(I.with_ip_address(_addresses(spark, sf), X.ip_ranges(spark, sf)))
+    return _with_region(I.with_ip_address(_addresses(spark, sf), X.ip_ranges(spark, sf), overlaps=I.EVERY))
 
 
 @query

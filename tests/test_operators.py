@@ -270,3 +270,29 @@ def test_upsert(spark):
 def test_reference_tables(spark):
     assert D.event_types(spark).count() == 6
     assert [r[0] for r in D.kpi_dimension(spark).collect()] == [*S.STATS_KPIS, *S.HOURLY_KPIS]
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_overlapping_ranges_are_looked_up(spark, seed, max_rows):
+    """Nested, crossing, equal and repeated ranges, also across borders of prefixes: every one of an address, or the last."""
+    rng, top = random.Random(seed), 10 << 24
+    ranges = []
+    for n in range(120):
+        begin, width = top + rng.randrange(3000), rng.choice([1, 2, 200, 256, 700, 2000])
+        ranges.append((begin, begin + width - 1, f"c{n % 50}", "a"))
+    ranges += [(top - 70_000, top + 140_000, "wide", "a"), ranges[0], (ranges[1][0], ranges[1][1], "other", "a")]
+    ips = [ip for r in ranges for ip in (r[0] - 1, r[0], r[1], r[1] + 1)] + [None] * 50 + [0, top - 70_001]
+    df = spark.createDataFrame(list(enumerate(ips)), "n int, ip bigint").repartition(4)
+    table = spark.createDataFrame(ranges, S.IP_RANGE_SCHEMA).select("begin_ip", "end_ip", "country")
+    holding = {n: [r for r in ranges if ip is not None and r[0] <= ip <= r[1]] for n, ip in enumerate(ips)}
+    every = join_ip_range(df, table, "ip", max_rows=max_rows, overlaps="every")
+    assert sorted((r.n, r.country or "") for r in every.collect()) == sorted(
+        (n, c) for n, held in holding.items() for c in [r[2] for r in held] or [""])
+    last = join_ip_range(df, table, "ip", max_rows=max_rows, overlaps="last")
+    assert sorted((r.n, r.country or "") for r in last.collect()) == [
+        (n, max(held, key=lambda r: (r[0], -r[1], r[2]))[2] if held else "") for n, held in holding.items()]
+    for joined in (every, last):
+        assert "NestedLoop" not in plan(joined) and "Cartesian" not in plan(joined)
+    with pytest.raises(ValueError, match="overlaps is one of"):
+        join_ip_range(df, table, "ip", overlaps="some")

@@ -4,11 +4,14 @@ Ranges do not overlap, so every address lies in at most one. A range is filed un
 prefix its two ends share (0 to 3 bytes). Under one 3-byte prefix there are at most 256 ranges, and under a
 shorter one at most 255, because each such range crosses a border between two values of the next byte. An
 address therefore has four buckets to look in, each of bounded size, and the lookup is a set of equi-joins.
+
+Tables whose ranges overlap are refused, unless the caller says what an address in several ranges means: a row for EVERY
+one, or the range that begins LAST. Those are filed under every 3-byte prefix they touch and met by one join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions.ip import address_text, ip_to_long, long_to_ip
@@ -19,6 +22,10 @@ from visitlake.schema import UNKNOWN_AREA, UNKNOWN_COUNTRY
 NARROW_BITS = (24, 16)
 WIDE_BITS = (8, 0)
 
+# What becomes of an address in several ranges: an error, a row for each of them, or the one that begins last (of
+# those, the one that ends first).
+REFUSE, EVERY, LAST = "refuse", "every", "last"
+
 
 def find_ip_ranges(ranges: DataFrame, text: str) -> DataFrame:
     """Ranges whose country or area contains `text`, with their ends in dotted form."""
@@ -50,15 +57,28 @@ def find_overlaps(ranges: DataFrame) -> DataFrame:
     return _by_octet(ranges).filter("_overlaps").select("begin_ip", "end_ip").distinct()
 
 
-def fits_broadcast(ranges: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows and bytes of `ranges` stay within the bounds; overlapping ranges are an error. One distributed pass."""
+def _measured(ranges: DataFrame, overlaps: str = REFUSE) -> Row:
+    """Rows `n` and bytes `b` of `ranges`, the same filed under all prefixes (`filed_n`, `filed_b`), and whether any `overlaps`.
+
+    One distributed pass. Overlaps are an error unless the caller knows what they mean.
+    """
+    if overlaps not in (REFUSE, EVERY, LAST):
+        raise ValueError(f"overlaps is one of {REFUSE}, {EVERY} and {LAST}, not {overlaps}")
     once = F.col("_octet") == F.shiftright("begin_ip", 24)
+    filed = F.shiftright("end_ip", 8) - F.shiftright("begin_ip", 8) + 1
+    total = lambda c: F.coalesce(F.sum(F.when(once, c)), F.lit(0))
     counted = _by_octet(ranges).agg(
-        F.count_if(once).alias("n"), F.coalesce(F.sum(F.when(once, F.col("_bytes"))), F.lit(0)).alias("b"),
-        F.count_if("_overlaps").alias("overlaps"),
+        F.count_if(once).alias("n"), total(F.col("_bytes")).alias("b"), total(filed).alias("filed_n"),
+        total(filed * F.col("_bytes")).alias("filed_b"), (F.count_if("_overlaps") > 0).alias("overlaps"),
     ).first()
-    if counted["overlaps"]:
+    if counted["overlaps"] and overlaps == REFUSE:
         raise ValueError(f"overlapping IP ranges, such as {find_overlaps(ranges).take(3)}")
+    return counted
+
+
+def fits_broadcast(ranges: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows and bytes of `ranges` stay within the bounds; overlapping ranges are an error. One distributed pass."""
+    counted = _measured(ranges)
     return counted["n"] <= max_rows and counted["b"] <= max_bytes
 
 
@@ -81,17 +101,23 @@ def join_ip_range(
     ip_col: str,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    overlaps: str = REFUSE,
 ) -> DataFrame:
     """Left join of `df` to the range (`begin_ip` to `end_ip`) that holds the numeric address `ip_col`.
 
     Adds the other columns of `ranges`; they must not be null, so that null means no range. Overlapping ranges are an
-    error, so no row of `df` is doubled. Ranges that pass a size check are broadcast and the rows of `df` never move.
-    Otherwise they meet by one shuffled join; either way `df` is read once.
+    error, so no row of `df` is doubled, unless `overlaps` is EVERY (a row for each range that holds the address) or LAST
+    (the range that begins last, of those the one that ends first). Ranges that pass a size check are broadcast and the
+    rows of `df` never move. Otherwise they meet by one shuffled join; either way `df` is read once.
     """
     values = [c for c in ranges.columns if c not in ("begin_ip", "end_ip")]
-    if fits_broadcast(ranges, max_rows, max_bytes):
+    counted = _measured(ranges, overlaps)
+    if counted["overlaps"]:
+        small = counted["filed_n"] <= max_rows and counted["filed_b"] <= max_bytes
+        return _by_prefix_lookup(df, ranges, ip_col, values, small, overlaps)
+    if counted["n"] <= max_rows and counted["b"] <= max_bytes:
         return _probe(df, _file_ranges(ranges), ip_col, values, (*NARROW_BITS, *WIDE_BITS))
-    return _shuffled_lookup(df, ranges, ip_col, values)
+    return _by_prefix_lookup(df, ranges, ip_col, values)
 
 
 def _probe(df: DataFrame, filed: DataFrame, ip_col: str, values: list[str], levels: tuple[int, ...]) -> DataFrame:
@@ -116,8 +142,8 @@ def _probe(df: DataFrame, filed: DataFrame, ip_col: str, values: list[str], leve
 def _by_prefix(ranges: DataFrame) -> DataFrame:
     """Ranges filed under every 3-byte prefix they touch.
 
-    Ranges do not overlap, so a prefix has at most 256 of them and a table at most 2^24 rows more than it has ranges. Wide
-    ranges are cut by 2-byte prefixes first, so no row makes more than 65536.
+    Where ranges do not overlap, a prefix has at most 256 of them and a table at most 2^24 rows more than it has ranges; every
+    overlapping one may add as many as it is wide. Wide ranges are cut by 2-byte prefixes first, so no row makes more than 65536.
     """
     blocks = F.explode(F.sequence(F.shiftright("begin_ip", 16), F.shiftright("end_ip", 16))).alias("_block")
     first, last = F.shiftright("begin_ip", 8), F.shiftright("end_ip", 8)
@@ -125,10 +151,29 @@ def _by_prefix(ranges: DataFrame) -> DataFrame:
     return ranges.select("*", blocks).select("*", F.explode(inside).alias("_prefix")).drop("_block")
 
 
-def _shuffled_lookup(df: DataFrame, ranges: DataFrame, ip_col: str, values: list[str]) -> DataFrame:
+def _best_first(filed: DataFrame) -> DataFrame:
+    """(_prefix, _held): the ranges that can be the LAST one of an address below a prefix, that one before others.
+
+    Of ranges that hold the same addresses below a prefix only one can be, which is found before anything is listed; what
+    is left is bounded by the pairs of 256 addresses.
+    """
+    first = F.col("_prefix") * 256
+    order = F.struct(F.col("begin_ip"), -F.col("end_ip"), F.to_json("_value"))
+    best = filed.withColumn("_order", order).groupBy(
+        "_prefix", F.greatest("begin_ip", first).alias("_from"), F.least("end_ip", first + 255).alias("_to")
+    ).agg(F.max("_order").alias("_order"), F.max_by("_value", "_order").alias("_value"))
+    listed = F.collect_list(F.struct("_order", "_from", "_to", "_value"))
+    larger_first = lambda x, y: F.when(x["_order"] > y["_order"], -1).when(x["_order"] < y["_order"], 1).otherwise(0)
+    return best.groupBy("_prefix").agg(listed.alias("_held")).withColumn("_held", F.array_sort("_held", larger_first))
+
+
+def _by_prefix_lookup(
+    df: DataFrame, ranges: DataFrame, ip_col: str, values: list[str], small: bool = False, overlaps: str = REFUSE
+) -> DataFrame:
     """One left join on the 3-byte prefix of the address; rows of a hot prefix are split by adaptive execution.
 
-    Rows without an address are spread by a hash of the row, as they would meet in one task otherwise.
+    Rows without an address are spread by a hash of the row, as they would meet in one task otherwise. `small` tables are
+    broadcast. Overlapping ranges bring a row each, or with LAST are listed by prefix, so that rows are not doubled.
     """
     ip = F.col("_ip")
     nowhere = -1 - F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(1 << 20))
@@ -137,8 +182,13 @@ def _shuffled_lookup(df: DataFrame, ranges: DataFrame, ip_col: str, values: list
         F.coalesce(F.shiftright(F.col(ip_col), 8), nowhere).alias("_key"),
     )
     filed = _by_prefix(ranges).select("_prefix", "begin_ip", "end_ip", F.struct(*values).alias("_value"))
-    found = (F.col("_key") == F.col("_prefix")) & ip.between(F.col("begin_ip"), F.col("end_ip"))
-    located = keyed.join(filed, found, "left")
+    same = F.col("_key") == F.col("_prefix")
+    dealt = F.broadcast if small else lambda side: side
+    if overlaps == LAST:
+        holding = F.filter("_held", lambda r: ip.between(r["_from"], r["_to"]))
+        located = keyed.join(dealt(_best_first(filed)), same, "left").withColumn("_value", F.get(holding, F.lit(0))["_value"])
+    else:
+        located = keyed.join(dealt(filed), same & ip.between(F.col("begin_ip"), F.col("end_ip")), "left")
     return located.select("_row.*", *[F.col("_value")[v].alias(v) for v in values])
 
 
