@@ -348,7 +348,7 @@ def ip_region(spark, sf):
 @query
 def ip_region_shuffled(spark, sf):
     """The same lookup by the way taken for range tables too large to broadcast."""
-    return _with_region(I.with_ip_address(_addresses(spark, sf), X.ip_ranges(spark, sf), max_rows=0))
+    return _with_region(I.with_ip_address(_addresses(spark, sf), X.ip_ranges(spark, sf), max_rows=0, overlaps=I.EVERY))
 
 
 @query
