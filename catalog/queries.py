@@ -394,7 +394,7 @@ def raw_log_scan(spark, sf):
 def ip_range_table(spark, sf):
     path = scratch_dir(spark, "ip-ranges")
     X.ip_ranges(spark, sf).write.parquet(path)
-    return load_ip_ranges(spark, path)
+    return load_ip_ranges(spark, path, overlaps=I.EVERY)
 
 
 @query

@@ -224,6 +224,14 @@ def test_landed_files_roll_by_size(spark, tmp_path):
     assert sum(sizes.values()) == total and len(files) <= total / 3000 + 5
 
 
+def test_range_table_with_overlaps(spark, tmp_path):
+    path, ranges = str(tmp_path / "ranges"), [(1, 9, "x", "y"), (1, 9, "x", "y"), (3, 4, "z", "")]
+    spark.createDataFrame(ranges, S.IP_RANGE_SCHEMA).write.parquet(path)
+    assert sorted(tuple(r) for r in load_ip_ranges(spark, path, overlaps="every").collect()) == ranges
+    with pytest.raises(ValueError, match="overlapping"):
+        load_ip_ranges(spark, path)
+
+
 def test_roll_by_size_of_awkward_lines(spark):
     df = spark.createDataFrame([(None,), ("",), ("a" * 8,)], "value string")
     assert rolled_by_size(df.coalesce(1), 16).select("roll").distinct().count() == 2

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from visitlake import schema as S
 from visitlake.operators.dimensions import first_ids
-from visitlake.operators.ip_ranges import find_overlaps
+from visitlake.operators.ip_ranges import REFUSE, find_overlaps
 from visitlake.sources.event_table import day_dir, has_day, live_paths, read_paths
 from visitlake.sources.files import children, exists, matching, spread
 
@@ -45,8 +45,11 @@ def read_event_logs(spark: SparkSession, root: str, start: date, end: date) -> D
     return read_paths(spark, root, paths).filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
 
 
-def load_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """IP ranges (begin_ip, end_ip, country, area); unusable and overlapping ranges are an error."""
+def load_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet", overlaps: str = REFUSE, **options) -> DataFrame:
+    """IP ranges (begin_ip, end_ip, country, area); unusable ranges are an error.
+
+    So are overlapping ones, unless `overlaps` says that the lookup will know what they mean (`join_ip_range`).
+    """
     ranges = spark.read.format(fmt).options(**options).schema(S.IP_RANGE_SCHEMA).load(path)
     usable = F.coalesce(
         (F.col("begin_ip") >= 0) & (F.col("begin_ip") <= F.col("end_ip")) & (F.col("end_ip") < 1 << 32), F.lit(False)
@@ -54,9 +57,9 @@ def load_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     begin = F.when(usable, F.col("begin_ip")).otherwise(F.raise_error(F.lit("unusable IP range")).cast("bigint"))
     text = {c: F.coalesce(c, F.lit("")) for c in ("country", "area")}
     checked = ranges.withColumns({"begin_ip": begin, **text})
-    overlaps = find_overlaps(checked).take(3)
-    if overlaps:
-        raise ValueError(f"overlapping IP ranges, such as {overlaps}")
+    found = find_overlaps(checked).take(3) if overlaps == REFUSE else []
+    if found:
+        raise ValueError(f"overlapping IP ranges, such as {found}")
     return checked
 
 
