@@ -304,7 +304,7 @@ def dedupe_events(spark, sf):
 
 @query
 def etl_events(spark, sf):
-    rows, _ = etl(X.raw(spark, sf).select("value"), X.ip_ranges(spark, sf))
+    rows, _ = etl(X.raw(spark, sf).select("value"), X.ip_ranges(spark, sf), overlaps=I.EVERY)
     return rows.select("time_in_day", *_ROW, F.size("extra").alias("n_extra"))
 
 

@@ -163,3 +163,18 @@ def test_regions_of_events(spark, max_rows):
     rows = L.to_event_rows(valid, ranges, max_rows=max_rows).collect()
     assert {r.ip or "%20": (r.country, r.province, r.city) for r in rows} == ips
     assert L.to_event_rows(valid).filter("country = 'X'").count() == 4
+
+
+@pytest.mark.parametrize("max_rows", [1000, 0])
+def test_events_in_overlapping_ranges(spark, max_rows):
+    """Copies of a line are one event; it has a row for every range that holds its address, or one row."""
+    ranges = spark.createDataFrame(
+        [(0x01020300, 0x010203FF, "美国", "x"), (0x01000000, 0x01FFFFFF, "美国", "y"), (0x01020000, 0x0102FFFF, "北京市海淀区", "z")],
+        S.IP_RANGE_SCHEMA,
+    )
+    lines = [f"{ip}^A1.5^A/x?en=e_l&pl=website&country={c}" for ip in ("1.2.3.4", "1.2.9.9", "7.1.1.1") for c in "XY"]
+    valid = L.valid_events(classified(spark, lines))
+    rows = lambda how: sorted((r.ip, r.country) for r in L.to_event_rows(valid, ranges, max_rows=max_rows, overlaps=how).collect())
+    assert rows("every") == [("1.2.3.4", "中国"), ("1.2.3.4", "美国"), ("1.2.3.4", "美国"), ("1.2.9.9", "中国"), ("1.2.9.9", "美国"),
+                             ("7.1.1.1", "未知国家")]
+    assert rows("last") == [("1.2.3.4", "美国"), ("1.2.9.9", "中国"), ("7.1.1.1", "未知国家")]

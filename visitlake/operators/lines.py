@@ -13,7 +13,7 @@ from visitlake.functions.params import (
 )
 from visitlake.functions.text import blank_to_null, is_blank, trim_controls, whole_number
 from visitlake.functions.timeparts import event_date, midnight_millis
-from visitlake.operators.ip_ranges import join_ip_range
+from visitlake.operators.ip_ranges import EVERY, join_ip_range
 
 RESERVED_FIELDS = ["ip", "s_time", *S.REGION_COLUMNS, *S.AGENT_COLUMNS]
 
@@ -221,6 +221,12 @@ def event_digest(valid: DataFrame, located: bool) -> Column:
     return F.sha2(F.encode(content, "UTF-8"), 256)
 
 
+def dedupe_lines(valid: DataFrame, keep: list[str], located: bool) -> DataFrame:
+    """Keeps one of several valid lines that `dedupe_events` would take for one event, before regions are looked up."""
+    named = with_agent_fields(valid)
+    return named.withColumn("_digest", event_digest(named, located)).dropDuplicates([*keep, "_digest"]).drop("_digest")
+
+
 def drop_blanks(events: DataFrame) -> DataFrame:
     """Blank values become null; blank names and values leave `extra`."""
     cleaned = {c: blank_to_null(F.col(c)) for c in S.TEXT_COLUMNS}
@@ -236,8 +242,15 @@ def to_event_rows(
     keep: list[str] | None = None,
     **join_options,
 ) -> DataFrame:
-    """Valid parsed lines -> rows of the event table (without its day column)."""
-    located = add_region(valid.select(*(keep or []), "fields"), ip_ranges, **join_options)
+    """Valid parsed lines -> rows of the event table (without its day column).
+
+    `join_options` go to `join_ip_range`. Where an event gets a row for EVERY range that holds its address, duplicates leave
+    before the lookup, since two ranges may name one place.
+    """
+    lines = valid.select(*(keep or []), "fields")
+    if dedupe and ip_ranges is not None and join_options.get("overlaps") == EVERY:
+        lines, dedupe = dedupe_lines(lines, keep or [], True), False
+    located = add_region(lines, ip_ranges, **join_options)
     events = add_user_agent(to_event_columns(located, keep))
     keyed = with_row_key(events, tz).select(*(keep or []), *S.EVENT_COLUMNS)
     return drop_blanks(dedupe_events(keyed) if dedupe else keyed)
