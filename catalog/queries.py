@@ -439,7 +439,7 @@ def landing_rolled_by_size(spark, sf):
 def etl_stream_events(spark, sf):
     dst = scratch_dir(spark, "stream-events")
     etl_stream(
-        spark, _line_files(spark, sf), dst, scratch_dir(spark, "ckpt"), X.ip_ranges(spark, sf)
+        spark, _line_files(spark, sf), dst, scratch_dir(spark, "ckpt"), X.ip_ranges(spark, sf), overlaps=I.EVERY
     ).awaitTermination()
     events = spark.read.schema(S.EVENT_SCHEMA).parquet(dst)
     return events.select("time_in_day", *_ROW, F.size("extra").alias("n_extra"))
