@@ -492,12 +492,12 @@ def shared_day_scan(spark, sf):
     part = F.pmod(F.xxhash64("value"), F.lit(4))
     for n in range(3):
         lines.filter(part == n).coalesce(1).write.mode("append").text(src)
-        etl_stream(spark, src, root, checkpoint, ranges).awaitTermination()
+        etl_stream(spark, src, root, checkpoint, ranges, overlaps=I.LAST).awaitTermination()
     # the stream decides which day it is
     today = max(date.fromisoformat(name.removeprefix("dt=")) for name in children(spark, root) if name.startswith("dt="))
     lines.filter(part == 3).write.text(f"{raw}/{today:%Y/%m/%d}")
     for _ in range(2):
-        run_etl(spark, raw, root, today, ranges)
+        run_etl(spark, raw, root, today, ranges, overlaps=I.LAST)
     compact_day(spark, root, today)
     events = read_event_logs(spark, root, today - timedelta(days=1), today + timedelta(days=1))
     return events.groupBy("en", "pl").agg(F.count("*").alias("events"), F.sum("s_time").alias("time_sum"))
