@@ -474,9 +474,9 @@ def stream_then_batch_scan(spark, sf):
     first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
     for part, options in ((first, {}), (~first, {"max_rows": 0})):
         lines.filter(part).write.mode("append").text(src)
-        etl_stream(spark, src, root, checkpoint, ranges, **options).awaitTermination()
+        etl_stream(spark, src, root, checkpoint, ranges, overlaps=I.LAST, **options).awaitTermination()
     lines.write.text(f"{raw}/{X.RUN_DATE:%Y/%m/%d}")
-    run_etl(spark, raw, root, X.RUN_DATE, ranges)
+    run_etl(spark, raw, root, X.RUN_DATE, ranges, overlaps=I.LAST)
     now = datetime.now(timezone.utc).date()
     windows = ((False, X.RUN_DATE, X.RUN_DATE + timedelta(days=1)), (True, now - timedelta(days=1), now + timedelta(days=2)))
     parts = [read_event_logs(spark, root, a, b).withColumn("streamed", F.lit(streamed)) for streamed, a, b in windows]
