@@ -22,7 +22,7 @@ from visitlake.operators import rollups as R
 from visitlake.operators import visitors as V
 from visitlake.plans.jobs import etl, run_etl, run_hourly, run_hourly_increment, run_kpis, run_kpis_by_days
 from visitlake.sources.event_table import compact_day, put_events
-from visitlake.sources.files import children, scratch_dir, staged
+from visitlake.sources.files import children, delete, scratch_dir, staged
 from visitlake.sources.hour_table import read_hours
 from visitlake.sources.readers import (
     current_version, load_ip_ranges, read_event_logs, read_facts, read_hourly, read_raw_logs,
@@ -374,11 +374,13 @@ def event_log_view(spark, sf):
 def event_table_scan(spark, sf):
     """The event table written for two days, one of them twice, and read back over a window."""
     root = scratch_dir(spark, "events")
-    rows, _ = etl(X.raw(spark, sf).select("value"))
+    # stored once, since three writes read it
+    rows, path = staged(etl(X.raw(spark, sf).select("value"))[0], "event-rows")
     later = X.RUN_DATE + timedelta(days=1)
     write_event_logs(rows.filter(F.col("en") == S.ACTIVITY), root, X.RUN_DATE)
     write_event_logs(rows, root, X.RUN_DATE)
     write_event_logs(rows.filter(F.col("en") == S.LAUNCH), root, later)
+    delete(spark, path)
     events = read_event_logs(spark, root, X.RUN_DATE, X.RUN_DATE + timedelta(days=7))
     return events.groupBy("dt", "en", "pl").agg(F.count("*").alias("events"), F.sum("s_time").alias("time_sum"))
 

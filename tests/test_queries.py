@@ -4,12 +4,14 @@ import os
 from datetime import datetime, timedelta
 
 import __spark_entry__ as E
+import catalog.queries as Q
 import duckdb
 import pytest
 from catalog.fixtures import TABLES
 from catalog.oracle import ORACLES
 from catalog.queries import QUERIES
 from compare import compare, oracle
+from conftest import plan
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +62,11 @@ def test_overlapping_ranges(spark, overlapping, name):
         assert con.execute(f"select count(*) > count(distinct event_id) from ({ORACLES[name]})").fetchone()[0]
     ok, note = compare(spark, con, str(overlapping), name)
     assert ok, note
+
+
+def test_event_table_is_written_from_stored_rows(spark, sf_dir, monkeypatch):
+    """The lines are parsed once, not once a write."""
+    written, write = [], Q.write_event_logs
+    monkeypatch.setattr(Q, "write_event_logs", lambda rows, *args: (written.append(plan(rows)), write(rows, *args)))
+    Q.event_table_scan(spark, sf_dir)
+    assert len(written) == 3 and not any("regexp_extract_all" in text for text in written)
