@@ -13,7 +13,7 @@ from visitlake import schema as S
 from visitlake.__main__ import main
 from visitlake.operators import hourly as H
 from visitlake.operators import visitors as V
-from visitlake.operators.lines import rolled_by_size
+from visitlake.operators.lines import packed_by_size, rolled_by_size
 from visitlake.plans.jobs import etl, run_etl, run_hourly, run_kpis
 from visitlake.sources import writers as W
 from visitlake.sources.readers import current_version, load_ip_ranges, read_event_logs, read_facts, read_raw_logs
@@ -224,6 +224,33 @@ def test_landed_files_roll_by_size(spark, tmp_path):
     assert sum(sizes.values()) == total and len(files) <= total / 3000 + 5
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_small_landed_files_are_not_moved(spark, tmp_path, monkeypatch, packed):
+    """Files that may be a row are written in place, so moves do not grow with them; others come by directories."""
+    moves, move = [], W.move
+    monkeypatch.setattr(W, "move", lambda spark, *paths: (moves.append(paths), move(spark, *paths)))
+    if not packed:
+        monkeypatch.setattr(ST, "PACKED_BYTES", 0)
+    src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
+    values = [f"{i:05d}" + "é" * (i % 50) for i in range(3000)] + ["", "z" * 700]
+    spark.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.text(src)
+    ST.ingest_stream(spark, src, dst, ckpt, max_bytes_per_file=1000).awaitTermination()
+    landed = spark.read.text(dst)
+    assert landed.columns == ["value", "arrival_date"] and sorted(r.value for r in landed.collect()) == sorted(values)
+    files = [p for p in Path(dst).rglob("*.txt") if "_incoming" not in p.parts]
+    assert all(p.stat().st_size <= 1000 for p in files) and len(files) > 150
+    for text in (p.read_text() for p in files):  # lines of a file stay in order
+        told = [line for line in text.splitlines() if line]
+        assert told == sorted(told)
+    assert (len(moves) <= 2) == packed
+
+
+def test_packed_lines_of_awkward_texts(spark):
+    df = spark.createDataFrame([(None, 1), ("", 1), ("a" * 8, 2), ("b", 2)], "value string, day int").coalesce(1)
+    assert sorted((r.value, r.day) for r in packed_by_size(df, 16, ["day"]).collect()) == [("\n", 1), ("a" * 8, 2), ("b", 2)]
+    assert packed_by_size(df.limit(0), 16, ["day"]).count() == 0
+
+
 def test_range_table_with_overlaps(spark, tmp_path):
     path, ranges = str(tmp_path / "ranges"), [(1, 9, "x", "y"), (1, 9, "x", "y"), (3, 4, "z", "")]
     spark.createDataFrame(ranges, S.IP_RANGE_SCHEMA).write.parquet(path)

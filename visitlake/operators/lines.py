@@ -54,6 +54,21 @@ def rolled_by_size(lines: DataFrame, max_bytes: int, value_col: str = "value", r
     Every partition fills files of its own, in order, by running sums of bytes; a line that takes over an eighth of a file gets
     one to itself, so that the others fill seven eighths and the last of them still fits. Null lines take a newline.
     """
+    return _rolled(lines, max_bytes, value_col, roll_col).drop("_number")
+
+
+def packed_by_size(lines: DataFrame, max_bytes: int, keys: list[str], value_col: str = "value") -> DataFrame:
+    """One row per file of `rolled_by_size` and `keys`: its lines in order, a newline between, as `value_col`.
+
+    For files that may well be a row: a task holds some hundred of them at a time.
+    """
+    line = F.struct("_number", F.coalesce(value_col, F.lit("")).alias("line"))
+    files = _rolled(lines, max_bytes, value_col, "_roll").groupBy(*keys, "_roll").agg(F.array_sort(F.collect_list(line)).alias("_lines"))
+    return files.select(F.array_join(F.col("_lines")["line"], "\n").alias(value_col), *keys)
+
+
+def _rolled(lines: DataFrame, max_bytes: int, value_col: str, roll_col: str) -> DataFrame:
+    """`rolled_by_size` with the order of the lines, `_number`."""
     if max_bytes < 8:
         raise ValueError("a file holds at least 8 bytes")
     size = F.coalesce(F.octet_length(value_col), F.lit(0)).cast("bigint") + 1
@@ -65,7 +80,7 @@ def rolled_by_size(lines: DataFrame, max_bytes: int, value_col: str = "value", r
     filled = F.concat_ws("-", part, F.floor(F.col("_before") / (max_bytes - max_bytes // 8)).cast("string"))
     alone = F.concat_ws("-", part, F.lit("long"), F.col("_number").cast("string"))
     return told.withColumn("_before", before).withColumn(roll_col, F.when(short, filled).otherwise(alone)).drop(
-        "_part", "_number", "_size", "_before")
+        "_part", "_size", "_before")
 
 
 def required_fields(platform: Column, event: Column, strict: bool = False) -> Column:

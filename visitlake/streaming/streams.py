@@ -13,11 +13,14 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from visitlake import schema as S
 from visitlake.functions.timeparts import arrival_date
 from visitlake.operators.lines import (
-    classify_events, event_digest, parse_log_lines, rolled_by_size, to_event_rows, valid_events, with_agent_fields,
+    classify_events, event_digest, packed_by_size, parse_log_lines, rolled_by_size, to_event_rows, valid_events, with_agent_fields,
 )
 from visitlake.sources.event_table import put_events
 from visitlake.sources.writers import append_batch, upsert_table
 
+# Landed files up to this size are written from a row each. Larger ones are few enough to be directories first.
+PACKED_BYTES = 1 << 20
+
 
 def read_line_stream(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Lines of text files as they appear in `src`."""
@@ -60,11 +63,17 @@ def ingest_stream(
     """Lands new lines unchanged in `dst`, one directory per date of arrival.
 
     A file is full at `max_bytes_per_file`; only a line longer than that makes a larger one, for itself. `max_records_per_file`
-    bounds lines as well (0: no bound).
+    bounds lines as well (0: no bound). Files of up to PACKED_BYTES are written under their label at once, as moving each of
+    so many would take the driver longer than all the rest.
     """
     lines = read_line_stream(spark, src, max_files_per_trigger).withColumn("arrival_date", arrival_date(tz))
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        if max_bytes_per_file <= PACKED_BYTES and not max_records_per_file:
+            files = packed_by_size(batch, max_bytes_per_file, ["arrival_date"])
+            writer = files.write.format("text").partitionBy("arrival_date").option("maxRecordsPerFile", 1)
+            append_batch(writer, batch.sparkSession, dst, 1, _batch_label(checkpoint, batch_id))
+            return
         rolled = rolled_by_size(batch, max_bytes_per_file)
         writer = rolled.write.format("text").partitionBy("arrival_date", "roll").option("maxRecordsPerFile", max_records_per_file)
         append_batch(writer, batch.sparkSession, dst, 1, _batch_label(checkpoint, batch_id), "roll")
