@@ -493,7 +493,8 @@ def shared_day_scan(spark, sf):
     lines, ranges = X.raw(spark, sf).select("value"), X.ip_ranges(spark, sf)
     part = F.pmod(F.xxhash64("value"), F.lit(4))
     for n in range(3):
-        lines.filter(part == n).coalesce(1).write.mode("append").text(src)
+        # one file, made by all cores
+        lines.filter(part == n).repartition(1).write.mode("append").text(src)
         etl_stream(spark, src, root, checkpoint, ranges, overlaps=I.LAST).awaitTermination()
     # the stream decides which day it is
     today = max(date.fromisoformat(name.removeprefix("dt=")) for name in children(spark, root) if name.startswith("dt="))

@@ -1,6 +1,9 @@
 """Range lookup, roll-ups, KPIs, hourly report and dimensions against brute force."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import defaultdict
 from datetime import date, datetime, timedelta, timezone
 
@@ -296,3 +299,28 @@ def test_overlapping_ranges_are_looked_up(spark, seed, max_rows):
         assert "NestedLoop" not in plan(joined) and "Cartesian" not in plan(joined)
     with pytest.raises(ValueError, match="overlaps is one of"):
         join_ip_range(df, table, "ip", overlaps="some")
+
+
+SMALL_DRIVER = """
+import sys
+from pyspark.sql import SparkSession
+from visitlake.operators.ip_ranges import join_ip_range
+
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+begin = 167772160
+# three wide ranges over each other, filed under 750,000 prefixes, with texts of 100 letters
+ranges = spark.range(3).selectExpr(f"{begin} + id * 256 as begin_ip", f"{begin} + id * 256 + 64000000 - 1 as end_ip", "repeat(cast(id as string), 100) as country")
+rows = spark.range(1000).selectExpr("id", f"{begin} + id * 64064 as ip")
+found = join_ip_range(rows, ranges, "ip", overlaps=sys.argv[1]).selectExpr("count(*) as n", "sum(cast(substr(country, 1, 1) as int)) as places")
+print("plan", "BroadcastExchange" in found._jdf.queryExecution().executedPlan().toString())
+print("found", *found.first())
+"""
+
+
+@pytest.mark.parametrize("how, want", [("last", "found 1000 1998")])
+def test_overlapping_ranges_in_a_small_driver(tmp_path, how, want):
+    """Ranges below the bounds for a broadcast, but for a driver that cannot hold them, are dealt out."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYTHONPATH": repo, "PYSPARK_SUBMIT_ARGS": "--driver-memory 512m pyspark-shell"}
+    run = subprocess.run([sys.executable, "-c", SMALL_DRIVER, how], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "plan False" in run.stdout and want in run.stdout, run.stdout + run.stderr[-2000:]

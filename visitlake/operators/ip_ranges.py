@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions.ip import address_text, ip_to_long, long_to_ip
-from visitlake.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, row_bytes
+from visitlake.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_room, row_bytes
 from visitlake.schema import UNKNOWN_AREA, UNKNOWN_COUNTRY
 
 # Shared prefix lengths in bits. All ranges filed under the wide ones together number at most 257 * 255.
@@ -79,7 +79,7 @@ def _measured(ranges: DataFrame, overlaps: str = REFUSE) -> Row:
 def fits_broadcast(ranges: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether the rows and bytes of `ranges` stay within the bounds; overlapping ranges are an error. One distributed pass."""
     counted = _measured(ranges)
-    return counted["n"] <= max_rows and counted["b"] <= max_bytes
+    return counted["n"] <= max_rows and counted["b"] <= min(max_bytes, broadcast_room(ranges.sparkSession))
 
 
 def _prefix(ip: Column, bits: int) -> Column:
@@ -107,11 +107,12 @@ def join_ip_range(
 
     Adds the other columns of `ranges`; they must not be null, so that null means no range. Overlapping ranges are an
     error, so no row of `df` is doubled, unless `overlaps` is EVERY (a row for each range that holds the address) or LAST
-    (the range that begins last, of those the one that ends first). Ranges that pass a size check are broadcast and the
-    rows of `df` never move. Otherwise they meet by one shuffled join; either way `df` is read once.
+    (the range that begins last, of those the one that ends first). Ranges that pass a size check, also against the driver's
+    memory, are broadcast and the rows of `df` never move. Otherwise they meet by one shuffled join; either way `df` is read once.
     """
     values = [c for c in ranges.columns if c not in ("begin_ip", "end_ip")]
     counted = _measured(ranges, overlaps)
+    max_bytes = min(max_bytes, broadcast_room(ranges.sparkSession))
     if counted["overlaps"]:
         small = counted["filed_n"] <= max_rows and counted["filed_b"] <= max_bytes
         return _by_prefix_lookup(df, ranges, ip_col, values, small, overlaps)
@@ -173,7 +174,8 @@ def _by_prefix_lookup(
     """One left join on the 3-byte prefix of the address; rows of a hot prefix are split by adaptive execution.
 
     Rows without an address are spread by a hash of the row, as they would meet in one task otherwise. `small` tables are
-    broadcast. Overlapping ranges bring a row each, or with LAST are listed by prefix, so that rows are not doubled.
+    broadcast, others never: Spark, which does not know how many prefixes a range touches, would take many for small ones.
+    Overlapping ranges bring a row each, or with LAST are listed by prefix, so that rows are not doubled.
     """
     ip = F.col("_ip")
     nowhere = -1 - F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(1 << 20))
@@ -183,7 +185,7 @@ def _by_prefix_lookup(
     )
     filed = _by_prefix(ranges).select("_prefix", "begin_ip", "end_ip", F.struct(*values).alias("_value"))
     same = F.col("_key") == F.col("_prefix")
-    dealt = F.broadcast if small else lambda side: side
+    dealt = F.broadcast if small else lambda side: side.hint("merge")
     if overlaps == LAST:
         holding = F.filter("_held", lambda r: ip.between(r["_from"], r["_to"]))
         located = keyed.join(dealt(_best_first(filed)), same, "left").withColumn("_value", F.get(holding, F.lit(0))["_value"])
