@@ -513,7 +513,8 @@ def stream_distinct_events(spark, sf):
     lines, ranges = X.raw(spark, sf).select("value"), X.ip_ranges(spark, sf)
     some = F.pmod(F.xxhash64("value"), F.lit(3))
     for part in (lines.filter(some < 2).unionByName(lines.filter(some == 0)), lines.filter(some > 0), lines):
-        part.coalesce(2).write.mode("append").text(src)
+        # two files, made by all cores: a batch each
+        part.repartition(2).write.mode("append").text(src)
         etl_stream(spark, src, root, checkpoint, ranges, max_files_per_trigger=1, overlaps=I.EVERY).awaitTermination()
     now = datetime.now(timezone.utc).date()
     events = read_event_logs(spark, root, now - timedelta(days=1), now + timedelta(days=2))

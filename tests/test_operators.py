@@ -317,7 +317,7 @@ print("found", *found.first())
 """
 
 
-@pytest.mark.parametrize("how, want", [("last", "found 1000 1998")])
+@pytest.mark.parametrize("how, want", [("last", "found 1000 1998"), ("every", "found 2998 2997")])
 def test_overlapping_ranges_in_a_small_driver(tmp_path, how, want):
     """Ranges below the bounds for a broadcast, but for a driver that cannot hold them, are dealt out."""
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
