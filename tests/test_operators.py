@@ -16,7 +16,7 @@ from visitlake.functions.timeparts import day_period, month_period, week_period
 from visitlake.operators import dimensions as D
 from visitlake.operators import hourly as H
 from visitlake.operators import visitors as V
-from visitlake.operators.ip_ranges import find_ip_ranges, find_overlaps, fits_broadcast, join_ip_range, list_range_ends
+from visitlake.operators.ip_ranges import _best_first, find_ip_ranges, find_overlaps, fits_broadcast, join_ip_range, list_range_ends
 
 RUN = date(2024, 1, 10)
 EVENT_FIELDS = "en string, pl string, ver string, browser string, browser_v string, u_ud string, u_sd string, s_time bigint"
@@ -324,3 +324,30 @@ def test_overlapping_ranges_in_a_small_driver(tmp_path, how, want):
     env = os.environ | {"PYTHONPATH": repo, "PYSPARK_SUBMIT_ARGS": "--driver-memory 512m pyspark-shell"}
     run = subprocess.run([sys.executable, "-c", SMALL_DRIVER, how], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "plan False" in run.stdout and want in run.stdout, run.stdout + run.stderr[-2000:]
+
+
+@pytest.mark.parametrize("how", ["last", "every"])
+def test_a_hot_prefix_is_split(spark, how):
+    """Most addresses lie below one prefix of a table that is dealt out; lists of ranges carry nothing but what is looked up."""
+    ranges = spark.createDataFrame([(n * 100, n * 100 + 149, f"c{n}") for n in range(100)], "begin_ip bigint, end_ip bigint, country string")
+    ip = F.when(F.col("id") % 20 > 0, 130).otherwise(F.col("id") % 10_000)
+    rows = spark.range(0, 200_000, 1, 8).select("id", ip.alias("ip"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.shuffle.partitions": "40"}
+    former = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = join_ip_range(rows, ranges, "ip", max_rows=0, overlaps=how)
+        assert len(joined.collect()) >= 200_000
+        text = plan(joined)
+        assert "SortMergeJoin(skew=true)" in text and "BroadcastHashJoin" not in text
+    finally:
+        for k, v in former.items():
+            spark.conf.set(k, v)
+
+
+def test_lists_of_ranges_hold_what_is_looked_up(spark):
+    filed = spark.createDataFrame([(1, 256, 300, "a"), (1, 256, 511, "b")], "_prefix long, begin_ip long, end_ip long, v string")
+    listed = _best_first(filed.select("_prefix", "begin_ip", "end_ip", F.struct("v").alias("_value")))
+    assert [[tuple(r) for r in x._held] for x in listed.collect()] == [[(256, 300, ("a",)), (256, 511, ("b",))]]

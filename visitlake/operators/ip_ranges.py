@@ -165,7 +165,8 @@ def _best_first(filed: DataFrame) -> DataFrame:
     ).agg(F.max("_order").alias("_order"), F.max_by("_value", "_order").alias("_value"))
     listed = F.collect_list(F.struct("_order", "_from", "_to", "_value"))
     larger_first = lambda x, y: F.when(x["_order"] > y["_order"], -1).when(x["_order"] < y["_order"], 1).otherwise(0)
-    return best.groupBy("_prefix").agg(listed.alias("_held")).withColumn("_held", F.array_sort("_held", larger_first))
+    held = F.transform(F.array_sort("_held", larger_first), lambda r: F.struct(*[r[c].alias(c) for c in ("_from", "_to", "_value")]))
+    return best.groupBy("_prefix").agg(listed.alias("_held")).withColumn("_held", held)
 
 
 def _by_prefix_lookup(
@@ -188,6 +189,9 @@ def _by_prefix_lookup(
     dealt = F.broadcast if small else lambda side: side.hint("merge")
     if overlaps == LAST:
         holding = F.filter("_held", lambda r: ip.between(r["_from"], r["_to"]))
+        if not small:
+            # lists are dealt out anew, by another number: a hot prefix is split only where both sides come straight from a shuffle
+            same = F.col("_key") + 1 == F.col("_prefix") + 1
         located = keyed.join(dealt(_best_first(filed)), same, "left").withColumn("_value", F.get(holding, F.lit(0))["_value"])
     else:
         located = keyed.join(dealt(filed), same & ip.between(F.col("begin_ip"), F.col("end_ip")), "left")
